@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from postlake.llm.bpe import op1_bpe
+from postlake.llm.pii import op7_pii
 from postlake.llm.tokenfile import op5_token_orc
+from postlake.llm.winnow import ORACLE_SQL as OP9_SQL
+from postlake.llm.winnow import op9_winnow
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_token_orc": op5_token_orc,
+    "op7_pii": op7_pii,
+    "op9_winnow": op9_winnow,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_winnow": OP9_SQL}
