@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from postlake.llm.bpe import op1_bpe
+from postlake.llm.langid import op8_language
 from postlake.llm.pii import op7_pii
 from postlake.llm.tokenfile import op5_token_orc
+from postlake.llm.toxicity import op3_toxicity
 from postlake.llm.winnow import ORACLE_SQL as OP9_SQL
 from postlake.llm.winnow import op9_winnow
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_toxicity": op3_toxicity,
     "op5_token_orc": op5_token_orc,
     "op7_pii": op7_pii,
+    "op8_language": op8_language,
     "op9_winnow": op9_winnow,
 }
 
