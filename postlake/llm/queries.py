@@ -7,6 +7,8 @@ from postlake.llm.langid import op8_language
 from postlake.llm.pii import op7_pii
 from postlake.llm.tokenfile import op5_token_orc
 from postlake.llm.toxicity import op3_toxicity
+from postlake.llm.windows import ORACLE_SQL as OP6_SQL
+from postlake.llm.windows import op6_substrings
 from postlake.llm.winnow import ORACLE_SQL as OP9_SQL
 from postlake.llm.winnow import op9_winnow
 
@@ -14,9 +16,10 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_toxicity": op3_toxicity,
     "op5_token_orc": op5_token_orc,
+    "op6_substrings": op6_substrings,
     "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_winnow": op9_winnow,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_winnow": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL}
