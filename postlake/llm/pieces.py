@@ -11,8 +11,8 @@ import regex
 #: The same alternatives for the standard library's faster engine; it differs only on pieces with these characters.
 _FAST = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _ODD = None
-#: Pieces that a memo holds before it is emptied; bounds a worker's memory to some 100 MB.
-MEMO = 300_000
+#: Pieces that a memo holds before it is emptied; bounds a worker's memory to some 150 MB.
+MEMO = 700_000
 
 
 def _odd() -> re.Pattern:
@@ -42,26 +42,34 @@ class Pieces:
         self.fast = _FAST if pattern == public_tokenizers.PATTERN else None
         self.odd: set[str] = set()
 
-    def split(self, texts: list[str]) -> list[list[str]]:
-        """The pieces of each text. A text with a piece on which the fast engine may err is split by the full one."""
-        if self.fast is None:
-            return [self.full.findall(t) for t in texts]
-        out = [self.fast.findall(t) for t in texts]
-        check, new = _odd(), set().union(*out) if out else set()
-        self.odd.update(p for p in new if p not in self.memo and check.search(p))
-        if self.odd:
-            out = [pieces if self.odd.isdisjoint(pieces) else self.full.findall(t) for t, pieces in zip(texts, out, strict=True)]
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. New pieces of all texts are encoded together."""
         if len(self.memo) > self.limit:
             self.memo.clear()
             self.odd.clear()
-        memo, split = self.memo, self.split(texts)
-        new = set().union(*split) if split else set()
-        fresh = [p for p in new if p not in memo]
-        if self.fast is not None:
-            self.odd.update(p for p in fresh if _odd().search(p))
-        memo.update(zip(fresh, self.encode_new(fresh), strict=True))
-        return [b"".join(map(memo.__getitem__, pieces)) for pieces in split]
+        split = self.fast or self.full
+        pieces = [split.findall(t) for t in texts]
+        found = self._found(pieces)
+        if self.fast is not None and self.odd:  # pieces on which the fast engine may err: their texts again by the full one
+            again = [i for i, own in enumerate(pieces) if not self.odd.isdisjoint(own)]
+            for i, made in zip(again, self._found([self.full.findall(texts[i]) for i in again]), strict=True):
+                found[i] = made
+        return [b"".join(x) for x in found]
+
+    def _found(self, pieces: list[list[str]]) -> list[list[bytes]]:
+        get = self.memo.get
+        found, gaps = [list(map(get, own)) for own in pieces], []
+        for i, x in enumerate(found):
+            k = -1
+            for _ in range(x.count(None)):
+                k = x.index(None, k + 1)
+                gaps.append((x, k, pieces[i][k]))
+        fresh = list({p for _, _, p in gaps})
+        if fresh:
+            if self.fast is not None:  # both engines agree on letters after at most one space
+                self.odd.update(p for p in fresh if not (p.isalpha() or (p[0] == " " and p[1:].isalpha())) and _odd().search(p))
+            new = dict(zip(fresh, self.encode_new(fresh), strict=True))
+            self.memo.update(new)
+            for x, k, p in gaps:
+                x[k] = new[p]
+        return found

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from postlake.llm.bpe import op1_bpe
+from postlake.llm.itq import ORACLE_SQL as OP4_SQL
+from postlake.llm.itq import op4_embeddings
 from postlake.llm.langid import op8_language
+from postlake.llm.minhash import ORACLE_SQL as OP2_SQL
+from postlake.llm.minhash import op2_minhash
 from postlake.llm.pii import op7_pii
 from postlake.llm.tokenfile import op5_token_orc
 from postlake.llm.toxicity import op3_toxicity
@@ -14,7 +18,9 @@ from postlake.llm.winnow import op9_winnow
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op3_toxicity": op3_toxicity,
+    "op4_embeddings": op4_embeddings,
     "op5_token_orc": op5_token_orc,
     "op6_substrings": op6_substrings,
     "op7_pii": op7_pii,
@@ -22,4 +28,4 @@ QUERIES = {
     "op9_winnow": op9_winnow,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL}
