@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from postlake.llm.bpe import op1_bpe
+from postlake.llm.bwt import op10_bwt
 from postlake.llm.itq import ORACLE_SQL as OP4_SQL
 from postlake.llm.itq import op4_embeddings
 from postlake.llm.langid import op8_language
@@ -26,6 +27,7 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_winnow": op9_winnow,
+    "op10_bwt": op10_bwt,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL}
