@@ -1,9 +1,10 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A document's word shingles give a signature of POSITIONS values of 16 bits; two documents whose shingle sets have Jaccard
-similarity s differ in about (1 - s) of the positions. The signature is cut into CHUNKS. Of two signatures that
-differ in at most 2 * CHUNKS - 1 positions some chunk differs in at most one, so if each chunk is indexed once without each of its positions,
-every such pair meets in some bucket. (At similarity 0.85 a pair differs in more with probability below 1e-5.)
+similarity s differ in about (1 - s) of the positions. The signature is cut into c chunks. Of two signatures that
+differ in at most 2 * c - 1 positions some chunk differs in at most one, so if each chunk is indexed once without each of its positions,
+every such pair meets in some bucket. c is the smallest number for which a pair at the threshold differs in more positions
+with probability below MISS (10 chunks at similarity 0.85, 12 at 0.8).
 
 Equal sets are one class. A bucket is not expanded into pairs: each of its members is compared with one hub, another one in
 each bucket, and links are confirmed on the full sets. Only buckets whose members then still lie in several components are compared
@@ -13,6 +14,7 @@ member by member, across components, so that no link that could join two compone
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +25,20 @@ from postlake.llm.batches import joined, map_batches
 from postlake.llm.kernels import SPACES, mixed, run_hashes, word_hashes
 from postlake.llm.store import components, keep
 
-POSITIONS, CHUNKS = 48, 10
+POSITIONS, MISS = 48, 1e-5
 #: Ids up to this number (some 10 MB) are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 _NULL_ID = -(1 << 63)
 _FACTORS = mixed(np.arange(1, POSITIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+def chunks_for(similarity: float) -> int:
+    """Chunks that keep the chance to miss a pair at this similarity below MISS."""
+    p = 1 - similarity
+    chance = [math.comb(POSITIONS, k) * p**k * (1 - p) ** (POSITIONS - k) for k in range(POSITIONS + 1)]
+    return next((c for c in range(1, POSITIONS) if sum(chance[2 * c :]) < MISS), POSITIONS)
+
+
 def _sets(part: pa.RecordBatch, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all texts in a row, and where each text's begin."""
     data, at = joined(part, text)
@@ -71,9 +80,9 @@ def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
     return map_batches(rows, step, "doc_id long, n_shingles long, class_key binary, signature array<int>", "text")
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
+def _buckets(classes: DataFrame, chunks: int) -> DataFrame:
     """(bucket, rep): a bucket for each chunk of a signature without each of its positions."""
-    parts = np.array_split(np.arange(POSITIONS), CHUNKS)
+    parts = np.array_split(np.arange(POSITIONS), chunks)
 
     def step(part: pa.RecordBatch) -> pa.RecordBatch:
         marks = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, POSITIONS).astype(np.uint64)
@@ -101,11 +110,11 @@ def _distance(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda d: d))
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, chunks: int) -> DataFrame:
     """(a, b, distance) of the pairs whose signatures are near enough."""
     marks = classes.select("rep", F.col("signature").alias("marks"))
     both = pairs.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b")
-    return both.select("a", "b", _distance(F.col("marks_a"), F.col("marks_b")).alias("distance")).filter(F.col("distance") <= 2 * CHUNKS - 1)
+    return both.select("a", "b", _distance(F.col("marks_a"), F.col("marks_b")).alias("distance")).filter(F.col("distance") <= 2 * chunks - 1)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
@@ -144,11 +153,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     # Written once: every later step reads it, the texts are read again only for the sets.
     marked = keep(signatures(docs, doc_id=doc_id, text=text, words=words), "signatures")
     classes = keep(marked.filter("n_shingles > 0").groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    buckets = _buckets(classes)
+    chunks = chunks_for(percent / 100)
+    buckets = _buckets(classes, chunks)
     salted = F.col("rep").bitwiseXOR(F.col("bucket"))  # another order, so another hub, in each bucket
     hubs = buckets.groupBy("bucket").agg(F.min(salted).alias("low"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("low").bitwiseXOR(F.col("bucket")).alias("hub"))
     pairs = buckets.join(hubs, "bucket").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    near = keep(_near(pairs, classes), "near")
+    near = keep(_near(pairs, classes, chunks), "near")
 
     # the nearest hub of each first; other hubs only where that leaves two components
     ends = near.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("id"))
@@ -168,7 +178,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     open_ = keep(member.join(mixed_, "bucket"), "open")
     left, right = open_.toDF("bucket", "a", "ca"), open_.toDF("bucket", "b", "cb")
     across = left.join(right, (left["bucket"] == right["bucket"]) & (left["a"] < right["b"]) & (left["ca"] != right["cb"])).select("a", "b").distinct()
-    across = keep(_near(across.join(near, ["a", "b"], "left_anti"), classes), "across")
+    across = keep(_near(across.join(near, ["a", "b"], "left_anti"), classes, chunks), "across")
     if not across.isEmpty():
         more = _confirmed(across, docs, doc_id, text, words, percent)
         found = components(keep(links.unionByName(more), "confirmed"), "a", "b")
