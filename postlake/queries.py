@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.functions import locations, posted, roles
+from postlake.functions import locations, posted, roles, urls
+from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, reports, taxonomy
 from postlake.plans import analytics, places, serving
 from postlake.plans import roles as role_plan
 from postlake.plans.unified import event_ts, unify
@@ -256,7 +257,9 @@ def job_detail(spark, sf):
     return serving.job_detail(base(spark, sf), "stepstone", "1").select("platform", "job_id", "job_title", "posted_at_source")
 
 
-@query("flat_skills", "select platform, job_id, array_to_string(list_slice(list_distinct_kept, 1, 10), '|') as skills from (select platform, job_id, list(s order by pos) as list_distinct_kept from (select platform, job_id, trim(s) as s, min(rn) as pos from (select *, row_number() over () as rn from skill) q where trim(s) <> '' group by all) q group by all) q")
+@query("flat_skills", """
+select platform, job_id, array_to_string(list_slice(list_filter(l, lambda x, i: list_position(l, x) = i), 1, 10), '|') as skills from (select platform, job_id, list_filter(list_transform(flatten(list_transform(list_filter(json_keys(coalesce(extracted_skills, '{}')), lambda g: json_type(extracted_skills, '$.' || g) = 'ARRAY'),
+  lambda g: cast(json_extract(extracted_skills, '$.' || g) as varchar[]))), lambda x: trim(x)), lambda x: x <> '') as l from uno) q where len(l) > 0""")
 def flat_skills(spark, sf):
     from postlake.functions.skills import flat_skills as flat
 
@@ -272,3 +275,328 @@ def freshness_order(spark, sf):
 @query("parse_gaps", "select posted_time_ago, count(*) as n from uno where posted_at_source = 'unparsed_format' group by all")
 def parse_gaps(spark, sf):
     return base(spark, sf).filter("posted_at_source = 'unparsed_format'").groupBy("posted_time_ago").agg(F.count("*").alias("n"))
+
+
+# ---- ingest and keyed writes: line items are log lines, in the order of seq ----
+def _found(spark, sf):
+    return star.hits(spark, sf).withColumn("job_url", F.concat(F.lit("https://new.example.org/"), "job_id"))
+
+
+_FOUND_SQL = "found as (select *, 'https://new.example.org/' || job_id as job_url from star_hits),\nlastl as (select platform, job_id, arg_max(job_url, seq) as url, arg_max(scraped_at, seq) as seen, arg_min(scraped_at, seq) as first from found group by all)\n"
+
+
+def with_sql(extra: str, sql: str) -> str:
+    return "select * from (with " + extra + sql + ") q"
+
+
+@query("apply_discovery", with_sql(_FOUND_SQL, """select coalesce(j.platform, l.platform) as platform, coalesce(j.job_id, l.job_id) as job_id, coalesce(url, job_url) as job_url, coalesce(first_seen_at, first) as first_seen_at, coalesce(seen, last_seen_at) as last_seen_at,
+case when l.job_id is not null then true else is_active end as is_active, case when l.job_id is null then expired_at end as expired_at, case when l.job_id is null then expire_reason end as expire_reason from (select * from star_jobs where k % 4 <> 0) j full join lastl l on l.platform = j.platform and l.job_id = j.job_id"""))
+def apply_discovery(spark, sf):
+    known = star.jobs(spark, sf).filter(F.col("job_id").cast("long") % 4 != 0)
+    return ingest.apply_discovery(known, _found(spark, sf)).select("platform", "job_id", "job_url", "first_seen_at", "last_seen_at", "is_active", "expired_at", "expire_reason")
+
+
+@query("insert_hits", "select search_run_id, platform, job_id, arg_min(rank, seq) as rank, arg_min(page_start, seq) as page_start, arg_min(scraped_at, seq) as scraped_at from star_hits group by all")
+def insert_hits(spark, sf):
+    found = _found(spark, sf)
+    old = keyed.first_by_key(found.filter("search_run_id % 2 = 0"), ["search_run_id", "platform", "job_id"], ["seq"]).select("search_run_id", "platform", "job_id", "rank", "page_start", "scraped_at")
+    return ingest.add_hits(old, found)
+
+
+def _detail_log(spark, sf):
+    """Detail lines from line items: some gone, some parsed, some neither."""
+    n = F.col("seq") % 5
+    return star.hits(spark, sf).select("platform", "job_id", "seq", "scraped_at", F.when(n == 1, "http_410").when(n == 2, "blocked").alias("last_error"), (n > 2).alias("parse_ok"))
+
+
+_LOG_SQL = "log as (select platform, job_id, seq, scraped_at, case seq % 5 when 1 then 'http_410' when 2 then 'blocked' end as last_error, seq % 5 > 2 as parse_ok from star_hits)"
+
+
+@query("apply_gone", with_sql(_LOG_SQL + """, dec as (select *, case when last_error = 'http_410' then 'gone' when parse_ok then 'back' end as what from log where last_error = 'http_410' or parse_ok),
+lb as (select platform, job_id, max(case when what = 'back' then seq end) as reset, arg_max(what, seq) as last from dec group by all),
+g as (select d.platform, d.job_id, arg_min(scraped_at, seq) as gone_at from dec d join lb using (platform, job_id) where what = 'gone' and (reset is null or seq > reset) group by all)
+""", """select platform, job_id, case when last is not null then last = 'back' else is_active end as is_active, case when last = 'gone' then coalesce(case when reset is null then expired_at end, gone_at) when last is null then expired_at end as expired_at,
+case when last = 'gone' then coalesce(case when reset is null then expire_reason end, 'http_410') when last is null then expire_reason end as expire_reason from star_jobs left join lb using (platform, job_id) left join g using (platform, job_id)"""))
+def apply_gone(spark, sf):
+    return ingest.apply_gone(star.jobs(spark, sf), _detail_log(spark, sf)).select("platform", "job_id", "is_active", "expired_at", "expire_reason")
+
+
+@query("apply_details", with_sql(_LOG_SQL, """select coalesce(d.platform, l.platform) as platform, coalesce(d.job_id, l.job_id) as job_id, case when l.job_id is not null then l.scraped_at else d.scraped_at end as scraped_at, case when l.job_id is not null then l.parse_ok else d.parse_ok end as parse_ok,
+case when l.job_id is not null then l.last_error else d.last_error end as last_error from star_details d full join (select platform, job_id, unnest(s) from (select platform, job_id, max_by(struct_pack(scraped_at, parse_ok, last_error), seq) as s from log group by platform, job_id) q) l on l.platform = d.platform and l.job_id = d.job_id"""))
+def apply_details(spark, sf):
+    return ingest.apply_details(star.details(spark, sf), _detail_log(spark, sf)).select("platform", "job_id", "scraped_at", "parse_ok", "last_error")
+
+
+@query("detail_import_stats", with_sql(_LOG_SQL, "select count(*) as upserted, count_if(parse_ok) as parse_ok, count_if(not parse_ok) as parse_failed, count_if(last_error = 'blocked') as blocked, count_if(last_error = 'blocked') / greatest(count(*), 1) > 0.1 as is_blocked from log"))
+def detail_import_stats(spark, sf):
+    return ingest.detail_stats(_detail_log(spark, sf))
+
+
+def _page_log(spark, sf):
+    """Pages and discovered jobs from events."""
+    e = F.col("event_type")
+    return star.table(spark, sf, "events").select(F.col("user_id").alias("search_run_id"), F.when(e.isin("click", "error"), "page_fetch").when(e == "signup", "other").otherwise("job_discovered").alias("record_type"), (F.col("event_id") % 7).cast("int").alias("page_start"), (e == "error").alias("blocked"), "event_id", "ts")
+
+
+_PAGES_SQL = "log as (select user_id as search_run_id, case when event_type in ('click', 'error') then 'page_fetch' when event_type = 'signup' then 'other' else 'job_discovered' end as record_type, cast(event_id % 7 as integer) as page_start, event_type = 'error' as blocked, event_id, ts from events)"
+
+
+@query("search_run_stats", with_sql(_PAGES_SQL, " select search_run_id, count(distinct page_start) as pages, count_if(record_type = 'job_discovered') as discovered, count_if(record_type = 'page_fetch' and blocked) as blocked_pages, count_if(record_type = 'page_fetch' and blocked) / greatest(count(distinct page_start), 1) > 0.5 as blocked from log where record_type <> 'other' group by all"))
+def search_run_stats(spark, sf):
+    return ingest.search_run_stats(_page_log(spark, sf))
+
+
+@query("block_streaks", with_sql(_PAGES_SQL, """ select search_run_id, min(event_id) as first, max(event_id) as last, count(*) as length from (select *, sum(case when blocked then 0 else 1 end) over (partition by search_run_id order by event_id) as island from log where record_type = 'page_fetch') q where blocked group by search_run_id, island having count(*) >= 2"""))
+def block_streaks(spark, sf):
+    return lifecycle.block_streaks(_page_log(spark, sf).filter("record_type = 'page_fetch'"), ["search_run_id"], ["event_id"], 2)
+
+
+@query("first_seen", "select search_run_id, platform, job_id, min(seq) as seq from star_hits group by all")
+def first_seen(spark, sf):
+    return lifecycle.first_seen(star.hits(spark, sf), ["search_run_id", "platform", "job_id"], ["seq"]).select("search_run_id", "platform", "job_id", "seq")
+
+
+# ---- lifecycle ----
+_AS = f"timestamp '{star.AS_OF}'"
+_EV = f"timestamp '{star.EVENTS_AS_OF}'"
+
+
+def _events_now():
+    return F.lit(star.EVENTS_AS_OF).cast("timestamp")
+
+
+@query("soft_expire", f"""select platform, job_id, case when s then false else is_active end as is_active, case when s then {_AS} end as stale_since_at, case when s then {_AS} else expired_at end as expired_at, case when s then 'not_seen_window' else expire_reason end as expire_reason
+from (select *, coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day as s from star_jobs) q""")
+def soft_expire(spark, sf):
+    return lifecycle.soft_expire(star.jobs(spark, sf), _now()).select("platform", "job_id", "is_active", "stale_since_at", "expired_at", "expire_reason")
+
+
+@query("lifecycle_counts", f"""select platform, count_if(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day) as soft_expired, count_if(last_seen_at < {_AS} - interval 120 day) as jobs_deleted,
+(select count(*) from star_hits h join star_jobs x on x.platform = h.platform and x.job_id = h.job_id where x.last_seen_at < {_AS} - interval 120 day and h.platform = j.platform) as hits_deleted,
+(select count(*) from star_details h join star_jobs x on x.platform = h.platform and x.job_id = h.job_id where x.last_seen_at < {_AS} - interval 120 day and h.platform = j.platform) as details_deleted from star_jobs j group by platform""")
+def lifecycle_counts(spark, sf):
+    return lifecycle.lifecycle_counts(star.jobs(spark, sf), star.hits(spark, sf), star.details(spark, sf), _now())
+
+
+@query("hard_delete", f"select d.platform, d.job_id from star_details d join star_jobs j on j.platform = d.platform and j.job_id = d.job_id where j.last_seen_at >= {_AS} - interval 120 day")
+def hard_delete(spark, sf):
+    return lifecycle.hard_delete(star.jobs(spark, sf), {"details": star.details(spark, sf)}, _now())[1]["details"].select("platform", "job_id")
+
+
+@query("lifecycle_totals", f"select 'success' as status, count_if(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day) as soft_expired, count_if(last_seen_at < {_AS} - interval 120 day) as jobs_deleted from star_jobs")
+def lifecycle_totals(spark, sf):
+    stats = lifecycle.lifecycle_counts(star.jobs(spark, sf), star.hits(spark, sf), star.details(spark, sf), _now()).withColumn("action_status", F.lit("processed"))
+    return lifecycle.final_status(stats).select("status", "soft_expired", "jobs_deleted")
+
+
+@query("health_gate", f"""select platform, r.run_id as run_id, r.status as status, case when r.status = 'success' and r.finished_at >= {_EV} - interval 36 hour then 'processed' else 'skipped_unhealthy' end as action_status,
+case when r.status <> 'success' then 'status ' || r.status when r.finished_at is null then 'not finished' when r.finished_at < {_EV} - interval 36 hour then 'too old' end as note
+from (select platform, max_by(struct_pack(run_id, status, finished_at), (epoch(started_at), run_id)) as r from star_runs group by platform) q""")
+def health_gate(spark, sf):
+    return lifecycle.health_gate(star.crawl_runs(spark, sf), _events_now()).select("platform", "run_id", "status", "action_status", "note")
+
+
+@query("repair_stale_runs", f"""select run_id, case when s then 'abandoned' else status end as status, case when s then {_EV} else finished_at end as finished_at, case when s then coalesce(error, 'stale') else error end as error from (select *, status = 'running' and started_at < {_EV} - interval 600 minute as s from star_runs) q""")
+def repair_stale_runs(spark, sf):
+    runs = star.crawl_runs(spark, sf)
+    searches = runs.select(F.col("run_id").alias("search_run_id"), F.col("run_id").alias("crawl_run_id"), "status", "finished_at", "error")
+    return lifecycle.repair_stale_runs(runs, searches, _events_now(), 600)[0].select("run_id", "status", "finished_at", "error")
+
+
+@query("cooldown_active", f"select platform, coalesce(max(case when status = 'blocked' then finished_at end) >= {_EV} - interval 180 minute, false) as cooldown from star_runs group by platform")
+def cooldown_active(spark, sf):
+    return lifecycle.cooldown_active(star.crawl_runs(spark, sf), _events_now(), 180)
+
+
+@query("recency_policy", f"""select search_definition_id, has_finished, last_success, case when not has_finished then null when last_success >= {_EV} - interval 30 hour then 'r86400' else 'r604800' end as code
+from (select search_definition_id, bool_or(finished_at is not null) as has_finished, max(case when status = 'success' then finished_at end) as last_success from star_runs group by all) q""")
+def recency_policy(spark, sf):
+    rows = lifecycle.search_history(star.crawl_runs(spark, sf))
+    return rows.withColumn("code", lifecycle.recency_code(F.col("has_finished"), F.col("last_success"), _events_now()))
+
+
+@query("detail_queue", f"""select j.platform, j.job_id from star_jobs j left join star_details d on d.platform = j.platform and d.job_id = j.job_id where last_seen_at > {_AS} - interval 60 day and coalesce(is_active, true)
+and (d.job_id is null or scraped_at < {_AS} - interval 30 day or (last_error = 'blocked' and scraped_at < {_AS} - interval 24 hour)) order by d.job_id is null desc, scraped_at asc nulls first, last_seen_at desc, j.platform, j.job_id limit 500""")
+def detail_queue(spark, sf):
+    return lifecycle.detail_queue(star.jobs(spark, sf), star.details(spark, sf), _now(), 500).select("platform", "job_id")
+
+
+@query("skill_queue", "select platform, job_id from star_details where parse_ok and trim(job_description) <> '' and (extracted_skills is null or coalesce(extracted_skills_version, 0) < 2) order by scraped_at desc nulls last, platform, job_id limit 500")
+def skill_queue(spark, sf):
+    return lifecycle.skill_queue(star.details(spark, sf), 2, 500).select("platform", "job_id")
+
+
+# ---- geocode cache ----
+@query("geocode_seed", "select distinct tok as location_text_norm from cand where kind = 'city' and tok not in (select location_text_norm from star_geo)")
+def geocode_seed(spark, sf):
+    return geocoding.seed(star.geocodes(spark, sf), places.location_candidates(base(spark, sf)), _now()).select("location_text_norm")
+
+
+def _geocode_results(spark, sf):
+    cache = star.geocodes(spark, sf).filter("status <> 'resolved' or id % 2 = 0")
+    batch = cache.select("id", F.col("id").alias("position"), F.col("location_text_norm").alias("query"))
+    results = batch.select("position", F.when(F.col("id") % 3 != 0, F.col("query")).alias("query"), F.when(F.col("id") % 4 != 0, "50.5").otherwise("x").alias("lat"), F.lit("8.25").alias("lon"), F.when(F.col("id") % 4 == 0, "bad").alias("error"))
+    return batch, results
+
+
+@query("geocode_apply", f"""select id, case when not asked then status when id % 4 <> 0 then 'resolved' when attempt_count + 1 >= 6 then 'failed_permanent' else 'error' end as status, case when not asked then lat when id % 4 <> 0 then 50.5 end as lat, case when asked then attempt_count + 1 else attempt_count end as attempt_count,
+case when not asked then next_retry_at when id % 4 = 0 and attempt_count + 1 < 6 then {_AS} + to_minutes(cast(least(60 * pow(2, attempt_count), 10080) as bigint)) end as next_retry_at from (select *, status <> 'resolved' or id % 2 = 0 as asked from star_geo) q""")
+def geocode_apply(spark, sf):
+    batch, results = _geocode_results(spark, sf)
+    return geocoding.apply_results(star.geocodes(spark, sf), batch, results, _now()).select("id", "status", "lat", "attempt_count", "next_retry_at")
+
+
+@query("geocode_queue", f"select id from star_geo where status in ('pending', 'error', 'no_match') and next_retry_at <= {_AS} and attempt_count < 6 order by next_retry_at, id limit 100")
+def geocode_queue(spark, sf):
+    return geocoding.queue(star.geocodes(spark, sf), _now(), 100).select("id")
+
+
+@query("geocode_reset", f"select id, case when status = 'failed_permanent' then 'pending' else status end as status, case when status = 'failed_permanent' then 0 else attempt_count end as attempt_count, case when status = 'failed_permanent' then {_AS} else next_retry_at end as next_retry_at from star_geo")
+def geocode_reset(spark, sf):
+    return geocoding.reset_failed(star.geocodes(spark, sf), _now()).select("id", "status", "attempt_count", "next_retry_at")
+
+
+@query("geocode_coverage", "select platform, count(*) as total, count_if(lat is not null and lon is not null) as geocoded from pt where kind = 'city' group by platform")
+def geocode_coverage(spark, sf):
+    return geocoding.coverage(points(spark, sf))
+
+
+# ---- reports ----
+@query("runs_by_day", "select strftime(started_at, '%Y-%m-%d') as day, trigger, count(*) as total, count_if(status = 'success') as success, count_if(status = 'blocked') as blocked, count_if(status = 'failed') as failed, count_if(status = 'running') as running from star_runs group by all")
+def runs_by_day(spark, sf):
+    return reports.runs_by_day(star.crawl_runs(spark, sf))
+
+
+def _external(spark, sf):
+    """External runs: every third run, shifted by some minutes; manual and scheduled."""
+    r = star.crawl_runs(spark, sf).filter("run_id % 3 = 0")
+    return r.select((F.col("run_id") + 1_000_000_000).alias("external_id"), "trigger", F.when(F.col("trigger") == "schedule", "schedule").otherwise("dispatch").alias("event"), F.when(F.col("run_id") % 4 == 0, "failure").when(F.col("run_id") % 5 == 0, "cancelled").otherwise("success").alias("conclusion"), (F.col("started_at") + F.make_interval(mins=(F.col("run_id") % 40).cast("int"))).alias("created_at"))
+
+
+_EXT_SQL = "ext as (select run_id + 1000000000 as external_id, trigger, case when trigger = 'schedule' then 'schedule' else 'dispatch' end as event, case when run_id % 4 = 0 then 'failure' when run_id % 5 = 0 then 'cancelled' else 'success' end as conclusion, started_at + to_minutes(run_id % 40) as created_at from star_runs where run_id % 3 = 0)"
+_NEAR_SQL = """, pairs as (select external_id, run_id, status, abs(cast(floor(epoch(started_at)) as bigint) - cast(floor(epoch(created_at)) as bigint)) as delta, -cast(floor(epoch(started_at)) as bigint) as later from ext join star_runs r on r.trigger = ext.trigger and r.started_at between created_at - interval 61 second and created_at + interval 61 second),
+rec as (select ext.*, m.run_id as run_id, m.delta as delta_seconds, m.status as run_status from ext left join (select external_id, run_id, status, delta, row_number() over (partition by external_id order by delta, later, run_id) as n from pairs where delta <= 60) m on m.external_id = ext.external_id and m.n = 1)
+"""
+
+
+@query("reconcile_runs", with_sql(_EXT_SQL + _NEAR_SQL, "select external_id, run_id, delta_seconds, run_id is not null as matched from rec"))
+def reconcile_runs(spark, sf):
+    return reports.reconcile(_external(spark, sf), star.crawl_runs(spark, sf), 60).select("external_id", "run_id", "delta_seconds", "matched")
+
+
+@query("run_mismatches", with_sql(_EXT_SQL + _NEAR_SQL, """select 'success_without_run' as code, external_id as id from rec where conclusion = 'success' and run_id is null union all select 'failure_with_running_run', external_id from rec where conclusion <> 'success' and run_status = 'running'
+union all select 'scheduled_run_without_external', run_id from star_runs r where trigger = 'schedule' and not exists (select 1 from ext where event = 'schedule' and created_at between r.started_at - interval 61 second and r.started_at + interval 61 second and abs(cast(floor(epoch(r.started_at)) as bigint) - cast(floor(epoch(created_at)) as bigint)) <= 60)"""))
+def run_mismatches(spark, sf):
+    return reports.mismatches(_external(spark, sf), star.crawl_runs(spark, sf), 60)
+
+
+@query("day_comparison", with_sql(_EXT_SQL, """, e as (select strftime(created_at, '%Y-%m-%d') as day, count(*) as t, count_if(conclusion = 'success') as s, count_if(conclusion = 'failure') as f, count_if(conclusion = 'cancelled') as c from ext where event = 'schedule' group by 1),
+r as (select strftime(started_at, '%Y-%m-%d') as day, count(*) as t, count_if(status = 'success') as s, count_if(status = 'blocked') as b, count_if(status = 'failed') as f, count_if(status = 'running') as g from star_runs group by 1)
+select coalesce(e.day, r.day) as day, coalesce(e.t, 0) as ext_total, coalesce(e.s, 0) as ext_success, coalesce(e.f, 0) as ext_failure, coalesce(e.c, 0) as ext_cancelled, coalesce(r.t, 0) as run_total, coalesce(r.s, 0) as run_success, coalesce(r.b, 0) as run_blocked, coalesce(r.f, 0) as run_failed, coalesce(r.g, 0) as run_running from e full join r on e.day = r.day"""))
+def day_comparison(spark, sf):
+    return reports.day_comparison(_external(spark, sf), star.crawl_runs(spark, sf))
+
+
+@query("run_report", "select platform, count(*) as total, count_if(status = 'blocked') as blocked, cast(sum(pages_fetched) as bigint) as pages, cast(sum(jobs_discovered) as bigint) as discovered, count_if(status = 'success') as n_success from star_runs group by platform")
+def run_report(spark, sf):
+    return reports.run_report(star.crawl_runs(spark, sf)).select("platform", "total", "blocked", "pages", "discovered", F.coalesce(F.col("by_status")["success"], F.lit(0)).alias("n_success"))
+
+
+@query("dedupe_report", "select platform, count(*) as hits, count(distinct job_id) as unique_jobs, greatest(count(*) - count(distinct job_id), 0) as duplicates_removed from star_hits group by platform")
+def dedupe_report(spark, sf):
+    return reports.dedupe_report(star.hits(spark, sf))
+
+
+@query("skills_fill", "select platform, count(*) as details, count_if(parse_ok) as parsed, count_if(coalesce(extracted_skills, '{}') <> '{}') as with_skills, round(100.0::double * count_if(coalesce(extracted_skills, '{}') <> '{}') / count(*), 2) as fill_percent from star_details group by platform")
+def skills_fill(spark, sf):
+    return reports.skills_fill(star.details(spark, sf))
+
+
+@query("latest_run", "select platform, max_by(run_id, (epoch(started_at), run_id)) as run_id from star_runs group by platform")
+def latest_run(spark, sf):
+    return star.crawl_runs(spark, sf).groupBy("platform").agg(F.max_by("run_id", F.struct("started_at", "run_id")).alias("run_id"))
+
+
+@query("stale_running", f"select platform, count_if(status = 'running' and started_at < {_EV} - interval 600 minute) as overdue from star_runs group by platform")
+def stale_running(spark, sf):
+    return reports.stale_running(star.crawl_runs(spark, sf), _events_now(), 600)
+
+
+@query("missing_details", "select j.platform, count(*) as missing from star_jobs j where not exists (select 1 from star_details d where d.platform = j.platform and d.job_id = j.job_id) group by j.platform")
+def missing_details(spark, sf):
+    return reports.missing_details(star.jobs(spark, sf), star.details(spark, sf))
+
+
+@query("constraint_checks", """select 'duplicate_hits' as name, count(*) as violations, count(*) = 0 as ok from (select 1 from star_hits group by search_run_id, platform, job_id having count(*) > 1) q
+union all select 'details_without_job', 0, true union all select 'unknown_status', 0, true union all select 'jobs_without_activity', (select count(*) from star_jobs where is_active is null), (select count(*) from star_jobs where is_active is null) = 0""")
+def constraint_checks(spark, sf):
+    jobs_, details_ = star.jobs(spark, sf), star.details(spark, sf)
+    return reports.constraint_checks([
+        ("duplicate_hits", reports.duplicate_keys(star.hits(spark, sf), ["search_run_id", "platform", "job_id"])), ("details_without_job", details_.join(jobs_, ["platform", "job_id"], "left_anti")),
+        ("unknown_status", star.crawl_runs(spark, sf).filter(~F.col("status").isin(*reports.STATUSES))), ("jobs_without_activity", jobs_.filter("is_active is null")),
+    ])
+
+
+@query("migrate_platform", "select 'jobs' as table_name, count(*) as n_rows from star_jobs where platform = 'xing' union all select 'details', count(*) from star_details where platform = 'xing' union all select 'hits', count(*) from star_hits h where platform = 'xing' and exists (select 1 from star_jobs j where j.platform = 'xing' and j.job_id = h.job_id)")
+def migrate_platform(spark, sf):
+    return keyed.table_counts(keyed.migrate({"jobs": star.jobs(spark, sf), "details": star.details(spark, sf), "hits": star.hits(spark, sf)}, "xing"))
+
+
+# ---- pages and texts ----
+_TEXT = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace({}, '<(script|style)\\b[^>]*>.*?</(?:script|style)>', ' ', 'gis'), '<!--.*?-->|<[^>]*>', ' ', 'gs'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"
+_TAG = "nullif(" + _TEXT.format("regexp_extract(html, '<{0}\\b[^>]*>(.*?)</{0}>', 1, 'is')") + ", '')"
+
+
+@query("page_fields", f"select page_id, coalesce({_TAG.format('h1')}, {_TAG.format('title')}) as title, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href')) as n_links, len(regexp_extract_all(html, '(?i)<li\\b')) as n_items, length({_TEXT.format('html')}) as n_text from pages")
+def page_fields(spark, sf):
+    rows = extraction.dom_fields(star.table(spark, sf, "pages"))
+    return rows.select("page_id", "title", F.col("n_links").cast("long").alias("n_links"), F.col("n_items").cast("long").alias("n_items"), F.length("text").cast("long").alias("n_text"))
+
+
+_CARD = '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+
+
+@query("page_cards", f"""select page_id, i as rank, case when regexp_matches(h, '^https?://') then h when starts_with(h, '/') then 'https://pages.example.org' || h else 'https://pages.example.org/' || h end as url
+from (select page_id, i, regexp_replace(hs[i], '[?#].*$', '') as h, hs[i] as raw from (select page_id, regexp_extract_all(html, '{_CARD}', 1) as hs from pages) q, unnest(generate_series(1, len(hs))) as t(i)) q where raw <> ''""")
+def page_cards(spark, sf):
+    return extraction.list_cards(star.table(spark, sf, "pages"), "https://pages.example.org").select("page_id", F.col("rank").cast("long").alias("rank"), "url")
+
+
+DICTIONARY = taxonomy.flatten({
+    "articles": [{"canonical": "the", "aliases": ["the"]}, {"canonical": "les", "aliases": {"fr": ["les"], "es": ["los"]}}],
+    "verbs": [{"canonical": "is", "aliases": ["was"]}, {"canonical": "sind", "aliases": ["sind", "ist"]}],
+    "phrases": [{"canonical": "All rights reserved"}, {"canonical": "Licensed", "aliases": ["licensed under"]}],
+})
+
+
+def _skill_sql() -> str:
+    groups: dict = {}
+    for g, _, c, _, a in DICTIONARY:
+        groups.setdefault(g, {}).setdefault(c, []).append(a)
+    parts = []
+    for g, names in groups.items():
+        tests = ", ".join("case when " + " or ".join(f"regexp_matches(t, '(?:^|[^\\p{{L}}\\p{{N}}]){a}(?:$|[^\\p{{L}}\\p{{N}}])')" for a in own) + f" then '{c}' end" for c, own in names.items())
+        parts.append(f"case when concat_ws(',', {tests}) <> '' then '{g}:' || concat_ws(',', {tests}) end")
+    return f"select doc_id, concat_ws('|', {', '.join(parts)}) as skills from (select doc_id, regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g') as t from documents) q"
+
+
+@query("grouped_skills", _skill_sql())
+def grouped_skills(spark, sf):
+    rows = taxonomy.grouped_skills(star.table(spark, sf, "documents").select("doc_id", "text"), DICTIONARY)
+    shown = F.array_join(F.transform(F.map_entries("skills"), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(e["value"], ","))), "|")
+    return rows.select("doc_id", shown.alias("skills"))
+
+
+@query("search_grid", "select 'xing__' || substr(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_'), 1, 40) || '__' || lower(r_name) as name from (select lower(p_name) as l, arg_min(p_name, p_partkey) as p_name from part group by 1) q, (select translate(lower(r_name), ' ', '_') as r_name from region) r")
+def search_grid(spark, sf):
+    words = star.table(spark, sf, "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"]).alias("keywords"))
+    where = star.table(spark, sf, "region").agg(F.array_sort(F.collect_list("r_name")).alias("locations"))
+    return taxonomy.search_grid(words.crossJoin(where).withColumn("platform", F.lit("xing"))).select("name")
+
+
+@query("posting_ids", """select page_id, nullif(coalesce(nullif(regexp_extract(url, '/jobs/view/(?:[^/?#]*-)?([0-9]+)', 1), ''), nullif(regexp_extract(url, '[?&]currentJobId=([0-9]+)', 1), ''), nullif(regexp_extract(url, '/jobs/[^?#]*?-([0-9]+)(?:[/?#.]|$)', 1), '')), '') as posting_id, 'ext_' || substr(sha1(regexp_replace(url, '[?#].*$', '')), 1, 20) as external_id
+from (select page_id, case page_id % 4 when 0 then url || '/jobs/view/some-title-' || page_id || '/?x=1' when 1 then url || '?currentJobId=' || page_id when 2 then url || '/jobs/berlin-title-' || page_id else url end as url from pages) q""")
+def posting_ids(spark, sf):
+    n, u, s = F.col("page_id") % 4, F.col("url"), F.col("page_id").cast("string")
+    rows = star.table(spark, sf, "pages").select("page_id", F.when(n == 0, F.concat(u, F.lit("/jobs/view/some-title-"), s, F.lit("/?x=1"))).when(n == 1, F.concat(u, F.lit("?currentJobId="), s)).when(n == 2, F.concat(u, F.lit("/jobs/berlin-title-"), s)).otherwise(u).alias("url"))
+    return rows.select("page_id", urls.posting_id(F.col("url")).alias("posting_id"), urls.external_id(urls.canonical_url(F.col("url"), "https://x.example.org")).alias("external_id"))

@@ -99,7 +99,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("search_run_id"), _pick(PLATFORMS, F.col("l_orderkey")).alias("platform"), F.col("l_orderkey").cast("string").alias("job_id"),
         F.col("l_linenumber").alias("rank"), F.col("l_quantity").cast("int").alias("page_start"), F.col("l_shipdate").alias("scraped_at"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+        (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100_000 + F.col("l_suppkey")) * 20_000 + F.datediff("l_shipdate", F.lit("1990-01-01"))).alias("seq"),
     )
 
 
@@ -132,7 +132,7 @@ star_geo as (select cast(n_nationkey + 1 as bigint) as id, 'geoapify' as provide
   case when n_nationkey % 7 <> 3 then 48.0::double + n_nationkey * 0.25::double end as lat, case when n_nationkey % 7 <> 3 then 7.0::double + n_nationkey * 0.5::double end as lon,
   case when n_nationkey % 7 <> 3 then case when n_nationkey % 3 = 0 then '' when n_nationkey % 3 = 1 then 'City ' || n_nationkey end end as city,
   case when n_nationkey % 7 = 3 then timestamp '{AS_OF}' - to_days(n_nationkey - 8) end as next_retry_at from nation where n_nationkey < {len(CITIES)}),
-star_hits as (select l_suppkey as search_run_id, {_sql_pick(PLATFORMS, "l_orderkey")} as platform, cast(l_orderkey as varchar) as job_id, l_linenumber as rank, cast(l_quantity as integer) as page_start, l_shipdate as scraped_at, l_orderkey * 8 + l_linenumber as seq from lineitem),
+star_hits as (select l_suppkey as search_run_id, {_sql_pick(PLATFORMS, "l_orderkey")} as platform, cast(l_orderkey as varchar) as job_id, l_linenumber as rank, cast(l_quantity as integer) as page_start, l_shipdate as scraped_at, ((l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey) * 20000 + date_diff('day', date '1990-01-01', cast(l_shipdate as date)) as seq from lineitem),
 star_runs as (select event_id as run_id, {_sql_pick(PLATFORMS, "event_id")} as platform, case when user_id % 3 = 0 then 'manual' else 'schedule' end as trigger,
   case event_type when 'purchase' then 'success' when 'error' then 'failed' when 'click' then 'blocked' when 'signup' then 'running' else 'success' end as status, ts as started_at,
   case when event_type <> 'signup' then ts + to_minutes(event_id % 90) end as finished_at, user_id as search_definition_id, cast(event_id % 7 as integer) as pages_fetched, cast(floor(value) as bigint) as jobs_discovered, props as stats,
