@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normalized(text: str) -> str:
@@ -32,7 +33,7 @@ def flatten(groups: dict) -> list[tuple[str, int, str, int, str]]:
     return rows
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
