@@ -31,6 +31,8 @@ BUCKETS = 1 << 20
 PRIOR, BOUND, DRIFT, LEAST = 0.1, 1.645, 0.25, -1.0
 #: Chance finds expected at which a passage counts as significant; K of the statistics; passages combined in one text.
 SIGNIFICANT, K, COMBINED = 0.05, 0.1, 8
+#: Largest E0: a text without any find has an E of 1 or more, so it never counts as toxic.
+MOST_EVEN = 0.5
 PASSAGES = "array<struct<start:int,end:int,score:double,expected:double>>"
 
 
@@ -150,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     model = Model(scores.astype(np.float32), _rate(scores, c), 1.0)
     found = _finds(rows, "text", model).select("toxic", "expected").toPandas()  # at most `sample` rows of two numbers
     if found["toxic"].nunique() == 2:
-        model.even = _even(found["expected"].to_numpy(), found["toxic"].to_numpy())
+        model.even = min(_even(found["expected"].to_numpy(), found["toxic"].to_numpy()), MOST_EVEN)
     return model
 
 
