@@ -327,7 +327,7 @@ def apply_details(spark, sf):
     return ingest.apply_details(star.details(spark, sf), _detail_log(spark, sf)).select("platform", "job_id", "scraped_at", "parse_ok", "last_error")
 
 
-@query("detail_import_stats", with_sql(_LOG_SQL, "select count(*) as upserted, count_if(parse_ok) as parse_ok, count_if(not parse_ok) as parse_failed, count_if(last_error = 'blocked') as blocked, count_if(last_error = 'blocked') / greatest(count(*), 1) > 0.1 as is_blocked from log"))
+@query("detail_import_stats", with_sql(_LOG_SQL, "select count(*) as upserted, count(nullif(parse_ok, false)) as parse_ok, count(nullif(not parse_ok, false)) as parse_failed, count(nullif(last_error = 'blocked', false)) as blocked, count(nullif(last_error = 'blocked', false)) / greatest(count(*), 1) > 0.1 as is_blocked from log"))
 def detail_import_stats(spark, sf):
     return ingest.detail_stats(_detail_log(spark, sf))
 
@@ -341,7 +341,7 @@ def _page_log(spark, sf):
 _PAGES_SQL = "log as (select user_id as search_run_id, case when event_type in ('click', 'error') then 'page_fetch' when event_type = 'signup' then 'other' else 'job_discovered' end as record_type, cast(event_id % 7 as integer) as page_start, event_type = 'error' as blocked, event_id, ts from events)"
 
 
-@query("search_run_stats", with_sql(_PAGES_SQL, " select search_run_id, count(distinct page_start) as pages, count_if(record_type = 'job_discovered') as discovered, count_if(record_type = 'page_fetch' and blocked) as blocked_pages, count_if(record_type = 'page_fetch' and blocked) / greatest(count(distinct page_start), 1) > 0.5 as blocked from log where record_type <> 'other' group by all"))
+@query("search_run_stats", with_sql(_PAGES_SQL, " select search_run_id, count(distinct page_start) as pages, count(nullif(record_type = 'job_discovered', false)) as discovered, count(nullif(record_type = 'page_fetch' and blocked, false)) as blocked_pages, count(nullif(record_type = 'page_fetch' and blocked, false)) / greatest(count(distinct page_start), 1) > 0.5 as blocked from log where record_type <> 'other' group by all"))
 def search_run_stats(spark, sf):
     return ingest.search_run_stats(_page_log(spark, sf))
 
@@ -371,7 +371,7 @@ def soft_expire(spark, sf):
     return lifecycle.soft_expire(star.jobs(spark, sf), _now()).select("platform", "job_id", "is_active", "stale_since_at", "expired_at", "expire_reason")
 
 
-@query("lifecycle_counts", f"""select platform, count_if(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day) as soft_expired, count_if(last_seen_at < {_AS} - interval 120 day) as jobs_deleted,
+@query("lifecycle_counts", f"""select platform, count(nullif(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day, false)) as soft_expired, count(nullif(last_seen_at < {_AS} - interval 120 day, false)) as jobs_deleted,
 (select count(*) from star_hits h join star_jobs x on x.platform = h.platform and x.job_id = h.job_id where x.last_seen_at < {_AS} - interval 120 day and h.platform = j.platform) as hits_deleted,
 (select count(*) from star_details h join star_jobs x on x.platform = h.platform and x.job_id = h.job_id where x.last_seen_at < {_AS} - interval 120 day and h.platform = j.platform) as details_deleted from star_jobs j group by platform""")
 def lifecycle_counts(spark, sf):
@@ -383,7 +383,7 @@ def hard_delete(spark, sf):
     return lifecycle.hard_delete(star.jobs(spark, sf), {"details": star.details(spark, sf)}, _now())[1]["details"].select("platform", "job_id")
 
 
-@query("lifecycle_totals", f"select 'success' as status, count_if(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day) as soft_expired, count_if(last_seen_at < {_AS} - interval 120 day) as jobs_deleted from star_jobs")
+@query("lifecycle_totals", f"select 'success' as status, count(nullif(coalesce(is_active, true) and last_seen_at < {_AS} - interval 60 day, false)) as soft_expired, count(nullif(last_seen_at < {_AS} - interval 120 day, false)) as jobs_deleted from star_jobs")
 def lifecycle_totals(spark, sf):
     stats = lifecycle.lifecycle_counts(star.jobs(spark, sf), star.hits(spark, sf), star.details(spark, sf), _now()).withColumn("action_status", F.lit("processed"))
     return lifecycle.final_status(stats).select("status", "soft_expired", "jobs_deleted")
@@ -456,13 +456,13 @@ def geocode_reset(spark, sf):
     return geocoding.reset_failed(star.geocodes(spark, sf), _now()).select("id", "status", "attempt_count", "next_retry_at")
 
 
-@query("geocode_coverage", "select platform, count(*) as total, count_if(lat is not null and lon is not null) as geocoded from pt where kind = 'city' group by platform")
+@query("geocode_coverage", "select platform, count(*) as total, count(nullif(lat is not null and lon is not null, false)) as geocoded from pt where kind = 'city' group by platform")
 def geocode_coverage(spark, sf):
     return geocoding.coverage(points(spark, sf))
 
 
 # ---- reports ----
-@query("runs_by_day", "select strftime(started_at, '%Y-%m-%d') as day, trigger, count(*) as total, count_if(status = 'success') as success, count_if(status = 'blocked') as blocked, count_if(status = 'failed') as failed, count_if(status = 'running') as running from star_runs group by all")
+@query("runs_by_day", "select strftime(started_at, '%Y-%m-%d') as day, trigger, count(*) as total, count(nullif(status = 'success', false)) as success, count(nullif(status = 'blocked', false)) as blocked, count(nullif(status = 'failed', false)) as failed, count(nullif(status = 'running', false)) as running from star_runs group by all")
 def runs_by_day(spark, sf):
     return reports.runs_by_day(star.crawl_runs(spark, sf))
 
@@ -490,14 +490,14 @@ def run_mismatches(spark, sf):
     return reports.mismatches(_external(spark, sf), star.crawl_runs(spark, sf), 60)
 
 
-@query("day_comparison", with_sql(_EXT_SQL, """, e as (select strftime(created_at, '%Y-%m-%d') as day, count(*) as t, count_if(conclusion = 'success') as s, count_if(conclusion = 'failure') as f, count_if(conclusion = 'cancelled') as c from ext where event = 'schedule' group by 1),
-r as (select strftime(started_at, '%Y-%m-%d') as day, count(*) as t, count_if(status = 'success') as s, count_if(status = 'blocked') as b, count_if(status = 'failed') as f, count_if(status = 'running') as g from star_runs group by 1)
+@query("day_comparison", with_sql(_EXT_SQL, """, e as (select strftime(created_at, '%Y-%m-%d') as day, count(*) as t, count(nullif(conclusion = 'success', false)) as s, count(nullif(conclusion = 'failure', false)) as f, count(nullif(conclusion = 'cancelled', false)) as c from ext where event = 'schedule' group by 1),
+r as (select strftime(started_at, '%Y-%m-%d') as day, count(*) as t, count(nullif(status = 'success', false)) as s, count(nullif(status = 'blocked', false)) as b, count(nullif(status = 'failed', false)) as f, count(nullif(status = 'running', false)) as g from star_runs group by 1)
 select coalesce(e.day, r.day) as day, coalesce(e.t, 0) as ext_total, coalesce(e.s, 0) as ext_success, coalesce(e.f, 0) as ext_failure, coalesce(e.c, 0) as ext_cancelled, coalesce(r.t, 0) as run_total, coalesce(r.s, 0) as run_success, coalesce(r.b, 0) as run_blocked, coalesce(r.f, 0) as run_failed, coalesce(r.g, 0) as run_running from e full join r on e.day = r.day"""))
 def day_comparison(spark, sf):
     return reports.day_comparison(_external(spark, sf), star.crawl_runs(spark, sf))
 
 
-@query("run_report", "select platform, count(*) as total, count_if(status = 'blocked') as blocked, cast(sum(pages_fetched) as bigint) as pages, cast(sum(jobs_discovered) as bigint) as discovered, count_if(status = 'success') as n_success from star_runs group by platform")
+@query("run_report", "select platform, count(*) as total, count(nullif(status = 'blocked', false)) as blocked, cast(sum(pages_fetched) as bigint) as pages, cast(sum(jobs_discovered) as bigint) as discovered, count(nullif(status = 'success', false)) as n_success from star_runs group by platform")
 def run_report(spark, sf):
     return reports.run_report(star.crawl_runs(spark, sf)).select("platform", "total", "blocked", "pages", "discovered", F.coalesce(F.col("by_status")["success"], F.lit(0)).alias("n_success"))
 
@@ -507,7 +507,7 @@ def dedupe_report(spark, sf):
     return reports.dedupe_report(star.hits(spark, sf))
 
 
-@query("skills_fill", "select platform, count(*) as details, count_if(parse_ok) as parsed, count_if(coalesce(extracted_skills, '{}') <> '{}') as with_skills, round(100.0::double * count_if(coalesce(extracted_skills, '{}') <> '{}') / count(*), 2) as fill_percent from star_details group by platform")
+@query("skills_fill", "select platform, count(*) as details, count(nullif(parse_ok, false)) as parsed, count(nullif(coalesce(extracted_skills, '{}') <> '{}', false)) as with_skills, round(100.0::double * count(nullif(coalesce(extracted_skills, '{}') <> '{}', false)) / count(*), 2) as fill_percent from star_details group by platform")
 def skills_fill(spark, sf):
     return reports.skills_fill(star.details(spark, sf))
 
@@ -517,7 +517,7 @@ def latest_run(spark, sf):
     return star.crawl_runs(spark, sf).groupBy("platform").agg(F.max_by("run_id", F.struct("started_at", "run_id")).alias("run_id"))
 
 
-@query("stale_running", f"select platform, count_if(status = 'running' and started_at < {_EV} - interval 600 minute) as overdue from star_runs group by platform")
+@query("stale_running", f"select platform, count(nullif(status = 'running' and started_at < {_EV} - interval 600 minute, false)) as overdue from star_runs group by platform")
 def stale_running(spark, sf):
     return reports.stale_running(star.crawl_runs(spark, sf), _events_now(), 600)
 
