@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.functions import locations, posted, roles, urls
-from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, reports, taxonomy
+from postlake.functions import intake, locations, posted, roles, urls
+from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, reports, searches, taxonomy
 from postlake.plans import analytics, places, serving
 from postlake.plans import roles as role_plan
 from postlake.plans.unified import event_ts, unify
@@ -600,3 +600,40 @@ def posting_ids(spark, sf):
     n, u, s = F.col("page_id") % 4, F.col("url"), F.col("page_id").cast("string")
     rows = star.table(spark, sf, "pages").select("page_id", F.when(n == 0, F.concat(u, F.lit("/jobs/view/some-title-"), s, F.lit("/?x=1"))).when(n == 1, F.concat(u, F.lit("?currentJobId="), s)).when(n == 2, F.concat(u, F.lit("/jobs/berlin-title-"), s)).otherwise(u).alias("url"))
     return rows.select("page_id", urls.posting_id(F.col("url")).alias("posting_id"), urls.external_id(urls.canonical_url(F.col("url"), "https://x.example.org")).alias("external_id"))
+
+
+# ---- searches and intake ----
+@query("intake_scalars", """select platform, job_id, coalesce(contains(lower(work_type), 'homeoffice') or contains(lower(work_type), 'home office'), false) as homeoffice_possible, coalesce(contains(lower(work_type), 'vollzeit') or contains(lower(work_type), 'full time'), false) as full_time,
+trim(regexp_replace(regexp_replace(lower(trim(coalesce(job_title, ''))), '[/\\s]+|[^0-9a-zÀ-ɏ-]', '-', 'g'), '-+', '-', 'g'), '-') as title_slug, case when last_error is not null then last_error when k % 3 = 0 then 'blocked' end as error
+from (select *, cast(job_id as bigint) as k from star_details) q""")
+def intake_scalars(spark, sf):
+    flags = intake.work_flags(F.col("work_type"))
+    return star.details(spark, sf).select("platform", "job_id", flags["homeoffice_possible"].alias("homeoffice_possible"), flags["full_time"].alias("full_time"), intake.url_slug(F.col("job_title")).alias("title_slug"), intake.detail_error(F.col("last_error"), F.col("job_id").cast("long") % 3 == 0).alias("error"))
+
+
+@query("search_age_days", f"select platform, case when max(finished_at) is null then null when max(case when status = 'success' then finished_at end) >= {_EV} - interval 36 hour then 1 else 7 end as age_days from star_runs group by platform")
+def search_age_days(spark, sf):
+    return searches.age_days(star.crawl_runs(spark, sf), _events_now())
+
+
+@query("step_outcomes", "select platform, count(*) as blocked, cast(0 as bigint) as skipped_backoff from star_runs where cast(json_extract_string(stats, '$.k') as integer) = 7 group by platform")
+def step_outcomes(spark, sf):
+    runs = star.crawl_runs(spark, sf).withColumn("stats", F.when(F.get_json_object("stats", "$.k") == "7", '{"details":{"status":"blocked"}}'))
+    return searches.step_outcomes(runs).filter("blocked > 0")
+
+
+@query("page_budget", """select search_run_id, platform, job_id from (select *, row_number() over (partition by search_run_id order by seq) as n from (select *, row_number() over (partition by search_run_id, job_id order by seq) as f from star_hits) q where f = 1) q where n <= 50""")
+def page_budget(spark, sf):
+    return searches.page_budget(star.hits(spark, sf), "search_run_id", "page_start", "seq", 50, 1000).select("search_run_id", "platform", "job_id")
+
+
+@query("working_student_trend", f"""
+select cast(b as timestamp) as bucket_start, cast(coalesce(n, 0) as bigint) as jobs_unique from generate_series(date_trunc('month', {_AS} - interval 11 month), {_AS}, interval 1 month) as s(b)
+left join (select date_trunc('month', event_ts) as m, count(distinct platform || job_id) as n from cls where is_working_student and is_active and rnk >= 2 group by 1) q on q.m = b""")
+def working_student_trend(spark, sf):
+    return analytics.monthly_trend(role_plan.role_jobs(role_plan.target_jobs(base(spark, sf))), _now())
+
+
+@query("working_student_skills", f"select w as days_window, lower(trim(s)) as skill, count(distinct k.platform || k.job_id) as jobs_unique from skill k join cls using (platform, job_id), (values (30), (90)) as t(w) where is_working_student and is_active and rnk >= 2 and trim(s) <> '' and k.event_ts >= {_AS} - to_days(w) group by all")
+def working_student_skills(spark, sf):
+    return analytics.top_skills(role_plan.role_jobs(role_plan.target_jobs(base(spark, sf))), _now())
