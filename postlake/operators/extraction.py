@@ -75,3 +75,48 @@ def classify_highlights(chips: Column) -> Column:
     """First salary, work model and employment type of ordered chips, and whether one marks an external ad."""
     first = lambda pattern: F.get(F.filter(chips, lambda x: x.rlike(pattern)), F.lit(0))
     return F.struct(first(r"[€$£]|(?i)\beur\b").alias("salary"), first(r"(?i)^(?:remote|hybrid|on-site)$").alias("work_model"), first(r"(?i)^(?:full-time|part-time|internship|student|contract)$").alias("employment_type"), F.exists(chips, lambda x: F.lower(x) == "external job ad").alias("is_external"))
+
+
+def criteria(html: Column, labels: dict[str, str]) -> Column:
+    """Map of key -> text from headings followed by a value (h3, then span), by a table of labels in lower case; unknown labels are left out."""
+    pair = r"(?is)<h3\b[^>]*>(.*?)</h3>\s*<span\b[^>]*>(.*?)</span>"
+    found = F.transform(F.regexp_extract_all(html, F.lit(pair), F.lit(0)), lambda p: F.struct(F.lower(visible_text(F.regexp_extract(p, pair, 1))).alias("label"), visible_text(F.regexp_extract(p, pair, 2)).alias("value")))
+    table = F.create_map(*[F.lit(x) for item in labels.items() for x in item])
+    keyed = F.filter(F.transform(found, lambda x: F.struct(F.element_at(table, x["label"]).alias("key"), x["value"].alias("value"))), lambda x: x["key"].isNotNull())
+    names = F.array_distinct(F.transform(keyed, lambda x: x["key"]))
+    return F.map_from_entries(F.transform(names, lambda n: F.struct(n, F.element_at(F.filter(keyed, lambda x: x["key"] == n), -1)["value"])))  # the last one counts
+
+
+def facet_options(pages: DataFrame) -> DataFrame:
+    """(page_id, facet, label, value) of filter inputs whose label follows; a count in brackets at the label's end is cut."""
+    one = r'(?is)<input\b[^>]*name="(f_[A-Z]+)"[^>]*value="([^"]*)"[^>]*>\s*<label\b[^>]*>(.*?)</label>'
+    rows = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(one), F.lit(0))).alias("x"))
+    label = F.regexp_replace(visible_text(F.regexp_extract("x", one, 3)), r"\s*\([0-9.,]+\)$", "")
+    return rows.select("page_id", F.regexp_extract("x", one, 1).alias("facet"), label.alias("label"), F.regexp_extract("x", one, 2).alias("value"))
+
+
+def section_markers(html: Column, patterns: list[str]) -> Column:
+    """Visible h3 and h4 headings that match one of the patterns, in order."""
+    heads = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<h[34]\b[^>]*>(.*?)</h[34]>"), F.lit(1)), lambda h: visible_text(h))
+    return F.filter(heads, lambda h: h.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False))
+
+
+def main_results(cards: DataFrame, displayed: Column) -> DataFrame:
+    """Cards up to the number that the page says are its own results; all where it does not say. The rank counts from 1."""
+    return cards.filter(displayed.isNull() | (F.col("rank") <= displayed))
+
+
+def has_more(html: Column, label: str = "show more") -> Column:
+    return F.exists(F.regexp_extract_all(html, F.lit(r"(?is)<button\b[^>]*>(.*?)</button>"), F.lit(1)), lambda b: F.lower(visible_text(b)).contains(label))
+
+
+def runtime_state(html: Column, variable: str, path: str) -> Column:
+    """A value of the JSON that a script assigns to a variable; `undefined` in it reads as null."""
+    raw = F.regexp_extract(html, rf"(?s){variable}\s*=\s*(\{{.*?\}})\s*;?\s*</script>", 1)
+    return F.get_json_object(F.regexp_replace(raw, r":\s*undefined\b", ":null"), path)
+
+
+def first_source(sources: dict[str, Column]) -> Column:
+    """(value, source) of the first source in order that has a text."""
+    filled = [F.when(F.trim(c) != "", F.struct(F.trim(c).alias("value"), F.lit(n).alias("source"))) for n, c in sources.items()]
+    return F.coalesce(*filled)

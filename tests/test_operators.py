@@ -155,3 +155,23 @@ def test_search_grid_keeps_the_first_spelling(spark):
     spec = spark.createDataFrame([("x", ["Data  Eng", "data eng", "ML"], ["Berlin", "Bonn"]), ("y", ["a"], [])], "platform string, keywords array<string>, locations array<string>")
     got = sorted((r["name"], r["keyword"]) for r in taxonomy.search_grid(spec).collect())
     assert got == [("x__data_eng__berlin", "Data Eng"), ("x__data_eng__bonn", "Data Eng"), ("x__ml__berlin", "ML"), ("x__ml__bonn", "ML"), ("y__a__x", "a")]
+
+
+def test_page_parts(spark):
+    from postlake.functions.intake import CRITERIA_LABELS
+
+    html = (
+        '<h3> Employment type </h3><span>Full-time</span><h3>Branchen</h3> <span class="x">IT &amp; Co</span><h3>Other</h3><span>x</span>'
+        '<input name="f_JT" value="F"> <label>Full-time (1,204)</label><h4>Similar jobs</h4><button>Show more</button><script>window.S = {"job":{"t":"Dev","u":undefined}};</script>'
+    )
+    df = spark.createDataFrame([(1, html), (2, "")], "page_id int, html string")
+    h = F.col("html")
+    rows = df.select(
+        extraction.criteria(h, CRITERIA_LABELS).alias("c"), extraction.section_markers(h, ["similar", "more in"]).alias("m"), extraction.has_more(h).alias("b"),
+        extraction.runtime_state(h, "window.S", "$.job.t").alias("t"), extraction.first_source({"a": F.lit(" "), "b": extraction.runtime_state(h, "window.S", "$.job.t"), "c": F.lit("z")}).alias("f"),
+    ).collect()
+    assert rows[0]["c"] == {"employment_type": "Full-time", "industries": "IT & Co"} and rows[0]["m"] == ["Similar jobs"] and rows[0]["b"] and rows[0]["t"] == "Dev" and tuple(rows[0]["f"]) == ("Dev", "b")
+    assert rows[1]["c"] == {} and rows[1]["m"] == [] and not rows[1]["b"] and tuple(rows[1]["f"]) == ("z", "c")
+    assert [tuple(r) for r in extraction.facet_options(df).collect()] == [(1, "f_JT", "Full-time", "F")]
+    cards = spark.createDataFrame([(1, 1), (1, 2), (1, 3)], "page_id int, rank int")
+    assert extraction.main_results(cards, F.lit(2)).count() == 2 and extraction.main_results(cards, F.lit(None).cast("int")).count() == 3
