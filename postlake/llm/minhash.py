@@ -7,8 +7,9 @@ every such pair meets in some bucket. c is the smallest number for which a pair
 with probability below MISS (10 chunks at similarity 0.85, 12 at 0.8).
 
 Equal sets are one class. A bucket is not expanded into pairs: each of its members is compared with one hub, another one in
-each bucket, and links are confirmed on the full sets. Only buckets whose members then still lie in several components are compared
-member by member, across components, so that no link that could join two components is lost.
+each bucket, and links are confirmed on the full sets. Only in buckets whose members then still lie in several components are pairs
+formed, across components and as far as the shingles that members share with others allow a link, so that none that could join
+two components is lost.
 """
 
 from __future__ import annotations
@@ -117,9 +118,8 @@ def _near(pairs: DataFrame, classes: DataFrame, chunks: int) -> DataFrame:
     return both.select("a", "b", _distance(F.col("marks_a"), F.col("marks_b")).alias("distance")).filter(F.col("distance") <= 2 * chunks - 1)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs whose full shingle sets have at least `percent` / 100 of their union in common."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _shingles(ids: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(id, shingles): the sorted set of each of these documents."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
 
     def step(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -129,7 +129,11 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words:
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    sets = keep(map_batches(rows, step, "id long, shingles binary", "text").dropDuplicates(["id"]), "shingles")
+    return keep(map_batches(rows, step, "id long, shingles binary", "text").dropDuplicates(["id"]), "shingles")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs whose full shingle sets have at least `percent` / 100 of their union in common."""
 
     def compare(part: pa.RecordBatch) -> pa.RecordBatch:
         ok = []
@@ -143,6 +147,32 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words:
     return map_batches(full, compare, "a long, b long", "set_a")
 
 
+def _able(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, shared) of the sets that can link at all: `shared` counts the shingles that another of these sets has too. What two
+    sets have in common is no more than either's, and no less than `percent` / 100 of the larger set if they link."""
+
+    def spread(part: pa.RecordBatch) -> pa.RecordBatch:
+        own = part.column(1).to_pylist()
+        sizes = np.array([len(x) // 8 for x in own])
+        ids = part.column(0).to_numpy(zero_copy_only=False)
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.frombuffer(b"".join(own), np.int64))], ["rep", "shingle"])
+
+    rows = map_batches(sets, spread, "rep long, shingle long", "shingles")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
+    counted = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n")).join(alone, "rep", "left")
+    return counted.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("int").alias("shared")).filter(F.col("shared") * 100 >= F.col("n") * percent)
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: the links between components are joined into components of components."""
+    ends = links.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left")
+    ends = keep(ends.select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst")), "joined")
+    over = components(ends).toDF("component", "top")
+    old = found.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    new = over.join(found.select(F.col("id").alias("component")), "component", "left_anti").toDF("id", "component")
+    return keep(old.unionByName(new), "components")
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included), kept.
 
@@ -164,24 +194,34 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ends = near.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("id"))
     rank = F.struct("distance", F.xxhash64("a", "b"), "a", "b")
     best = ends.groupBy("id").agg(F.min(rank).alias("best")).select("best.a", "best.b").distinct()
-    links = keep(_confirmed(best, docs, doc_id, text, words, percent), "confirmed")
-    found = components(links, "a", "b")
+    sets = _shingles(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, doc_id, text, words)
+    found = components(_confirmed(best, sets, percent), "a", "b")
     rest = keep(_apart(near.join(best, ["a", "b"], "left_anti"), found), "rest")
     if not rest.isEmpty():
-        links = keep(links.unionByName(_confirmed(rest, docs, doc_id, text, words, percent)), "confirmed")
-        found = components(links, "a", "b")
-
-    # buckets that still hold several components: the pairs across them that no hub has covered
-    member = buckets.join(hubs.select("bucket"), "bucket").join(found.toDF("rep", "component"), "rep", "left")
-    member = member.select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed_ = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low < high and n > 2").select("bucket")
-    open_ = keep(member.join(mixed_, "bucket"), "open")
-    left, right = open_.toDF("bucket", "a", "ca"), open_.toDF("bucket", "b", "cb")
-    across = left.join(right, (left["bucket"] == right["bucket"]) & (left["a"] < right["b"]) & (left["ca"] != right["cb"])).select("a", "b").distinct()
-    across = keep(_near(across.join(near, ["a", "b"], "left_anti"), classes, chunks), "across")
+        found = _joined(found, _confirmed(rest, sets, percent))
+
+    # Buckets that still hold several components: members whose own shingles leave no room for a link are set aside; the others meet
+    # the member with the fewest shingles of its own, the centre of a group of edited copies.
+    member = _labelled(buckets.join(hubs.select("bucket"), "bucket"), found)
+    open_ = keep(member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("n > 2")), "bucket"), "open")
+    sets = _shingles(open_.select(F.col("rep").alias("id")).distinct(), docs, doc_id, text, words)
+    able = keep(_able(sets, percent), "able")
+    open_ = keep(open_.drop("component").join(able, "rep"), "open")
+    centres = open_.groupBy("bucket").agg(F.min_by("rep", F.struct(F.col("n") - F.col("shared"), "rep")).alias("centre"))
+    spokes = open_.join(centres, "bucket").filter("rep != centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+    spokes = keep(_apart(spokes.join(near, ["a", "b"], "left_anti"), found), "spokes")
+    if not spokes.isEmpty():
+        found = _joined(found, _confirmed(_near(spokes, classes, chunks), sets, percent))
+
+    # what is left: pairs across components, as far as their counts of shared shingles allow a link
+    member = _labelled(open_, found)
+    open_ = member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))), "bucket").select("bucket", "rep", "component", "n", "shared")
+    left, right = open_.toDF("bucket", "a", "ca", "na", "sa"), open_.toDF("bucket", "b", "cb", "nb", "sb")
+    room = F.least("sa", "sb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    across = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room).select("a", "b").distinct()
+    across = keep(_near(across.join(near, ["a", "b"], "left_anti").join(spokes, ["a", "b"], "left_anti"), classes, chunks), "across")
     if not across.isEmpty():
-        more = _confirmed(across, docs, doc_id, text, words, percent)
-        found = components(keep(links.unionByName(more), "confirmed"), "a", "b")
+        found = _joined(found, _confirmed(across, sets, percent))
 
     reps = classes.select("class_key", "rep").join(found.toDF("rep", "component"), "rep", "left").select("class_key", F.coalesce("component", "rep").alias("component"))
     out = marked.select("doc_id", "n_shingles", "class_key").join(reps, "class_key", "left")
@@ -190,6 +230,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return out.select(shown(F.col("doc_id")).alias("doc_id"), "n_shingles", shown(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    return members.join(found.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _several(grouped: DataFrame) -> DataFrame:
+    """Buckets with more than one component."""
+    return grouped.filter("low < high").select("bucket")
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components."""
     one = pairs.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left")

@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a new local one."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a new local one for each application."""
+    where = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="postlake-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="postlake-")
+        where = _OWN[app]
     return where.rstrip("/")
 
 
@@ -35,8 +40,7 @@ def components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")
     edges = links.select(F.greatest(a, b).alias("src"), F.least(a, b).alias("dst")).filter("src > dst").distinct()
     edges = keep(edges, "links")
-    seen = None
-    while True:
+    while not _is_forest_of_stars(edges):
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.min("dst").alias("low")).select("src", F.least("src", "low").alias("low"))
         large = both.filter("dst > src").join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
@@ -44,9 +48,12 @@ def components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         low = large.groupBy("src").agg(F.min("dst").alias("low"))
         moved = large.join(low, "src").filter("dst > low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         edges = keep(moved.unionByName(low.select("src", F.col("low").alias("dst"))).distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     roots = edges.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return edges.select(F.col("src").alias("id"), F.col("dst").alias("component")).unionByName(roots)
+
+
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node points at one smaller node that points at none: as a source it has one link, as an end it is no source."""
+    ends = edges.select(F.col("src").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(edges.select(F.col("dst").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    bad = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or (out = 1 and into = 1)")
+    return bad.isEmpty()
