@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 #: Text bytes that one step holds; a longer single text is a step of its own.
 STEP_BYTES = 1 << 21
+#: Rows of an Arrow batch.
+ROWS = 1_000
 
 
 def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -57,6 +59,16 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df itself; its session is set to Arrow batches of at most ROWS rows, which bounds what a JVM task and its Python worker
+    hold at once beside the longest texts. A smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if now <= 0 or now > ROWS:
+        df.sparkSession.conf.set(name, str(ROWS))
+    return df
+
+
 def map_batches(df: DataFrame, step: Callable, schema: T.StructType | str, text: str, size: int = STEP_BYTES) -> DataFrame:
     """df through step(record batch of about `size` text bytes) -> record batch, in Arrow batches inside Spark's tasks."""
 
@@ -65,7 +77,7 @@ def map_batches(df: DataFrame, step: Callable, schema: T.StructType | str, text:
             for part in steps(batch, text, size):
                 yield step(part)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import lists, steps, texts_of
+from postlake.llm.batches import lists, small_batches, steps, texts_of
 from postlake.llm.pieces import Pieces
 
 _LOADED: dict = {}
+#: Pieces and adjacent pairs that a worker remembers; some 80 MB together, kept between tasks.
+PIECES, FITS = 200_000, 300_000
 
 
 class Vocabulary:
@@ -44,7 +46,7 @@ class Vocabulary:
         self.trie.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.shorter: dict[int, int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
 
     def halves_of(self, i: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes token i; None for single bytes."""
@@ -62,7 +64,8 @@ class Vocabulary:
     def may_follow(self, a: int, b: int) -> bool:
         """Whether merging the bytes of a and b from scratch ends with a, b. The seam is undone from the latest merge back:
         a merge across the seam that ranks before the ones that made its two sides would have come first."""
-        known = self.fits.get((a, b))
+        pair = a * self.size + b
+        known = self.fits.get(pair)
         if known is None:
             left, right, before, known = a, b, self.size, True
             while True:
@@ -77,9 +80,9 @@ class Vocabulary:
                     before, left = left, halves_l[1]
                 else:
                     before, right = right + 1, halves_r[0]  # on equal rank the left one of two places merges first
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > FITS:
                 self.fits.clear()
-            self.fits[a, b] = known
+            self.fits[pair] = known
         return known
 
     def next_shorter(self, i: int) -> int:
@@ -128,7 +131,7 @@ def vocabulary(path: str) -> Vocabulary:
 def _encoder(path: str, pattern: str) -> Pieces:
     if (path, pattern) not in _LOADED:
         words = vocabulary(path)
-        _LOADED[path, pattern] = Pieces(lambda new: [np.array(words.encode_piece(p.encode("utf-8", "replace")), np.int32).tobytes() for p in new], pattern)
+        _LOADED[path, pattern] = Pieces(lambda new: [np.array(words.encode_piece(p.encode("utf-8", "replace")), np.int32).tobytes() for p in new], pattern, PIECES)
     return _LOADED[path, pattern]
 
 
@@ -149,7 +152,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", *, vocabulary_
                 column = lists(np.frombuffer(b"".join(packed), np.int32), np.array([len(x) // 4 for x in packed]))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*rest, ids])
 
-    return docs.select(*rest).mapInArrow(run, schema)
+    return small_batches(docs.select(*rest)).mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", *, vocabulary_path: str) -> DataFrame:
@@ -175,7 +178,7 @@ def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", *, vocabular
                 made = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.ascontiguousarray(at).tobytes()), values.buffers()[2] if len(flat) else pa.py_buffer(b"")])
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*rest, out])
 
-    return docs.select(*rest).mapInArrow(run, schema)
+    return small_batches(docs.select(*rest)).mapInArrow(run, schema)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import lists, steps, texts_of
+from postlake.llm.batches import lists, small_batches, steps, texts_of
 from postlake.llm.pieces import Pieces
 from postlake.llm.store import shared_dir
 
@@ -107,7 +107,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "d
                 )
                 before += int(ends[-1])
 
-    made = rows.mapInArrow(run, SCHEMA)
+    made = small_batches(rows).mapInArrow(run, SCHEMA)
     (made.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.create.index", "true")
      .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(stripe_bytes)).option("compression", "zstd").orc(path))
 
@@ -139,7 +139,7 @@ def with_crc32(rows: DataFrame, ids: str = "ids", out: str = "ids_crc32") -> Dat
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(crc, pa.int64())], [*rest, out])
 
-    return rows.select(*rest, ids).mapInArrow(run, schema)
+    return small_batches(rows.select(*rest, ids)).mapInArrow(run, schema)
 
 
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Fit: on a bounded sample of labelled documents, each distinct text once, the documents that hold a word are counted by label, and the word's
 log-odds between toxic and clean text are taken under an informative Dirichlet prior, at their lower confidence bound and
-less a constant, so that rare words and ordinary text drift downwards. Words are hashed into a fixed number of buckets, which bounds the model.
+less a constant, so that rare words and ordinary text drift downwards. Words are known by 64-bit hashes; the model lists those in at least two
+toxic documents of the sample, which bounds it, and gives all others one low score.
 
 Score: one linear scan finds all maximal scoring segments of a text. Their scores follow extreme-value statistics: by chance a text of
 n words holds K n exp(-lambda S) segments of score S. The best ones of a text are combined by the statistics of their sum, and the
@@ -21,14 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import free_name, joined, steps
+from postlake.llm.batches import free_name, joined, small_batches, steps
 from postlake.llm.kernels import PUNCTUATION, word_hashes
+from postlake.llm.store import keep
 
 #: Labelled documents that a fit reads at most, taken by a hash of their id.
 SAMPLE = 30_000
-BUCKETS = 1 << 20
-#: Weight of the prior (documents of background for each document seen), width of the confidence bound, drift, lowest token score.
-PRIOR, BOUND, DRIFT, LEAST = 0.1, 1.645, 0.25, -1.0
+#: Weight of the prior (documents of background for each document seen), width of the confidence bound, drift, lowest token score, and the score of words that are not listed.
+PRIOR, BOUND, DRIFT, LEAST, OTHER = 0.1, 1.645, 0.25, -1.0, -0.5
 #: Chance finds expected at which a passage counts as significant; K of the statistics; passages combined in one text.
 SIGNIFICANT, K, COMBINED = 0.05, 0.1, 8
 #: Largest E0: a text without any find has an E of 1 or more, so it never counts as toxic.
@@ -38,16 +39,24 @@ PASSAGES = "array<struct<start:int,end:int,score:double,expected:double>>"
 
 @dataclass
 class Model:
-    """Token scores by bucket (float32), lambda, and E0."""
+    """Sorted hashes of the listed words and their scores, the score of all others, lambda, and E0."""
 
+    words: np.ndarray
     scores: np.ndarray
+    other: float
     rate: float
     even: float
 
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(hashes), self.other)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.scores[at], self.other)
 
-def _buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hashes, starts, _ = word_hashes(data, PUNCTUATION, lower=True)
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64), starts
+    return hashes.view(np.int64), starts
 
 
 def segments(scores: list[tuple[float, float]]) -> list[tuple[int, int, float]]:
@@ -87,8 +96,8 @@ def _expected(found: list[float], n: int, rate: float) -> float:
 
 def _scan(data: np.ndarray, at: np.ndarray, model: Model) -> Iterator[tuple[float, list[tuple[int, int, float, float]]]]:
     """(E, significant passages by word number) of each text."""
-    buckets, starts = _buckets(data)
-    scores = model.scores[buckets].astype(np.float64)
+    hashes, starts = _words(data)
+    scores = model.of(hashes)
     first = np.searchsorted(starts, at)
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     up = np.concatenate([[False], scores > 0, [False]])
@@ -111,21 +120,22 @@ def _scan(data: np.ndarray, at: np.ndarray, model: Model) -> Iterator[tuple[floa
 
 
 def _counted(rows: DataFrame, text: str) -> DataFrame:
-    """(bucket, toxic, clean): documents of either label that hold a word of the bucket."""
+    """(word, toxic, clean): documents of either label that hold a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, text):
                 data, at = joined(part, text)
-                buckets, starts = _buckets(data)
+                hashes, starts = _words(data)
+                word, number = np.unique(hashes, return_inverse=True)
                 doc = np.searchsorted(at, starts, "right") - 1
-                once = np.unique(doc * BUCKETS + buckets)
-                toxic = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[once // BUCKETS]
-                bucket, inverse = np.unique(once % BUCKETS, return_inverse=True)
-                counts = np.bincount(inverse, weights=toxic, minlength=len(bucket)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(counts), pa.array(np.bincount(inverse, minlength=len(bucket)) - counts)], ["bucket", "toxic", "clean"])
+                once = np.unique(doc * max(len(word), 1) + number)
+                number = once % max(len(word), 1)
+                toxic = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[once // max(len(word), 1)]
+                counts = np.bincount(number, weights=toxic, minlength=len(word)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(counts), pa.array(np.bincount(number, minlength=len(word)) - counts)], ["word", "toxic", "clean"])
 
-    return rows.select(text, "toxic").mapInArrow(run, "bucket long, toxic long, clean long").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return small_batches(rows.select(text, "toxic")).mapInArrow(run, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -138,21 +148,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
     rows = rows.groupBy(F.sha2("text", 256).alias("key")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
-    counts = _counted(rows, "text").toPandas()  # at most one row a bucket
-    toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    toxic[counts["bucket"]], clean[counts["bucket"]] = counts["toxic"], counts["clean"]
-    n_t, n_c = max(toxic.sum(), 1.0), max(clean.sum(), 1.0)
-    seen = toxic + clean
-    prior = PRIOR * seen + 1e-3
-    t, c = (toxic + prior) / (n_t + prior.sum()), (clean + prior) / (n_c + prior.sum())
+    rows = keep(rows, "sample")
+    counts = keep(_counted(rows, "text"), "words")
+    n_t, n_c, distinct = counts.agg(F.sum("toxic"), F.sum("clean"), F.count("*")).first()
+    listed = counts.filter("toxic > 1").orderBy("word").toArrow()  # words of at least two toxic documents of the sample
+    toxic, clean = (listed[c].to_numpy().astype(np.float64) for c in ("toxic", "clean"))
+    n_t, n_c = float(n_t or 0), float(n_c or 0)
+    prior = PRIOR * (toxic + clean) + 1e-3
+    mass = PRIOR * (n_t + n_c) + 1e-3 * distinct
+    t, c = (toxic + prior) / (n_t + mass), (clean + prior) / (n_c + mass)
     odds = np.log(t / (1 - t)) - np.log(c / (1 - c)) - BOUND * np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-    scores = np.where(seen > 0, np.maximum(odds, LEAST), 0.0) - DRIFT
-    if not toxic.any() or not clean.any():
+    scores = np.maximum(odds, LEAST) - DRIFT
+    if not n_t or not n_c:
         scores[:] = -DRIFT
-    model = Model(scores.astype(np.float32), _rate(scores, c), 1.0)
-    found = _finds(rows, "text", model).select("toxic", "expected").toPandas()  # at most `sample` rows of two numbers
-    if found["toxic"].nunique() == 2:
-        model.even = min(_even(found["expected"].to_numpy(), found["toxic"].to_numpy()), MOST_EVEN)
+    rest = -DRIFT + OTHER
+    model = Model(listed["word"].to_numpy().copy(), scores, rest, _rate(np.append(scores, rest), np.append(c, max(1 - c.sum(), 0.0))), 1.0)
+    found = _finds(rows, "text", model).select("toxic", "expected").toArrow()  # at most `sample` rows of two numbers
+    labels_of = found["toxic"].to_numpy()
+    if len(np.unique(labels_of)) == 2:
+        model.even = min(_even(found["expected"].to_numpy(), labels_of), MOST_EVEN)
     return model
 
 
@@ -193,7 +207,7 @@ def _finds(docs: DataFrame, text: str, model: Model, passages: str | None = None
                     columns.append(pa.array([[dict(zip(("start", "end", "score", "expected"), x, strict=True)) for x in p] for _, p in found], kind))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return docs.select(*rest).mapInArrow(run, T.StructType(fields))
+    return small_batches(docs.select(*rest)).mapInArrow(run, T.StructType(fields))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score", passages: str = "passages") -> DataFrame:
