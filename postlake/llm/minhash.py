@@ -27,6 +27,8 @@ from postlake.llm.kernels import SPACES, mixed, run_hashes, word_hashes
 from postlake.llm.store import components, keep
 
 POSITIONS, MISS = 48, 1e-5
+#: Holders up to which a shingle counts as rare where pairs across components are looked for.
+RARE = 40
 #: Ids up to this number (some 10 MB) are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 _NULL_ID = -(1 << 63)
@@ -147,20 +149,35 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(full, compare, "a long, b long", "set_a")
 
 
-def _able(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, shared) of the sets that can link at all: `shared` counts the shingles that another of these sets has too. What two
-    sets have in common is no more than either's, and no less than `percent` / 100 of the larger set if they link."""
+def _spread(sets: DataFrame) -> DataFrame:
+    """(rep, shingle) of all sets."""
 
-    def spread(part: pa.RecordBatch) -> pa.RecordBatch:
+    def step(part: pa.RecordBatch) -> pa.RecordBatch:
         own = part.column(1).to_pylist()
         sizes = np.array([len(x) // 8 for x in own])
         ids = part.column(0).to_numpy(zero_copy_only=False)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.frombuffer(b"".join(own), np.int64))], ["rep", "shingle"])
 
-    rows = map_batches(sets, spread, "rep long, shingle long", "shingles")
-    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    counted = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n")).join(alone, "rep", "left")
-    return counted.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("int").alias("shared")).filter(F.col("shared") * 100 >= F.col("n") * percent)
+    return map_batches(sets, step, "rep long, shingle long", "shingles")
+
+
+def _rare(sets: DataFrame) -> DataFrame:
+    """(shingle, rep) of the shingles that at most RARE of these sets have."""
+    rows = _spread(sets)
+    few = rows.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") <= RARE)
+    return rows.join(few, "shingle").select("shingle", "rep", "holders")
+
+
+def _counts(sets: DataFrame, rare: DataFrame) -> DataFrame:
+    """(rep, n, shared, common): the size of each set, its shingles that another has too, and those that more than RARE have."""
+    own = rare.groupBy("rep").agg(F.count("*").alias("rare"), F.count_if(F.col("holders") == 1).alias("alone"))
+    counted = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n")).join(own, "rep", "left")
+    return counted.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("int").alias("shared"), (F.col("n") - F.coalesce("rare", F.lit(0))).cast("int").alias("common"))
+
+
+def _room(a: str, b: str, percent: int) -> Column:
+    """Whether two sets that have at most least(a, b) shingles in common can link."""
+    return F.least(a, b) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,26 +217,37 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if not rest.isEmpty():
         found = _joined(found, _confirmed(rest, sets, percent))
 
-    # Buckets that still hold several components: members whose own shingles leave no room for a link are set aside; the others meet
-    # the member with the fewest shingles of its own, the centre of a group of edited copies.
+    # Buckets that still hold several components. Two of their members either share a shingle that few of them have, and an
+    # index of those shingles gives these pairs, at most RARE for each entry; or all they share is common, which bounds
+    # what they can share. Members first meet the one with the fewest rare shingles, the centre of a group of edited copies.
     member = _labelled(buckets.join(hubs.select("bucket"), "bucket"), found)
-    open_ = keep(member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("n > 2")), "bucket"), "open")
+    open_ = keep(member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("n > 2")), "bucket").select("bucket", "rep"), "open")
     sets = _shingles(open_.select(F.col("rep").alias("id")).distinct(), docs, doc_id, text, words)
-    able = keep(_able(sets, percent), "able")
-    open_ = keep(open_.drop("component").join(able, "rep"), "open")
-    centres = open_.groupBy("bucket").agg(F.min_by("rep", F.struct(F.col("n") - F.col("shared"), "rep")).alias("centre"))
+    rare = keep(_rare(sets), "rare")
+    counts = keep(_counts(sets, rare), "counts")
+    open_ = keep(open_.join(counts.filter(F.col("common") * 100 >= F.col("n") * percent), "rep"), "open")
+    centres = open_.groupBy("bucket").agg(F.min_by("rep", F.struct(F.col("n") - F.col("common"), "rep")).alias("centre"))
     spokes = open_.join(centres, "bucket").filter("rep != centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
     spokes = keep(_apart(spokes.join(near, ["a", "b"], "left_anti"), found), "spokes")
     if not spokes.isEmpty():
         found = _joined(found, _confirmed(_near(spokes, classes, chunks), sets, percent))
 
-    # what is left: pairs across components, as far as their counts of shared shingles allow a link
+    # pairs across components by a rare shingle, then by bucket, as far as the counts leave room for a link
+    held = _labelled(rare.filter("holders > 1").join(counts.filter(F.col("shared") * 100 >= F.col("n") * percent), "rep"), found).select("shingle", "rep", "component", "n", "shared")
+    left, right = held.toDF("shingle", "a", "ca", "na", "sa"), held.toDF("shingle", "b", "cb", "nb", "sb")
+    by_rare = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("sa", "sb", percent)).select("a", "b").distinct()
+    tested = near.select("a", "b").unionByName(spokes.select("a", "b"))
+    by_rare = keep(_near(by_rare.join(tested, ["a", "b"], "left_anti"), classes, chunks), "across")
+    if not by_rare.isEmpty():
+        found = _joined(found, _confirmed(by_rare, sets, percent))
     member = _labelled(open_, found)
-    open_ = member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))), "bucket").select("bucket", "rep", "component", "n", "shared")
-    left, right = open_.toDF("bucket", "a", "ca", "na", "sa"), open_.toDF("bucket", "b", "cb", "nb", "sb")
-    room = F.least("sa", "sb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
-    across = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room).select("a", "b").distinct()
-    across = keep(_near(across.join(near, ["a", "b"], "left_anti").join(spokes, ["a", "b"], "left_anti"), classes, chunks), "across")
+    open_ = member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))), "bucket").select("bucket", "rep", "component", "n", "common")
+    own = open_.groupBy("rep").agg(F.collect_set("bucket").alias("own"))  # at most one for each position
+    open_ = open_.join(own, "rep").select("bucket", "rep", "component", "n", "common", "own")
+    left, right = open_.toDF("bucket", "a", "ca", "na", "sa", "oa"), open_.toDF("bucket", "b", "cb", "nb", "sb", "ob")
+    once = F.array_min(F.array_intersect("oa", "ob")) == left["bucket"]  # a pair that shares several buckets is made in one of them
+    across = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("sa", "sb", percent) & once).select("a", "b").distinct()
+    across = keep(_near(across.join(tested.unionByName(by_rare.select("a", "b")), ["a", "b"], "left_anti"), classes, chunks), "across")
     if not across.isEmpty():
         found = _joined(found, _confirmed(across, sets, percent))
 
