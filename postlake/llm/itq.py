@@ -1,11 +1,12 @@
-"""Near-duplicate embeddings: binary codes by iterative quantisation, multi-index Hamming tables, reranking by exact cosine.
+"""Near-duplicate embeddings: binary codes by random rotations, multi-index Hamming tables, reranking by exact cosine.
 
-A rotation of the principal components is learned on a bounded sample so that signs lose little; its signs are a balanced binary code.
-Several independent rotations make the code as long as the tables need. Code chunks are the keys of the tables; each
-vector is looked up under its own chunk and the chunks one bit away, and what is found there, unless its whole code is far, is
-compared by cosine in double precision. Equal vectors are one class.
+A code is the signs of a vector under random rotations about the origin. Two vectors at angle t differ in each bit with chance
+t / pi, whatever the other vectors are: nothing is learned or centred, so a shared direction or one large group costs no links.
+Code chunks are the keys of the tables; each vector is looked up under its own chunk and the chunks one bit away, and what is
+found there, unless its code is far, is compared by cosine in double precision. Equal vectors are one class.
 
-Chunks are as wide as the logarithm of the number of vectors, so buckets keep their size as the table grows. Every vector is indexed.
+There are as many tables as make the chance to miss a pair at the threshold at most MISS for the width of the chunks. A sample
+only decides which width costs least: wider ones where vectors that are no links share chunks. Every vector is indexed.
 """
 
 from __future__ import annotations
@@ -20,26 +21,37 @@ from pyspark.sql import functions as F
 from postlake.llm.batches import map_batches
 from postlake.llm.store import components, keep
 
-#: Vectors that the rotations are learned from; rounds of the learning; tables; standard deviations kept above the mean distance.
-SAMPLE, ROUNDS, TABLES, SPREAD = 20_000, 30, 8, 4.5
+#: Vectors that the width is chosen from; least number of tables; chance to miss a pair at the threshold; standard deviations kept above the mean distance.
+SAMPLE, TABLES, MISS, SPREAD = 2_000, 8, 0.005, 4.5
+#: Widths of a chunk; bits of a code that the distance is taken on, as they are in every row of a table.
+WIDTHS, CODE_BITS = range(8, 40), 504
 _NULL_ID = -(1 << 63)
 
 
-def learn(sample: np.ndarray, bits: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection): signs of (x - mean) @ projection are the code. Rows are unit vectors."""
-    mean = sample.mean(0)
-    centred = sample - mean
-    _, _, axes = np.linalg.svd(centred, full_matrices=False)
+def rotations(dims: int, bits: int, seed: int = 7) -> np.ndarray:
+    """Columns of random rotations: signs of x @ rotations are the code."""
     random, out = np.random.default_rng(seed), []
-    while sum(x.shape[1] for x in out) < bits:
-        d = min(len(axes), bits)
-        low = centred @ axes[:d].T
-        turn = np.linalg.qr(random.standard_normal((d, d)))[0]
-        for _ in range(ROUNDS):
-            left, _, right = np.linalg.svd(np.sign(low @ turn).T @ low)
-            turn = right.T @ left.T
-        out.append(axes[:d].T @ turn)
-    return mean, np.concatenate(out, 1)[:, :bits]
+    while (left := bits - sum(x.shape[1] for x in out)) > 0:
+        out.append(np.linalg.qr(random.standard_normal((dims, min(dims, left))))[0])
+    return np.concatenate(out, 1)
+
+
+def _meets(share, width: int):
+    """Chance that two chunks differ in at most one bit when each bit differs with chance `share`."""
+    return (1 - share) ** width + width * share * (1 - share) ** (width - 1)
+
+
+def plan(some: np.ndarray, count: int, least: float) -> tuple[int, int]:
+    """(width, tables): of the widths, each with the tables that MISS asks for, the one with the fewest lookups and candidates."""
+    x = some / np.linalg.norm(some, axis=1, keepdims=True)
+    cosines = (x @ x.T)[np.triu_indices(len(x), 1)]
+    others = np.arccos(np.clip(cosines[cosines < least], -1, 1)) / math.pi
+    share, best = math.acos(least) / math.pi, []
+    for width in WIDTHS:
+        tables = max(TABLES, math.ceil(math.log(MISS) / math.log1p(-_meets(share, width))))
+        met = _meets(others, width).sum() / max(len(cosines), 1)
+        best.append((tables * (count * (width + 2) + met * count * count / 2), width, tables))
+    return min(best)[1:]
 
 
 def _keys(codes: np.ndarray, width: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -88,10 +100,10 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
 
 def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFrame:
     """(a, b), a < b, of classes with cosine >= least that the tables find."""
-    width = max(8, math.ceil(math.log2(count)))
-    bits = TABLES * width
     some = np.array([r["v"] for r in classes.orderBy(F.xxhash64("rep")).limit(sample).select("v").collect()])
-    mean, projection = learn(some / np.linalg.norm(some, axis=1, keepdims=True), bits)
+    width, tables = plan(some, count, least)
+    rotated = rotations(some.shape[1], tables * width)
+    bits = min(tables * width, CODE_BITS)
     share = math.acos(least) / math.pi
     far = math.ceil(bits * share + SPREAD * math.sqrt(bits * share * (1 - share)))
     words = -(-bits // 63)
@@ -100,19 +112,21 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             x = np.array(part.column(1).flatten()).reshape(part.num_rows, -1)
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
-            codes = ((x - mean) @ projection > 0).astype(np.int64)
+            codes = (x @ rotated > 0).astype(np.int64)
             keys, row = _keys(codes, width, probe)
             padded = np.zeros((len(codes), words * 63), np.int64)
-            padded[:, :bits] = codes
+            padded[:, :bits] = codes[:, :bits]
             packed = (padded.reshape(len(codes), words, 63) << np.arange(63, dtype=np.int64)).sum(2)
             ids = part.column(0).to_numpy(zero_copy_only=False)
             flat = pa.FixedSizeListArray.from_arrays(pa.array(packed[row].reshape(-1)), words).cast(pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[row]), flat], ["key", "id", "code"])
 
+        size = max(1, 500 * 8 * 18 // (tables * (width + 1)))
+
         def slices(batches):
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    yield step(batch.slice(at, 500))
+                for at in range(0, batch.num_rows, size):
+                    yield step(batch.slice(at, size))
 
         return classes.select("rep", "v").mapInArrow(slices, "key long, id long, code array<bigint>")
 

@@ -205,6 +205,39 @@ def test_embeddings(spark):
     assert itq.near_vectors(df.limit(0)).count() == 0
 
 
+def crowd(kind, n, dims=64):
+    """Unit vectors that share a direction, with copies at cosine 0.96 or so; one group of near copies among others; or few."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    noise = lambda k: unit(rng.standard_normal((k, dims)))
+    if kind == "shared direction":
+        base = unit(np.sqrt(0.86) * noise(1) + np.sqrt(0.14) * noise(n // 2))
+    elif kind == "one group":
+        return unit(np.concatenate([noise(1) + 0.2 * noise(n * 4 // 5), noise(n // 5)]))
+    else:
+        base = noise(n // 2)
+    return np.concatenate([base, unit(base + 0.28 * noise(len(base)))])
+
+
+@pytest.mark.parametrize(("kind", "n"), [("shared direction", 2000), ("one group", 500), ("few", 40)])
+def test_embeddings_wherever_the_mean_is(spark, kind, n):
+    x = crowd(kind, n).astype(np.float32).astype(float)
+    near = x @ x.T / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1)) >= 0.95
+    links = int(near.sum()) - len(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = sum(r["n_links"] for r in itq.near_vectors(df).collect())
+    assert links > n // 2 and 0.97 * links <= found <= links
+
+
+def test_tables_grow_with_the_width():
+    some = crowd("few", 400)
+    for count in (10**3, 10**5, 10**7, 10**9):
+        width, tables = itq.plan(some, count, 0.95)
+        share = np.arccos(0.95) / np.pi
+        met = (1 - share) ** width + width * share * (1 - share) ** (width - 1)
+        assert width >= np.log2(count) - 6 and (1 - met) ** tables <= 0.005
+
+
 def test_digest_forms(spark):
     rows = corpus(6, 20)
     for module in (windows, bwt):
