@@ -25,9 +25,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group, by five-word shingles at similarity 0.8; of rows that repeat it, one."""
-    gone = minhash.near_duplicates(docs, words=5, percent=80).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group, by five-word shingles at similarity 0.8: with the smallest id (null first), and of rows that repeat it, one.
+
+    Rows are told apart by id and text, so ids may repeat or be null.
+    """
+    rows = minhash.decided(docs, words=5, percent=80).filter("n_shingles > 0")
+    own = [free_name(docs, "key_id"), free_name(docs, "key_text")]
+    mine = docs.withColumns(dict(zip(own, minhash.row_keys(), strict=True)))
+    marks = rows.groupBy(F.col("doc_id").alias(own[0]), F.col("text_key").alias(own[1])).agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1")
+    marks = keep(marks, "marks")
+    marks = F.broadcast(marks) if marks.limit(minhash.BROADCAST_IDS + 1).count() <= minhash.BROADCAST_IDS else marks
+    rest = mine.join(marks.select(*own), own, "left_anti").select(*docs.columns)
+    again = marks.filter("kept").select(*own)
+    if again.isEmpty():
+        return rest
+    return rest.unionByName(mine.join(again, own, "left_semi").dropDuplicates(own).select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

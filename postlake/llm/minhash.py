@@ -42,6 +42,11 @@ def chunks_for(similarity: float) -> int:
     return next((c for c in range(1, POSITIONS) if sum(chance[2 * c :]) < MISS), POSITIONS)
 
 
+def row_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """doc_id (a stand-in for null) and text_key (128-bit digest): rows with both equal repeat each other."""
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_key")]
+
+
 def _sets(part: pa.RecordBatch, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all texts in a row, and where each text's begin."""
     data, at = joined(part, text)
@@ -61,7 +66,7 @@ def _sets(part: pa.RecordBatch, text: str, words: int) -> tuple[np.ndarray, np.n
 
 
 def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """Per row: doc_id, n_shingles (distinct), class_key (digest of the set), signature (16-bit values; null without shingles)."""
+    """Per row: doc_id, text_key, n_shingles (distinct), class_key (digest of the set), signature (16-bit values; null without shingles)."""
 
     def step(part: pa.RecordBatch) -> pa.RecordBatch:
         values, at = _sets(part, "text", words)
@@ -77,10 +82,10 @@ def signatures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
             keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if b > a else None)
             marks.append(lows[i].tolist() if b > a else None)
             i += b > a
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.list_(pa.int32()))], ["doc_id", "n_shingles", "class_key", "signature"])
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.list_(pa.int32()))], ["doc_id", "text_key", "n_shingles", "class_key", "signature"])
 
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(rows, step, "doc_id long, n_shingles long, class_key binary, signature array<int>", "text")
+    rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("text"))
+    return map_batches(rows, step, "doc_id long, text_key binary, n_shingles long, class_key binary, signature array<int>", "text")
 
 
 def _buckets(classes: DataFrame, chunks: int) -> DataFrame:
@@ -120,8 +125,8 @@ def _near(pairs: DataFrame, classes: DataFrame, chunks: int) -> DataFrame:
     return both.select("a", "b", _distance(F.col("marks_a"), F.col("marks_b")).alias("distance")).filter(F.col("distance") <= 2 * chunks - 1)
 
 
-def _shingles(ids: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(id, shingles): the sorted set of each of these documents."""
+def _shingles(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(id, shingles): the sorted set of each of these classes, from the text of its first row."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
 
     def step(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -129,8 +134,9 @@ def _shingles(ids: DataFrame, docs: DataFrame, doc_id: str, text: str, words: in
         sets = [np.unique(values[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    firsts = classes.select(F.col("rep").alias("id"), "first.doc_id", "first.text_key").join(ids, "id", "left_semi")
+    rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(firsts) if few else firsts, ["doc_id", "text_key"]).select("id", "text")
     return keep(map_batches(rows, step, "id long, shingles binary", "text").dropDuplicates(["id"]), "shingles")
 
 
@@ -195,11 +201,21 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Words are runs of non-spaces after lower-casing A-Z. A text with fewer words than a shingle is one shingle; null and empty
     texts have none, link with nothing and are kept. Rows that repeat a doc_id are returned each, with the class of their text;
-    a null doc_id counts as smaller than all others. Extra columns are ignored.
+    a null doc_id counts as smaller than all others. Of each component one row is kept: of those with its smallest doc_id the one
+    whose text has the smallest digest, and of rows that repeat that one, one. Extra columns are ignored.
     """
+    out = decided(docs, doc_id=doc_id, text=text, words=words, percent=percent)
+    shown = lambda c: F.when(F.col(c) > _NULL_ID, F.col(c)).alias(c)
+    return out.select(shown("doc_id"), "n_shingles", shown("component_id"), "kept")
+
+
+def decided(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85) -> DataFrame:
+    """near_duplicates with the text_key of each row; null ids by their stand-in."""
     # Written once: every later step reads it, the texts are read again only for the sets.
-    marked = keep(signatures(docs, doc_id=doc_id, text=text, words=words), "signatures")
-    classes = keep(marked.filter("n_shingles > 0").groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
+    # Ids may repeat or be null, so rows and classes have numbers of their own, fixed by the writing.
+    marked = keep(signatures(docs, doc_id=doc_id, text=text, words=words).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    classes = marked.filter("n_shingles > 0").groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("first"), F.first("signature").alias("signature"))
+    classes = keep(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     chunks = chunks_for(percent / 100)
     buckets = _buckets(classes, chunks)
     salted = F.col("rep").bitwiseXOR(F.col("bucket"))  # another order, so another hub, in each bucket
@@ -211,7 +227,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ends = near.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("id"))
     rank = F.struct("distance", F.xxhash64("a", "b"), "a", "b")
     best = ends.groupBy("id").agg(F.min(rank).alias("best")).select("best.a", "best.b").distinct()
-    sets = _shingles(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, doc_id, text, words)
+    sets = _shingles(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), classes, docs, doc_id, text, words)
     found = components(_confirmed(best, sets, percent), "a", "b")
     rest = keep(_apart(near.join(best, ["a", "b"], "left_anti"), found), "rest")
     if not rest.isEmpty():
@@ -222,7 +238,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     # what they can share. Members first meet the one with the fewest rare shingles, the centre of a group of edited copies.
     member = _labelled(buckets.join(hubs.select("bucket"), "bucket"), found)
     open_ = keep(member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("n > 2")), "bucket").select("bucket", "rep"), "open")
-    sets = _shingles(open_.select(F.col("rep").alias("id")).distinct(), docs, doc_id, text, words)
+    sets = _shingles(open_.select(F.col("rep").alias("id")).distinct(), classes, docs, doc_id, text, words)
     rare = keep(_rare(sets), "rare")
     counts = keep(_counts(sets, rare), "counts")
     open_ = keep(open_.join(counts.filter(F.col("common") * 100 >= F.col("n") * percent), "rep"), "open")
@@ -251,11 +267,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if not across.isEmpty():
         found = _joined(found, _confirmed(across, sets, percent))
 
-    reps = classes.select("class_key", "rep").join(found.toDF("rep", "component"), "rep", "left").select("class_key", F.coalesce("component", "rep").alias("component"))
-    out = marked.select("doc_id", "n_shingles", "class_key").join(reps, "class_key", "left")
-    component = F.coalesce("component", "doc_id")
-    shown = lambda c: F.when(c > _NULL_ID, c)
-    return out.select(shown(F.col("doc_id")).alias("doc_id"), "n_shingles", shown(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    reps = keep(classes.select("class_key", "rep", "first").join(found.toDF("rep", "component"), "rep", "left"), "reps")
+    firsts = reps.filter("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    reps = reps.join(firsts, "component", "left").select("class_key", F.coalesce("least", "first").alias("first"))
+    out = marked.select("doc_id", "text_key", "n_shingles", "class_key", "row").join(reps, "class_key", "left")
+    return out.select("doc_id", "text_key", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
 
 
 def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:

@@ -85,6 +85,13 @@ def test_near_duplicates_repeated_rows_and_null_ids(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_different_texts_with_one_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(200)), " ".join(f"b{i}" for i in range(200))
+    rows = [(None, a), (None, b), (None, a + " more"), (1, "c d e f"), (1, b + " more"), (2, b)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in got) == [(0, 0, False), (0, 0, True), (0, 0, True), (1, 0, False), (1, 1, True), (2, 0, False)]
+
+
 def test_chunks_bound_the_misses():
     assert minhash.chunks_for(0.85) == 10 and minhash.chunks_for(0.8) == 12
 

@@ -145,3 +145,11 @@ def test_pipeline(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[3] == sizes[4] > 0
     last = corpus_pipeline.encode(spark, docs, sf)
     assert last.filter("not round_trip").count() == 0 and last.count() == sizes[-1]
+
+
+def test_near_duplicates_stage_goes_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(1, a, "x"), (1, a, "y"), (2, a, "x"), (2, b, "x"), (None, c, "x"), (None, c, "y"), (3, c, "x"), (None, None, "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (None, c), (None, None), (None, None)], key=str)
