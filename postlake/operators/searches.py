@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.operators.keyed import update_where
+from postlake.plans.places import small
 
 
 def enabled(definitions: DataFrame, platform: str) -> DataFrame:
@@ -81,7 +82,7 @@ def step_outcomes(runs: DataFrame, path: str = "$.details.status") -> DataFrame:
 
 def expected_trigger(external: DataFrame, table: DataFrame) -> DataFrame:
     """external with the trigger that its workflow and event stand for, null if unknown. table: workflow, event, trigger."""
-    return external.withColumn("event", F.lower(F.trim("event"))).join(F.broadcast(table.limit(10_000)), ["workflow", "event"], "left")
+    return external.withColumn("event", F.lower(F.trim("event"))).join(small(table), ["workflow", "event"], "left")
 
 
 def integrity(cases: DataFrame) -> DataFrame:

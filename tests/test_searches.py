@@ -87,3 +87,9 @@ def test_expected_trigger(spark):
     ext = spark.createDataFrame([("w", " Schedule "), ("w", "push")], "workflow string, event string")
     table = spark.createDataFrame([("w", "schedule", "s1")], "workflow string, event string, trigger string")
     assert sorted((r["event"], r["trigger"]) for r in searches.expected_trigger(ext, table).collect()) == [("push", None), ("schedule", "s1")]
+
+
+def test_expected_trigger_of_a_large_table(spark):
+    table = spark.range(10_500).select(F.concat(F.lit("w"), "id").alias("workflow"), F.lit("push").alias("event"), F.col("id").cast("string").alias("trigger"))
+    got = searches.expected_trigger(table.select("workflow", "event"), table)
+    assert got.count() == 10_500 and got.filter("trigger is null").count() == 0
