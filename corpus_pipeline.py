@@ -43,10 +43,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of words of any benchmark item."""
-    hits = winnow.find_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = hits.filter(F.size("hits") > 0).select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a window of words of any benchmark item, told apart by their text, so ids may repeat or be null."""
+    own = free_name(docs, "key_text")
+    mine = docs.withColumn(own, minhash.row_keys()[1])
+    hits = winnow.find_overlaps(mine, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=own)
+    hit = hits.filter(F.size("hits") > 0).select(F.col("doc_id").alias(own))
+    return mine.join(hit, own, "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

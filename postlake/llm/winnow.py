@@ -65,7 +65,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
 
     Null and empty texts have no words and no hits; an item without words matches nothing; one with fewer words than a window
     is one window of its own length. Items with equal words are one class, compared once. Rows that repeat a doc_id are
-    one document, hit wherever one of them is; extra columns are ignored.
+    one document, hit wherever one of them is, and so are rows with a null one; extra columns are ignored.
     """
     # benchmark: one row per distinct word sequence
     known = items.select(F.col(item_id).cast("string").alias("item"), _hashed(F.col(item_text)).alias("h")).filter("size(h) > 0")
@@ -88,8 +88,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     if n_prints <= broadcast_rows:
         joined = base.select("doc_id", "h", "g", F.explode(mine).alias("fp")).join(F.broadcast(table), "fp")
     else:  # only ids and hashes are shuffled to find the documents that share one
-        some = base.select("doc_id", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints.select("fp").distinct(), "fp", "left_semi").select("doc_id").distinct()
-        hit = base.join(some, "doc_id", "left_semi").select("doc_id", "h", "g", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints, "fp")
+        some = base.select("doc_id", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints.select("fp").distinct(), "fp", "left_semi").select(F.col("doc_id").alias("some_id")).distinct()
+        hit = base.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi").select("doc_id", "h", "g", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints, "fp")
         rest = base.select(F.lit(_SENTINEL).cast("long").alias("fp"), "doc_id", "h", "g", F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<bigint>").alias("known"))
         joined = hit.select(*rest.columns).unionByName(rest)
 

@@ -195,6 +195,15 @@ def test_overlaps(spark, broadcast_rows):
     assert winnow.find_overlaps(frame(spark, rows), empty).filter("size(hits) > 0").count() == 0
 
 
+@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
+def test_overlaps_of_null_ids(spark, broadcast_rows):
+    passage = " ".join(f"p{i}" for i in range(12))
+    df = spark.createDataFrame([(None, "a " + passage), (1, passage + " b"), (2, "c d")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    got = {r["doc_id"]: sum(x["end"] - x["start"] for x in r["hits"]) for r in winnow.find_overlaps(df, bench, broadcast_rows=broadcast_rows).collect()}
+    assert got == {None: 12, 1: 12, 2: 0}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((60, 16))

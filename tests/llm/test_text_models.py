@@ -153,3 +153,10 @@ def test_near_duplicates_stage_goes_by_row(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
     assert sorted(got, key=str) == sorted([(1, a), (2, b), (None, c), (None, None), (None, None)], key=str)
+
+
+def test_decontamination_stage_goes_by_row(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(12))
+    spark.createDataFrame([(7, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, "a " + passage), (None, "clean"), (1, passage), (1, "fine"), (2, None)], "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == {(None, "clean"), (1, "fine"), (2, None)}
