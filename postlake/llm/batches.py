@@ -1,7 +1,8 @@
-"""Arrow batches of bounded size inside a task."""
+"""Arrow batches inside a task: slices of bounded size, and memory handed back when a task ends."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,8 +13,21 @@ from pyspark.sql import types as T
 
 #: Text bytes that one step holds; a longer single text is a step of its own.
 STEP_BYTES = 1 << 21
-#: Rows of an Arrow batch.
-ROWS = 1_000
+#: Vocabularies and memos of a worker, kept between tasks until one that needs none of them runs there.
+LOADED: dict = {}
+
+
+def forget() -> None:
+    """Empties LOADED; a nested function would see a copy of it."""
+    LOADED.clear()
+
+
+def release() -> None:
+    """Hands memory that is free back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def steps(batch: pa.RecordBatch, column: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -59,14 +73,20 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values))
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """df itself; its session is set to Arrow batches of at most ROWS rows, which bounds what a JVM task and its Python worker
-    hold at once beside the longest texts. A smaller setting stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(df.sparkSession.conf.get(name))
-    if now <= 0 or now > ROWS:
-        df.sparkSession.conf.set(name, str(ROWS))
-    return df
+def in_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str, loads: bool = False) -> DataFrame:
+    """df through run(record batches of a task) -> record batches. loads: run keeps something in LOADED.
+
+    Spark bounds a batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch). Workers live on between tasks, so each task hands
+    back what it freed, and one that loads nothing empties LOADED first.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not loads:
+            forget()
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def map_batches(df: DataFrame, step: Callable, schema: T.StructType | str, text: str, size: int = STEP_BYTES) -> DataFrame:
@@ -77,7 +97,7 @@ def map_batches(df: DataFrame, step: Callable, schema: T.StructType | str, text:
             for part in steps(batch, text, size):
                 yield step(part)
 
-    return small_batches(df).mapInArrow(run, schema)
+    return in_batches(df, run, schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

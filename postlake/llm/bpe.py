@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -21,10 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import lists, small_batches, steps, texts_of
+from postlake.llm.batches import LOADED, in_batches, lists, steps, texts_of
 from postlake.llm.pieces import Pieces
 
-_LOADED: dict = {}
 #: Pieces and adjacent pairs that a worker remembers; some 80 MB together, kept between tasks.
 PIECES, FITS = 200_000, 300_000
 
@@ -40,14 +40,19 @@ class Vocabulary:
         for token, i in self.rank.items():
             self.bytes_of[i] = token
         self.length = [len(x) for x in self.bytes_of]
-        self.trie = ahocorasick.Automaton()
-        for token, i in self.rank.items():
-            self.trie.add_word(token.decode("latin-1"), i)
-        self.trie.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.shorter: dict[int, int] = {}
         self.fits: dict[int, bool] = {}
 
+    @cached_property
+    def trie(self) -> ahocorasick.Automaton:
+        """Only encoding needs it."""
+        made = ahocorasick.Automaton()
+        for token, i in self.rank.items():
+            made.add_word(token.decode("latin-1"), i)
+        made.make_automaton()
+        return made
+
     def halves_of(self, i: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes token i; None for single bytes."""
         if i not in self.halves:
@@ -123,16 +128,16 @@ class Vocabulary:
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, read once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
+    if path not in LOADED:
+        LOADED[path] = Vocabulary(path)
+    return LOADED[path]
 
 
 def _encoder(path: str, pattern: str) -> Pieces:
-    if (path, pattern) not in _LOADED:
+    if (path, pattern) not in LOADED:
         words = vocabulary(path)
-        _LOADED[path, pattern] = Pieces(lambda new: [np.array(words.encode_piece(p.encode("utf-8", "replace")), np.int32).tobytes() for p in new], pattern, PIECES)
-    return _LOADED[path, pattern]
+        LOADED[path, pattern] = Pieces(lambda new: [np.array(words.encode_piece(p.encode("utf-8", "replace")), np.int32).tobytes() for p in new], pattern, PIECES)
+    return LOADED[path, pattern]
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", *, vocabulary_path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -152,7 +157,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", *, vocabulary_
                 column = lists(np.frombuffer(b"".join(packed), np.int32), np.array([len(x) // 4 for x in packed]))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*rest, ids])
 
-    return small_batches(docs.select(*rest)).mapInArrow(run, schema)
+    return in_batches(docs.select(*rest), run, schema, loads=True)
 
 
 def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", *, vocabulary_path: str) -> DataFrame:
@@ -178,7 +183,7 @@ def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", *, vocabular
                 made = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.ascontiguousarray(at).tobytes()), values.buffers()[2] if len(flat) else pa.py_buffer(b"")])
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*rest, out])
 
-    return small_batches(docs.select(*rest)).mapInArrow(run, schema)
+    return in_batches(docs.select(*rest), run, schema, loads=True)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.batches import map_batches
+from postlake.llm.batches import in_batches
 from postlake.llm.store import components, keep
 
 #: Vectors that the width is chosen from; least number of tables; chance to miss a pair at the threshold; standard deviations kept above the mean distance.

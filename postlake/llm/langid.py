@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import free_name, joined, lists, small_batches, steps
+from postlake.llm.batches import free_name, in_batches, joined, lists, steps
 from postlake.llm.kernels import LOWER, NOT_LETTERS
 
 FEATURES = 1 << 16
@@ -94,7 +94,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
         yield from out()
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and text is not null")
-    counted = small_batches(rows).mapInArrow(run, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
+    counted = in_batches(rows, run, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
     names = counted["lang"].to_pylist()
     langs = sorted(set(names))
     counts = np.zeros((FEATURES + len(SCRIPTS), len(langs)))
@@ -195,7 +195,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", out: str = "la
     marked = free_name(docs, "no_letter")
     rest.append(marked)
     fields.insert(len(rest) - 1, T.StructField(marked, T.BooleanType()))
-    made = small_batches(docs.withColumn(marked, none).select(*rest)).mapInArrow(run, T.StructType(fields))
+    made = in_batches(docs.withColumn(marked, none).select(*rest), run, T.StructType(fields))
     bare = F.col(marked) | F.col(out).isNull()
     return made.withColumns({out: F.when(bare, "und").otherwise(F.col(out)), share: F.when(bare, 0.0).otherwise(F.col(share)), spans: F.when(bare, F.array().cast(SPANS)).otherwise(F.col(spans))}).drop(marked)
 

@@ -6,10 +6,11 @@ differ in at most 2 * c - 1 positions some chunk differs in at most one, so if e
 every such pair meets in some bucket. c is the smallest number for which a pair at the threshold differs in more positions
 with probability below MISS (10 chunks at similarity 0.85, 12 at 0.8).
 
-Equal sets are one class. A bucket is not expanded into pairs: each of its members is compared with one hub, another one in
-each bucket, and links are confirmed on the full sets. Only in buckets whose members then still lie in several components are pairs
-formed, across components and as far as the shingles that members share with others allow a link, so that none that could join
-two components is lost.
+Equal sets are one class. A bucket is not expanded into pairs: each of its members is compared with one hub, the member that shares
+most with others over all its buckets, so a group of edited copies meets its centre. Near pairs are confirmed on the full sets. What
+may still be missing are links between members of one bucket that lie in different components. For these, the members of such buckets
+alone are indexed by the rarest shingles of their sets: of two sets that link, some shingle is among the first few of both, and its
+places bound what the rest can share. These pairs, again near in signature, are confirmed too, so that no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -19,16 +20,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.batches import joined, map_batches
+from postlake.llm.batches import in_batches, joined, map_batches
 from postlake.llm.kernels import SPACES, mixed, run_hashes, word_hashes
 from postlake.llm.store import components, keep
 
 POSITIONS, MISS = 48, 1e-5
-#: Holders up to which a shingle counts as rare where pairs across components are looked for.
-RARE = 40
 #: Ids up to this number (some 10 MB) are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 _NULL_ID = -(1 << 63)
@@ -110,7 +109,7 @@ def _buckets(classes: DataFrame, chunks: int) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 yield step(batch.slice(at, 2000))
 
-    return classes.select("rep", "signature").mapInArrow(slices, "bucket long, rep long")
+    return in_batches(classes.select("rep", "signature"), slices, "bucket long, rep long")
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -119,10 +118,10 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def _near(pairs: DataFrame, classes: DataFrame, chunks: int) -> DataFrame:
-    """(a, b, distance) of the pairs whose signatures are near enough."""
+    """(a, b) of the pairs whose signatures are near enough."""
     marks = classes.select("rep", F.col("signature").alias("marks"))
     both = pairs.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b")
-    return both.select("a", "b", _distance(F.col("marks_a"), F.col("marks_b")).alias("distance")).filter(F.col("distance") <= 2 * chunks - 1)
+    return both.filter(_distance(F.col("marks_a"), F.col("marks_b")) <= 2 * chunks - 1).select("a", "b")
 
 
 def _shingles(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
@@ -137,7 +136,7 @@ def _shingles(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
     firsts = classes.select(F.col("rep").alias("id"), "first.doc_id", "first.text_key").join(ids, "id", "left_semi")
     rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(firsts) if few else firsts, ["doc_id", "text_key"]).select("id", "text")
-    return keep(map_batches(rows, step, "id long, shingles binary", "text").dropDuplicates(["id"]), "shingles")
+    return keep(map_batches(rows, step, "id long, shingles binary", "text").groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -167,30 +166,47 @@ def _spread(sets: DataFrame) -> DataFrame:
     return map_batches(sets, step, "rep long, shingle long", "shingles")
 
 
-def _rare(sets: DataFrame) -> DataFrame:
-    """(shingle, rep) of the shingles that at most RARE of these sets have."""
-    rows = _spread(sets)
-    few = rows.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") <= RARE)
-    return rows.join(few, "shingle").select("shingle", "rep", "holders")
-
+def _hubs(members: DataFrame) -> DataFrame:
+    """(bucket, hub): of each bucket the member whose buckets have most members together."""
+    shared = members.groupBy("rep").agg(F.sum("n").alias("shared"))
+    order = F.struct("shared", -F.col("rep"))
+    return members.join(shared, "rep").groupBy("bucket").agg(F.max_by("rep", order).alias("hub"))
 
-def _counts(sets: DataFrame, rare: DataFrame) -> DataFrame:
-    """(rep, n, shared, common): the size of each set, its shingles that another has too, and those that more than RARE have."""
-    own = rare.groupBy("rep").agg(F.count("*").alias("rare"), F.count_if(F.col("holders") == 1).alias("alone"))
-    counted = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n")).join(own, "rep", "left")
-    return counted.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("int").alias("shared"), (F.col("n") - F.coalesce("rare", F.lit(0))).cast("int").alias("common"))
 
+def _across(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components among these sets that may link by what their rarest shingles show.
 
-def _room(a: str, b: str, percent: int) -> Column:
-    """Whether two sets that have at most least(a, b) shingles in common can link."""
-    return F.least(a, b) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    Of two sets with n_a and n_b shingles that link, both hold one of the others' shingles among their n - ceil(n * percent / 100) + 1
+    rarest ones; if the first such stands at places p_a and p_b (from 0), they share at most min(n_a - p_a, n_b - p_b). A pair is
+    made only from a row outside the shingle's largest component, so a large group costs nothing by itself.
+    """
+    rows = _spread(sets)
+    holders = rows.groupBy("shingle").agg(F.count("*").alias("holders")).filter("holders > 1")
+    held = rows.join(holders, "shingle")
+    sizes = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n"))
+    sizes = sizes.join(held.groupBy("rep").agg(F.count("*").cast("int").alias("shared")), "rep")  # the others stand before all shared ones
+    sizes = sizes.filter(F.col("shared") * 100 >= F.col("n") * percent)
+    order = Window.partitionBy("rep").orderBy("holders", "shingle")
+    placed = held.join(sizes, "rep").withColumn("place", F.col("n") - F.col("shared") + F.row_number().over(order) - 1)
+    placed = placed.filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("shingle", "rep", "n", "place")
+    weight = found.groupBy("component").agg(F.count("*").alias("weight"))
+    label = found.join(weight, "component").toDF("component", "rep", "weight")
+    placed = placed.join(label, "rep", "left").withColumns({"component": F.coalesce("component", "rep"), "weight": F.coalesce("weight", F.lit(1))})
+    placed = keep(placed, "places")
+    mixed_ = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("weight", "component")).alias("top"))
+    placed = placed.join(mixed_.filter("low < high").select("shingle", F.col("top.component").alias("top")), "shingle")
+    left = placed.filter("component != top").select("shingle", "rep", "n", "place", "component").toDF("shingle", "a", "na", "pa", "ca")
+    right = placed.select("shingle", "rep", "n", "place", "component", "top").toDF("shingle", "b", "nb", "pb", "cb", "top")
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    pairs = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))) & room)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more links: the links between components are joined into components of components."""
     ends = links.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left")
     ends = keep(ends.select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst")), "joined")
-    over = components(ends).toDF("component", "top")
+    over = keep(components(ends).toDF("component", "top"), "over")
     old = found.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
     new = over.join(found.select(F.col("id").alias("component")), "component", "left_anti").toDF("id", "component")
     return keep(old.unionByName(new), "components")
@@ -218,52 +234,21 @@ def decided(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", word
     classes = keep(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     chunks = chunks_for(percent / 100)
     buckets = _buckets(classes, chunks)
-    salted = F.col("rep").bitwiseXOR(F.col("bucket"))  # another order, so another hub, in each bucket
-    hubs = buckets.groupBy("bucket").agg(F.min(salted).alias("low"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("low").bitwiseXOR(F.col("bucket")).alias("hub"))
-    pairs = buckets.join(hubs, "bucket").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = keep(buckets.join(shared, "bucket"), "members")
+    pairs = members.join(_hubs(members), "bucket").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     near = keep(_near(pairs, classes, chunks), "near")
-
-    # the nearest hub of each first; other hubs only where that leaves two components
-    ends = near.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("id"))
-    rank = F.struct("distance", F.xxhash64("a", "b"), "a", "b")
-    best = ends.groupBy("id").agg(F.min(rank).alias("best")).select("best.a", "best.b").distinct()
-    sets = _shingles(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), classes, docs, doc_id, text, words)
-    found = components(_confirmed(best, sets, percent), "a", "b")
-    rest = keep(_apart(near.join(best, ["a", "b"], "left_anti"), found), "rest")
-    if not rest.isEmpty():
-        found = _joined(found, _confirmed(rest, sets, percent))
-
-    # Buckets that still hold several components. Two of their members either share a shingle that few of them have, and an
-    # index of those shingles gives these pairs, at most RARE for each entry; or all they share is common, which bounds
-    # what they can share. Members first meet the one with the fewest rare shingles, the centre of a group of edited copies.
-    member = _labelled(buckets.join(hubs.select("bucket"), "bucket"), found)
-    open_ = keep(member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("n > 2")), "bucket").select("bucket", "rep"), "open")
-    sets = _shingles(open_.select(F.col("rep").alias("id")).distinct(), classes, docs, doc_id, text, words)
-    rare = keep(_rare(sets), "rare")
-    counts = keep(_counts(sets, rare), "counts")
-    open_ = keep(open_.join(counts.filter(F.col("common") * 100 >= F.col("n") * percent), "rep"), "open")
-    centres = open_.groupBy("bucket").agg(F.min_by("rep", F.struct(F.col("n") - F.col("common"), "rep")).alias("centre"))
-    spokes = open_.join(centres, "bucket").filter("rep != centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-    spokes = keep(_apart(spokes.join(near, ["a", "b"], "left_anti"), found), "spokes")
-    if not spokes.isEmpty():
-        found = _joined(found, _confirmed(_near(spokes, classes, chunks), sets, percent))
-
-    # pairs across components by a rare shingle, then by bucket, as far as the counts leave room for a link
-    held = _labelled(rare.filter("holders > 1").join(counts.filter(F.col("shared") * 100 >= F.col("n") * percent), "rep"), found).select("shingle", "rep", "component", "n", "shared")
-    left, right = held.toDF("shingle", "a", "ca", "na", "sa"), held.toDF("shingle", "b", "cb", "nb", "sb")
-    by_rare = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("sa", "sb", percent)).select("a", "b").distinct()
-    tested = near.select("a", "b").unionByName(spokes.select("a", "b"))
-    by_rare = keep(_near(by_rare.join(tested, ["a", "b"], "left_anti"), classes, chunks), "across")
-    if not by_rare.isEmpty():
-        found = _joined(found, _confirmed(by_rare, sets, percent))
-    member = _labelled(open_, found)
-    open_ = member.join(_several(member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))), "bucket").select("bucket", "rep", "component", "n", "common")
-    own = open_.groupBy("rep").agg(F.collect_set("bucket").alias("own"))  # at most one for each position
-    open_ = open_.join(own, "rep").select("bucket", "rep", "component", "n", "common", "own")
-    left, right = open_.toDF("bucket", "a", "ca", "na", "sa", "oa"), open_.toDF("bucket", "b", "cb", "nb", "sb", "ob")
-    once = F.array_min(F.array_intersect("oa", "ob")) == left["bucket"]  # a pair that shares several buckets is made in one of them
-    across = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("sa", "sb", percent) & once).select("a", "b").distinct()
-    across = keep(_near(across.join(tested.unionByName(by_rare.select("a", "b")), ["a", "b"], "left_anti"), classes, chunks), "across")
+    crowd = members.filter("n > 2")  # a bucket of two has no pair but the one with its hub
+    ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(crowd.select(F.col("rep").alias("id"))).distinct()
+    sets = _shingles(keep(ids, "ids"), classes, docs, doc_id, text, words)
+    found = keep(components(_confirmed(near, sets, percent), "a", "b"), "components")
+
+    # buckets that still hold several components
+    labelled = crowd.join(found.toDF("rep", "component"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
+    open_ = labelled.join(mixed_, "bucket").select(F.col("rep").alias("id")).distinct()
+    across = _across(keep(sets.join(open_, "id"), "open"), found, percent).join(near, ["a", "b"], "left_anti")
+    across = keep(_near(across, classes, chunks), "across")
     if not across.isEmpty():
         found = _joined(found, _confirmed(across, sets, percent))
 
@@ -274,21 +259,6 @@ def decided(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", word
     return out.select("doc_id", "text_key", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
 
 
-def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
-    return members.join(found.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-
-
-def _several(grouped: DataFrame) -> DataFrame:
-    """Buckets with more than one component."""
-    return grouped.filter("low < high").select("bucket")
-
-
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    one = pairs.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left")
-    return one.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

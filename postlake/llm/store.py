@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 _OWN: dict[str, str] = {}
+#: Arrow batches while a table is written: rows and bytes that a JVM task and its Python worker hold at once beside the longest row.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a new local one for each application."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a new local one for each application if all of Spark runs in one
+    process (tests); elsewhere other machines would not see such a folder, so that is an error."""
     where = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="postlake-")
@@ -23,10 +31,24 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with other settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: the lineage is cut, a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(df.sparkSession, BATCHES):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

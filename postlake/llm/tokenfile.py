@@ -21,11 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import lists, small_batches, steps, texts_of
+from postlake.llm.batches import LOADED, in_batches, lists, steps, texts_of
 from postlake.llm.pieces import Pieces
 from postlake.llm.store import shared_dir
 
-_LOADED: dict = {}
 #: Characters of the strings that hold many new pieces for one call of the library.
 _JOINED = 20_000
 
@@ -77,9 +76,9 @@ class Library:
 
 
 def _encoder(path: str, pattern: str) -> Pieces:
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Pieces(Library(path), pattern)
-    return _LOADED[path, pattern]
+    if (path, pattern) not in LOADED:
+        LOADED[path, pattern] = Pieces(Library(path), pattern)
+    return LOADED[path, pattern]
 
 
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, pattern: str = public_tokenizers.PATTERN, files: int | None = None, stripe_bytes: int = 64 << 20) -> None:
@@ -107,7 +106,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "d
                 )
                 before += int(ends[-1])
 
-    made = small_batches(rows).mapInArrow(run, SCHEMA)
+    made = in_batches(rows, run, SCHEMA, loads=True)
     (made.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.create.index", "true")
      .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(stripe_bytes)).option("compression", "zstd").orc(path))
 
@@ -139,7 +138,7 @@ def with_crc32(rows: DataFrame, ids: str = "ids", out: str = "ids_crc32") -> Dat
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(crc, pa.int64())], [*rest, out])
 
-    return small_batches(rows.select(*rest, ids)).mapInArrow(run, schema)
+    return in_batches(rows.select(*rest, ids), run, schema)
 
 
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.batches import free_name, joined, small_batches, steps
+from postlake.llm.batches import free_name, in_batches, joined, steps
 from postlake.llm.kernels import PUNCTUATION, word_hashes
 from postlake.llm.store import keep
 
@@ -135,7 +135,7 @@ def _counted(rows: DataFrame, text: str) -> DataFrame:
                 counts = np.bincount(number, weights=toxic, minlength=len(word)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(counts), pa.array(np.bincount(number, minlength=len(word)) - counts)], ["word", "toxic", "clean"])
 
-    return small_batches(rows.select(text, "toxic")).mapInArrow(run, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return in_batches(rows.select(text, "toxic"), run, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -207,7 +207,7 @@ def _finds(docs: DataFrame, text: str, model: Model, passages: str | None = None
                     columns.append(pa.array([[dict(zip(("start", "end", "score", "expected"), x, strict=True)) for x in p] for _, p in found], kind))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return small_batches(docs.select(*rest)).mapInArrow(run, T.StructType(fields))
+    return in_batches(docs.select(*rest), run, T.StructType(fields))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score", passages: str = "passages") -> DataFrame:
