@@ -26,7 +26,7 @@ from postlake.llm.batches import LOADED, in_batches, lists, steps, texts_of
 from postlake.llm.pieces import Pieces
 
 #: Pieces and adjacent pairs that a worker remembers; some 80 MB together, kept between tasks.
-PIECES, FITS = 200_000, 300_000
+PIECES, FITS = 100_000, 300_000
 
 
 class Vocabulary:

@@ -3,73 +3,70 @@
 from __future__ import annotations
 
 import re
-import sys
+from functools import cache
+from itertools import compress, repeat
+from operator import is_
 
 import public_tokenizers
 import regex
 
-#: The same alternatives for the standard library's faster engine; it differs only on pieces with these characters.
-_FAST = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_ODD = None
-#: Pieces that a memo holds before it is emptied; bounds a worker's memory to some 150 MB.
-MEMO = 700_000
+#: Pieces of one of a memo's two generations; bounds a worker's memory to some 150 MB.
+MEMO = 350_000
 
 
-def _odd() -> re.Pattern:
-    """Numbers that are no digits and separators: the characters that the two engines put in different classes."""
-    global _ODD
-    if _ODD is None:
-        every = "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)
-        bad: set[str] = set()
-        for quick, full in ((r"[^\W\d_]", r"\p{L}"), (r"\d", r"\p{N}"), (r"\s", r"\s")):
-            bad |= set(re.findall(quick, every)) ^ set(regex.findall(full, every))
+@cache
+def _split() -> re.Pattern:
+    """public_tokenizers.PATTERN for the standard library's faster engine, its classes written out from the full engine's. It holds
+    characters up to U+FFFF, which the engine looks up in one table; texts with others are split by the full engine."""
+    every = "".join(chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000)
+
+    def written(kind: str) -> str:
         runs: list[list[int]] = []
-        for i in sorted(map(ord, bad)):
+        for i in map(ord, regex.findall(kind, every)):
             if runs and runs[-1][1] == i - 1:
                 runs[-1][1] = i
             else:
                 runs.append([i, i])
-        _ODD = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]")
-    return _ODD
+        return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+    letters, numbers, spaces = written(r"\p{L}"), written(r"\p{N}"), written(r"\s")
+    return re.compile(rf" ?[{letters}]+|'(?:s|t|re|ve|m|ll|d)| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
 
 
 class Pieces:
-    """Maps texts to packed little-endian ids; encode_new(list of pieces) gives the packed ids of pieces not in the memo."""
+    """Maps texts to packed little-endian ids; encode_new(list of pieces) gives the packed ids of pieces not in the memo.
+
+    A full memo becomes the older generation and the one before it goes; what is met again moves to the new one.
+    """
 
     def __init__(self, encode_new, pattern: str = public_tokenizers.PATTERN, memo: int = MEMO):
-        self.encode_new, self.memo, self.limit = encode_new, {}, memo
+        self.encode_new, self.memo, self.older, self.limit = encode_new, {}, {}, memo
         self.full = regex.compile(pattern)
-        self.fast = _FAST if pattern == public_tokenizers.PATTERN else None
-        self.odd: set[str] = set()
+        self.fast = _split() if pattern == public_tokenizers.PATTERN else None
+        self.beyond = re.compile("[\U00010000-\U0010ffff]")
+
+    def split(self, text: str) -> list[str]:
+        if self.fast is None or (not text.isascii() and self.beyond.search(text)):
+            return self.full.findall(text)
+        return self.fast.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. New pieces of all texts are encoded together."""
         if len(self.memo) > self.limit:
-            self.memo.clear()
-            self.odd.clear()
-        split = self.fast or self.full
-        pieces = [split.findall(t) for t in texts]
-        found = self._found(pieces)
-        if self.fast is not None and self.odd:  # pieces on which the fast engine may err: their texts again by the full one
-            again = [i for i, own in enumerate(pieces) if not self.odd.isdisjoint(own)]
-            for i, made in zip(again, self._found([self.full.findall(texts[i]) for i in again]), strict=True):
-                found[i] = made
-        return [b"".join(x) for x in found]
-
-    def _found(self, pieces: list[list[str]]) -> list[list[bytes]]:
+            self.memo, self.older = {}, self.memo
         get = self.memo.get
-        found, gaps = [list(map(get, own)) for own in pieces], []
+        pieces = [self.split(t) for t in texts]
+        found = [list(map(get, own)) for own in pieces]
+        gaps: list[tuple[int, int]] = []
         for i, x in enumerate(found):
-            k = -1
-            for _ in range(x.count(None)):
-                k = x.index(None, k + 1)
-                gaps.append((x, k, pieces[i][k]))
-        fresh = list({p for _, _, p in gaps})
-        if fresh:
-            if self.fast is not None:  # both engines agree on letters after at most one space
-                self.odd.update(p for p in fresh if not (p.isalpha() or (p[0] == " " and p[1:].isalpha())) and _odd().search(p))
-            new = dict(zip(fresh, self.encode_new(fresh), strict=True))
-            self.memo.update(new)
-            for x, k, p in gaps:
-                x[k] = new[p]
-        return found
+            if None in x:
+                gaps += zip(repeat(i), compress(range(len(x)), map(is_, x, repeat(None))))
+        if gaps:
+            met = {pieces[i][k] for i, k in gaps}
+            again = met & self.older.keys()
+            self.memo.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            new = list(met - again)
+            self.memo.update(zip(new, self.encode_new(new), strict=True))
+            for i, k in gaps:
+                found[i][k] = self.memo[pieces[i][k]]
+        return [b"".join(x) for x in found]

@@ -8,6 +8,7 @@ document ids skips files, stripes and row groups by their indexes, and the ids b
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,14 +31,14 @@ _JOINED = 20_000
 
 
 class Library:
-    """Ids of new pieces by the tokenizers library, many pieces that begin with a space in one call."""
+    """Ids of new pieces by the tokenizers library, many pieces that begin with a space in one call. Pieces hold no added token."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
-        self.coder.encode_special_tokens = True
+        self.added = {t.content: i for i, t in self.coder.get_added_tokens_decoder().items()}
         back = {chr(b): b for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}  # how byte-level tokens are spelt
         rest = [b for b in range(256) if b not in back.values()]
         back |= {chr(256 + k): b for k, b in enumerate(rest)}
@@ -75,17 +76,39 @@ class Library:
         return [out[p] for p in pieces]
 
 
-def _encoder(path: str, pattern: str) -> Pieces:
+class Coder:
+    """Packed ids of whole texts, as the library gives them by default: added tokens in a text are ids of their own."""
+
+    def __init__(self, path: str, pattern: str):
+        library = Library(path)
+        self.pieces = Pieces(library, pattern)
+        self.packed = {token: np.array([i], np.int32).tobytes() for token, i in library.added.items()}
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(library.added, key=len, reverse=True))) + ")") if library.added else None
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        special = [i for i, t in enumerate(texts) if any(token in t for token in self.packed)]
+        if not special:
+            return self.pieces.encode(texts)
+        parts = {i: self.added.split(texts[i]) for i in special}  # every second part is an added token
+        made = iter(self.pieces.encode([*(t for i, t in enumerate(texts) if i not in parts), *(p for own in parts.values() for p in own[::2])]))
+        out = [b"" if i in parts else next(made) for i in range(len(texts))]
+        for i, own in parts.items():
+            out[i] = b"".join(next(made) if k % 2 == 0 else self.packed[p] for k, p in enumerate(own))
+        return out
+
+
+def _encoder(path: str, pattern: str) -> Coder:
     if (path, pattern) not in LOADED:
-        LOADED[path, pattern] = Pieces(Library(path), pattern)
+        LOADED[path, pattern] = Coder(path, pattern)
     return LOADED[path, pattern]
 
 
-def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, pattern: str = public_tokenizers.PATTERN, files: int | None = None, stripe_bytes: int = 64 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, pattern: str = public_tokenizers.PATTERN, files: int | None = None, stripe_bytes: int = 64 << 20, compression: str = "lz4") -> None:
     """Writes the ids of every text (null: empty) and then end_id, in ascending doc_id order (null first; equal ids by text).
 
     The texts, not the longer ids, are dealt into ranges of document ids, one file each; a task streams through its rows, so
-    its memory follows one step of about 2 MB or the longest single text. An empty table gives files without rows.
+    its memory follows one step of about 2 MB or the longest single text. An empty table gives files without rows. Added tokens of the
+    tokenizer that stand in a text get their own ids, as the library does by default.
     """
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -108,7 +131,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, doc_id: str = "d
 
     made = in_batches(rows, run, SCHEMA, loads=True)
     (made.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.create.index", "true")
-     .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(stripe_bytes)).option("compression", "zstd").orc(path))
+     .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(stripe_bytes)).option("compression", compression).orc(path))
 
 
 SCHEMA = "doc_id long, file int, before long, n_tokens long, ids array<int>"

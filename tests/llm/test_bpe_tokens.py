@@ -73,8 +73,8 @@ def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(JSON)
-    coder.encode_special_tokens = True
-    rows = [(7 * i % 31, t) for i, t in enumerate([*ODD, None, " word word", "über straße"])]
+    rows = [(7 * i % 31, t) for i, t in enumerate([*ODD, None, " word word", "über straße", "a<|endoftext|>b", "<|endoftext|><|endoftext|> c", "x <|endoftext|", "𝒜 b <|endoftext|>"])]
+    assert len(dict(rows)) == len(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     tokenfile.write_tokens(docs, f"{tmp_path}/t", tokenizer=JSON, files=3)
     back = tokenfile.read_tokens(spark, f"{tmp_path}/t")
@@ -91,3 +91,36 @@ def test_token_files(spark, tmp_path):
 def test_token_files_of_an_empty_table(spark, tmp_path):
     tokenfile.write_tokens(spark.createDataFrame([], "doc_id long, text string"), f"{tmp_path}/t", tokenizer=JSON, files=2)
     assert tokenfile.read_tokens(spark, f"{tmp_path}/t").count() == 0
+
+
+def scanned(df):
+    """Rows that the scan of a filtered read gives on."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_a_filter_skips_stripes_and_row_groups(spark, tmp_path):
+    docs = spark.range(0, 12_000, 2).selectExpr("id as doc_id", "concat('word ', id, ' ', repeat('x y ', 20)) as text")
+    tokenfile.write_tokens(docs, f"{tmp_path}/t", tokenizer=JSON, files=2, stripe_bytes=1 << 14)
+    rows = spark.read.schema(tokenfile.SCHEMA).orc(f"{tmp_path}/t")
+    assert scanned(rows) == 6_000
+    assert 0 < scanned(rows.filter("doc_id = 6000")) <= 1_000  # one row group
+    assert scanned(rows.filter("doc_id = 6001")) == 0  # inside the ranges, but in no Bloom filter
+    assert scanned(rows.filter("doc_id > 20000")) == 0
+    assert [r["doc_id"] for r in tokenfile.read_tokens(spark, f"{tmp_path}/t", "doc_id between 5998 and 6002").collect()] == [5998, 6000, 6002]
+
+
+def test_memo_generations_change_nothing():
+    from postlake.llm.pieces import Pieces
+
+    coder = Pieces(lambda new: [f"<{p}>".encode() for p in new], memo=3)
+    for texts in (["a b c d e", "a b"], ["a x y z"], ["", "b a", "it's 12 ok"], ["a b c d e"]) * 2:
+        assert coder.encode(texts) == [b"".join(f"<{p}>".encode() for p in coder.full.findall(t)) for t in texts]
+
+
+def test_split_equals_the_pattern():
+    from postlake.llm.pieces import Pieces
+
+    coder = Pieces(None)
+    for t in [*filter(None, ODD), "Ⅷ ½ ² x\u2028 y\u00a0\u1680 z\u0085", "_a__b 'll're 'S", "e\u0301 न\u093e १२ 𝒜𝟙 😀", "\x1c\x1d a\x1f", "".join(map(chr, range(0x3000)))]:
+        assert coder.split(t) == coder.full.findall(t)
