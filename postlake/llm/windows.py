@@ -3,7 +3,8 @@
 A window is removed if its words also start a window earlier (smaller document id, or earlier in the same document). In each window
 the run of GRAM words with the smallest hash is its anchor; equal windows have equal anchors at the same place, so a
 window whose anchor occurs once in the whole corpus repeats nowhere and needs no count. The hashes of all other windows are counted,
-each with the first document that has it, and removed windows merge into maximal intervals.
+each with the first document that has it, and removed windows merge into maximal intervals. Windows count as equal if 96 bits of two
+hashes of their words agree.
 
 No group is ever gathered: counts and minima are combined before each shuffle, and the only lists are those of one document.
 """
@@ -19,11 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm.batches import joined, lists, map_batches
-from postlake.llm.kernels import SPACES, minimum_places, run_hashes, word_hashes
+from postlake.llm.kernels import SPACES, minimum_places, mixed, run_hashes, word_hashes
 from postlake.llm.store import keep
 
 #: Words of a window, and of its anchor.
 WINDOW, GRAM = 20, 8
+#: Digests of copied texts up to this number (some 10 MB) are broadcast to mark the copies; more are joined by a shuffle.
+BROADCAST_KEYS = 200_000
+_OTHER = np.uint64(0x94D049BB133111EB)
+_NULL_ID = -(1 << 63)
 
 
 class _Step:
@@ -42,8 +47,12 @@ class _Step:
         self.grams = grams
         self.anchor = minimum_places(grams, window - gram + 1)[self.windows] if n else self.windows
 
-    def hashes(self, window: int) -> np.ndarray:
-        return run_hashes(self.words, window)[self.windows].view(np.int64) if len(self.windows) else np.zeros(0, np.int64)
+    def hashes(self, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of every window, of 64 and 32 bits."""
+        if not len(self.windows):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        more = run_hashes(mixed(self.words ^ _OTHER), window)[self.windows] >> np.uint64(32)
+        return run_hashes(self.words, window)[self.windows].view(np.int64), more.astype(np.uint32).view(np.int32)
 
     def kept(self, i: int, removed: np.ndarray) -> bytes:
         """The words of text i that are not removed, joined by one space."""
@@ -66,9 +75,19 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     space: `kept`, or with digest=True only their SHA-256 `kept_sha256`.
 
     Null and empty texts have no words; a text shorter than a window loses none. Rows that repeat a doc_id and text are each returned
-    with the same answer, as one document; a null doc_id comes before all others. Extra columns are ignored.
+    with the same answer, as one document; different texts with one doc_id are documents of their own, in the order of their digests;
+    a null doc_id comes before all others. Extra columns are ignored.
     """
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text).alias("text"))
+    digest_of = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    keys = keep(rows.select("id", digest_of.alias("key")).distinct(), "keys")
+    # inside, a document is known by a number in the order of ids: the id itself where no id has two texts
+    if keys.groupBy("id").count().filter("count > 1").isEmpty():
+        rows, keys = rows.withColumn("doc_id", F.col("id")), keys.withColumn("doc_id", F.col("id"))
+    else:
+        keys = keep(keys.sort("id", "key").withColumn("doc_id", F.monotonically_increasing_id()), "numbers")
+        rows = rows.withColumn("key", digest_of).join(keys, ["id", "key"])
+    rows = rows.select("doc_id", "id", "text")
 
     def anchors(part: pa.RecordBatch) -> pa.RecordBatch:
         s = _Step(part, "text", window, gram)
@@ -86,13 +105,13 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             counts[np.searchsorted(np.sort(order[new]), order[new][twice])] = 2
         return pa.RecordBatch.from_arrays([pa.array(value[one]), pa.array(ids[doc[one]]), pa.array((place - s.first[doc])[one].astype(np.int32)), pa.array(counts)], ["anchor", "doc_id", "at", "n"])
 
-    found = map_batches(rows, anchors, "anchor long, doc_id long, at int, n int", "text")
+    found = map_batches(rows.select("doc_id", "text"), anchors, "anchor long, doc_id long, at int, n int", "text")
     once = found.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("at").alias("at")).filter("n = 1")
     once = once.groupBy("doc_id").agg(F.collect_list("at").alias("once"))
-    # exact copies: all but the smallest id are removed as a whole, and need no windows
-    sha = F.sha2("text", 256)
-    copies = rows.filter("text is not null").select("doc_id", sha.alias("sha")).groupBy("sha").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    copies = rows.select("doc_id", sha.alias("sha")).join(copies, "sha").filter("doc_id > low").select("doc_id", F.lit(True).alias("copy")).distinct()
+    # exact copies: all but the first are removed as a whole, and need no windows
+    copies = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    copies = F.broadcast(copies) if copies.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else copies
+    copies = keys.join(copies, "key").filter("doc_id > low").select("doc_id", F.lit(True).alias("copy"))
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
         """Final rows of texts without a window to count; the others keep their text and the intervals of such windows."""
@@ -121,35 +140,37 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             removed.append([{"start": 0, "end": int(s.n_words[i])}] if gone[i] else [])
         spans = pa.StructArray.from_arrays([pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["start", "end"])
         counted = pa.ListArray.from_arrays(lists(np.zeros(len(of), np.int8), np.bincount(of, minlength=n)).offsets, spans)
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(s.n_words), pa.array(texts, pa.string()), counted, pa.array(removed, _SPANS), pa.array(digests, pa.string())], ["doc_id", "n_words", "text", "counted", "removed", out])
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(4), pa.array(s.n_words), pa.array(texts, pa.string()), counted, pa.array(removed, _SPANS), pa.array(digests, pa.string())], ["doc_id", "id", "n_words", "text", "counted", "removed", out])
 
     out = "kept_sha256" if digest else "kept"
     spans_type = "array<struct<start:int,end:int>>"
     judged = rows.join(once, "doc_id", "left").join(copies, "doc_id", "left")
-    judged = keep(map_batches(judged.select("doc_id", "text", "once", "copy"), judge, f"doc_id long, n_words long, text string, counted {spans_type}, removed {spans_type}, {out} string", "text"), "judged")
+    judged = keep(map_batches(judged.select("doc_id", "text", "once", "copy", "id"), judge, f"doc_id long, id long, n_words long, text string, counted {spans_type}, removed {spans_type}, {out} string", "text"), "judged")
 
     def hashes(part: pa.RecordBatch) -> pa.RecordBatch:
         """The hash of every counted window, once a document."""
         s = _Step(part, "text", window, gram)
         use = _in_runs(s, part.column(2))
-        hashed, doc = s.hashes(window)[use], s.doc[use]
-        one = _first_of(np.stack([doc, hashed], 1)) if len(doc) else doc
-        return pa.RecordBatch.from_arrays([pa.array(hashed[one]), pa.array(part.column(0).to_numpy(zero_copy_only=False)[doc[one]])], ["hash", "doc_id"])
+        hashed, more, doc = *(h[use] for h in s.hashes(window)), s.doc[use]
+        one = _first_of(np.stack([doc, hashed, more], 1)) if len(doc) else doc
+        return pa.RecordBatch.from_arrays([pa.array(hashed[one]), pa.array(more[one]), pa.array(part.column(0).to_numpy(zero_copy_only=False)[doc[one]])], ["hash", "more", "doc_id"])
 
     left = judged.filter("text is not null").select("doc_id", "text", "counted")
-    firsts = map_batches(left, hashes, "hash long, doc_id long", "text").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
-    firsts = firsts.groupBy("doc_id").agg(F.collect_list("hash").alias("firsts"))
+    firsts = map_batches(left, hashes, "hash long, more int, doc_id long", "text").groupBy("hash", "more").agg(F.min("doc_id").alias("doc_id"))
+    firsts = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "more")).alias("firsts"))
 
     def finish(part: pa.RecordBatch) -> pa.RecordBatch:
         """A counted window stays if this text is the first with its hash and it is the first such window of the text."""
         s = _Step(part, "text", window, gram)
         use = _in_runs(s, part.column(2))
-        hashed, doc = s.hashes(window)[use], s.doc[use]
-        mine = np.stack([doc, hashed], 1) if len(doc) else np.zeros((0, 2), np.int64)
+        hashed, more, doc = *(h[use] for h in s.hashes(window)), s.doc[use]
+        mine = np.stack([doc, hashed, more], 1) if len(doc) else np.zeros((0, 3), np.int64)
         first = np.zeros(len(doc), bool)
         first[_first_of(mine)] = True
         owned = part.column(3)
-        keys = np.stack([np.repeat(np.arange(part.num_rows), owned.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), owned.flatten().to_numpy(zero_copy_only=False)], 1)
+        flat = owned.flatten()
+        of = np.repeat(np.arange(part.num_rows), owned.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        keys = np.stack([of, *(flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))], 1)
         gone = ~(first & _is_in(mine, keys))
         removed = np.zeros(len(s.words) + 1, np.int64)
         np.add.at(removed, s.windows[use][gone], 1)
@@ -162,12 +183,12 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
             words = s.kept(i, mask)
             values.append(hashlib.sha256(words).hexdigest() if digest else words.decode("utf-8", "replace"))
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(s.n_words), pa.array(spans, _SPANS), pa.array(values, pa.string())], ["doc_id", "n_words", "removed", out])
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(s.n_words), pa.array(spans, _SPANS), pa.array(values, pa.string())], ["id", "n_words", "removed", out])
 
-    open_rows = left.join(firsts, "doc_id", "left").select("doc_id", "text", "counted", "firsts")
-    finished = map_batches(open_rows, finish, f"doc_id long, n_words long, removed {spans_type}, {out} string", "text")
-    every = judged.filter("text is null").select("doc_id", "n_words", "removed", out).unionByName(finished)
-    return every.withColumn("doc_id", F.when(F.col("doc_id") > -(1 << 63), F.col("doc_id")))
+    open_rows = judged.filter("text is not null").join(firsts, "doc_id", "left").select("id", "text", "counted", "firsts")
+    finished = map_batches(open_rows, finish, f"id long, n_words long, removed {spans_type}, {out} string", "text")
+    every = judged.filter("text is null").select("id", "n_words", "removed", out).unionByName(finished)
+    return every.select(F.when(F.col("id") > _NULL_ID, F.col("id")).alias("doc_id"), "n_words", "removed", out)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -195,11 +216,11 @@ def _in_runs(s: _Step, column: pa.Array) -> np.ndarray:
 
 
 def _is_in(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which rows (text, hash) are among keys; the pairs are ranked together."""
+    """Which rows (text, hashes) are among keys; all are ranked together."""
     both = np.concatenate([keys, rows])
     if not len(both):
         return np.zeros(0, bool)
-    order = np.lexsort((both[:, 1], both[:, 0]))
+    order = np.lexsort(both.T[::-1])
     ranked = both[order]
     group = np.cumsum(np.concatenate([[0], (ranked[1:] != ranked[:-1]).any(1)]))
     has = np.zeros(group[-1] + 1, bool)

@@ -42,6 +42,11 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, made).otherwise(none)
 
 
+def _runs(words: Column, n: int) -> Column:
+    """(n, fp, at) of every run of n words."""
+    return F.transform(_grams(words, n), lambda fp, at: F.struct(F.lit(n).alias("n"), fp.alias("fp"), at.alias("at")))
+
+
 def _kept(grams: Column, window: int, gram: int) -> Column:
     """The smallest of every window - gram + 1 neighbouring hashes."""
     n = window - gram + 1
@@ -50,6 +55,19 @@ def _kept(grams: Column, window: int, gram: int) -> Column:
     return F.when(F.size(grams) >= n, F.array_distinct(made)).otherwise(none)
 
 
+def _kept_places(grams: Column, window: int, gram: int) -> Column:
+    """(fp, at) of the hashes that are the smallest of some window - gram + 1 neighbours."""
+    n = window - gram + 1
+    none = F.array().cast("array<struct<fp:bigint,at:int>>")
+    lows = F.transform(F.sequence(F.lit(0), F.size(grams) - n), lambda i: F.least(*[F.get(grams, i + k) for k in range(n)]))
+
+    def made(low: Column) -> Column:
+        marked = F.transform(grams, lambda g, at: F.when(F.exists(F.sequence(F.greatest(at - n + 1, F.lit(0)), at), lambda i: F.coalesce(F.get(low, i) == g, F.lit(False))), F.struct(g.alias("fp"), at.alias("at"))))
+        return F.filter(marked, lambda x: x.isNotNull())
+
+    return F.when(F.size(grams) >= n, _let(lows, made)).otherwise(none)
+
+
 def _hashed(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
@@ -82,29 +100,34 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     n_prints = prints.count()
 
     # documents: hashes, kept hashes, and one that always joins, which brings the number of words
-    base = docs.select(F.col(doc_id).alias("doc_id"), _let(_hashed(F.col(text)), lambda h: F.struct(h.alias("h"), _grams(h, gram).alias("g"))).alias("x"))
-    base = base.select("doc_id", F.col("x.h").alias("h"), F.col("x.g").alias("g"))
-    mine = F.concat(_kept(F.col("g"), window, gram), F.array(F.lit(_SENTINEL).cast("long")))
+    hashed = _let(_hashed(F.col(text)), lambda h: F.struct(h.alias("h"), _grams(h, gram).alias("g")))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.to_json(F.struct(F.col(doc_id).alias("i"), F.col(text).alias("t")))).alias("key"), hashed.alias("x"))
+    base = base.select("doc_id", "key", F.col("x.h").alias("h"), F.col("x.g").alias("g"))
     if n_prints <= broadcast_rows:
-        joined = base.select("doc_id", "h", "g", F.explode(mine).alias("fp")).join(F.broadcast(table), "fp")
-    else:  # only ids and hashes are shuffled to find the documents that share one
-        some = base.select("doc_id", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints.select("fp").distinct(), "fp", "left_semi").select(F.col("doc_id").alias("some_id")).distinct()
-        hit = base.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi").select("doc_id", "h", "g", F.explode(_kept(F.col("g"), window, gram)).alias("fp")).join(prints, "fp")
-        rest = base.select(F.lit(_SENTINEL).cast("long").alias("fp"), "doc_id", "h", "g", F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<bigint>").alias("known"))
-        joined = hit.select(*rest.columns).unionByName(rest)
-
-    places = F.when(F.col("fp") == _SENTINEL, F.array(F.lit(-1))).otherwise(_places(F.col("g"), F.col("fp")))
-    near = joined.select("doc_id", F.size("h").cast("long").alias("n_words"), "items", "known", "h", F.explode(places).alias("at"))
-    run = near.select("doc_id", "n_words", "items", "at", F.when(F.col("at") >= 0, _extended(_around(F.col("h"), F.col("at"), window, gram), F.col("known"), window, gram)).alias("run"))
+        mine = F.concat(_kept(F.col("g"), window, gram), F.array(F.lit(_SENTINEL).cast("long")))
+        near = base.select("doc_id", "h", "g", F.explode(mine).alias("fp")).join(F.broadcast(table), "fp")
+        places = F.when(F.col("fp") == _SENTINEL, F.array(F.lit(-1))).otherwise(_places(F.col("g"), F.col("fp")))
+        near = near.select("doc_id", F.size("h").cast("long").alias("n_words"), "items", "known", "h", F.explode(places).alias("at"))
+        run = near.select("doc_id", "n_words", "items", "at", F.when(F.col("at") >= 0, _extended(_around(F.col("h"), F.col("at"), window, gram), F.col("known"), window, gram)).alias("run"))
+    else:  # row keys, kept hashes and their places are shuffled; what they meet goes back to the words once a row
+        mine = base.select("key", F.explode(_kept_places(F.col("g"), window, gram)).alias("x")).select("key", "x.fp", "x.at")
+        met = mine.join(prints, "fp").groupBy("key").agg(F.collect_set(F.struct("at", "items", "known")).alias("met"))
+        each = F.transform("met", lambda x: F.struct(x["items"].alias("items"), x["at"].alias("at"), _extended(_around(F.col("h"), x["at"], window, gram), x["known"], window, gram).alias("run")))
+        back = base.join(met, "key").select("doc_id", F.size("h").cast("long").alias("n_words"), F.explode(each).alias("x")).select("doc_id", "n_words", "x.items", "x.at", "x.run")
+        none = base.select("doc_id", F.size("h").cast("long").alias("n_words"), F.lit(None).cast("array<string>").alias("items"), F.lit(-1).alias("at"), F.lit(None).cast("struct<left:int,right:int>").alias("run"))
+        run = back.unionByName(none)
     enough = (F.col("at") < 0) | (F.col("run.left") + F.col("run.right") + gram >= window)
     span = F.when(F.col("at") >= 0, F.struct((F.col("at") - F.col("run.left")).alias("start"), (F.col("at") + gram + F.col("run.right")).alias("end")))
     found = run.filter(enough).select("doc_id", "n_words", "items", span.alias("span"))
-    for n in sorted(sizes["short"] if sizes else []):  # at most window - 1 lengths
-        short = known.filter(F.size("h") == n).select(_grams(F.col("h"), n)[0].alias("fp"), "items")
-        mine = base.select("doc_id", "h", F.explode(F.array_distinct(_grams(F.col("h"), n))).alias("fp"))
-        other = mine.join(F.broadcast(short) if n_prints <= broadcast_rows and short.count() <= broadcast_rows else short, "fp")
-        other = other.select("doc_id", F.size("h").cast("long").alias("n_words"), "items", F.explode(_places(_grams(F.col("h"), n), F.col("fp"))).alias("at"))
-        found = found.unionByName(other.select("doc_id", "n_words", "items", F.struct(F.col("at").alias("start"), (F.col("at") + n).alias("end")).alias("span")))
+    if lengths := sorted(sizes["short"] if sizes else []):  # at most window - 1 lengths, all in one reading
+        short = known.filter(F.size("h") < window)
+        whole = F.coalesce(*[F.when(F.size("h") == n, _grams(F.col("h"), n)[0]) for n in lengths])
+        short = short.select(F.size("h").alias("n"), whole.alias("fp"), "items")
+        runs = [_runs(F.col("h"), n) for n in lengths]
+        mine = base.select("doc_id", F.size("h").cast("long").alias("n_words"), F.explode(F.concat(*runs)).alias("x")).select("doc_id", "n_words", "x.n", "x.fp", "x.at")
+        few = short.limit(broadcast_rows + 1).count() <= broadcast_rows
+        other = mine.join(F.broadcast(short) if few else short, ["n", "fp"])
+        found = found.unionByName(other.select("doc_id", "n_words", "items", F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")).alias("span")))
     merged = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     return merged.select("doc_id", "n_words", _apart(F.col("spans")).alias("hits"), "items")
 

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -118,6 +119,16 @@ def test_repeated_windows(spark, window, gram):
     assert {r["doc_id"]: (r["n_words"], sum(x["end"] - x["start"] for x in r["removed"]), r["kept"]) for r in got} == want
 
 
+def test_repeated_windows_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    rows = [(1, a), (1, b + " " + a), (1, a), (None, c), (2, c + " x"), (None, "one"), (3, "one"), (4, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_words"], sum(x["end"] - x["start"] for x in r["removed"])) for r in windows.remove_repeats(df).collect())
+    first_a = hashlib.md5(a.encode()).digest() < hashlib.md5((b + " " + a).encode()).digest()
+    own = [(1, 30, 0), (1, 30, 0), (1, 60, 30)] if first_a else [(1, 30, 30), (1, 30, 30), (1, 60, 0)]
+    assert got == sorted([*own, (0, 30, 0), (0, 1, 0), (2, 31, 30), (3, 1, 0), (4, 0, 0), (4, 0, 0)])
+
+
 def test_repeated_windows_of_an_empty_table(spark):
     assert windows.remove_repeats(frame(spark, [])).count() == 0
 
@@ -195,6 +206,22 @@ def test_overlaps(spark, broadcast_rows):
     assert winnow.find_overlaps(frame(spark, rows), empty).filter("size(hits) > 0").count() == 0
 
 
+def test_overlaps_beyond_the_broadcast_are_linear(spark):
+    rng = random.Random(9)
+    words = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    took = []
+    for n in (5_000, 40_000):
+        text = words(n)
+        items = spark.createDataFrame([(k, " ".join(text[at : at + 30])) for k, at in enumerate(range(100, n - 100, 200))], "item_id long, text string")
+        df = spark.createDataFrame([(1, " ".join(text)), (1, "other text"), (2, " ".join(words(50)))], "doc_id long, text string")
+        start = time.time()
+        got = {r["doc_id"]: (sum(x["end"] - x["start"] for x in r["hits"]), len(r["items"])) for r in winnow.find_overlaps(df, items, broadcast_rows=0).collect()}
+        took.append(time.time() - start)
+        k = len(range(100, n - 100, 200))
+        assert got == {1: (30 * k, k), 2: (0, 0)}
+    assert took[1] < 8 * took[0] + 5
+
+
 @pytest.mark.parametrize("broadcast_rows", [200_000, 0])
 def test_overlaps_of_null_ids(spark, broadcast_rows):
     passage = " ".join(f"p{i}" for i in range(12))
