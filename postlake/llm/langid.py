@@ -1,4 +1,4 @@
-"""Language identification of mixed text: scripts narrow the candidates, Viterbi over word scores labels the spans.
+"""Language identification of mixed text: script ranges narrow the candidates, Viterbi over word scores labels the spans.
 
 A word's score under a language is the log-probability of its hashed byte trigrams. The best path through a text's words pays a
 penalty for each switch of language; runs of equal labels are the spans, the text's language is the one with most letters.
@@ -21,22 +21,54 @@ from postlake.llm.kernels import LOWER, NOT_LETTERS
 FEATURES = 1 << 16
 #: Smoothing count of a trigram, log penalty of a switch, least share of a language's words for a script to be one of its own.
 SMOOTH, SWITCH, SCRIPT_SHARE = 0.5, 12.0, 0.002
-#: Text bytes whose paths are found together, and languages that a task counts before it passes its counts on.
-GROUP_BYTES, HELD = 8 << 20, 16
-SCRIPTS = ["none", "latin", "greek", "cyrillic", "armenian_hebrew", "arabic", "indic", "kana", "han", "hangul", "other"]
+#: Numbers (words or bytes x languages) that a task holds together beside the longest text, and languages that it counts before it passes its counts on.
+GROUP, HELD = 4 << 20, 16
+#: First and last code point of the ranges of each script, from the blocks of the Unicode standard. A word has the last script here that a character of it has.
+RANGES = {
+    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xAA, 0xAA), (0xBA, 0xBA), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F), (0x250, 0x2AF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)],
+    "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
+    "cyrillic": [(0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)],
+    "armenian": [(0x530, 0x58F)],
+    "hebrew": [(0x590, 0x5FF), (0xFB1D, 0xFB4F)],
+    "arabic": [(0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFE)],
+    "syriac": [(0x700, 0x74F)],
+    "thaana": [(0x780, 0x7BF)],
+    "devanagari": [(0x900, 0x97F), (0xA8E0, 0xA8FF)],
+    "bengali": [(0x980, 0x9FF)],
+    "gurmukhi": [(0xA00, 0xA7F)],
+    "gujarati": [(0xA80, 0xAFF)],
+    "oriya": [(0xB00, 0xB7F)],
+    "tamil": [(0xB80, 0xBFF)],
+    "telugu": [(0xC00, 0xC7F)],
+    "kannada": [(0xC80, 0xCFF)],
+    "malayalam": [(0xD00, 0xD7F)],
+    "sinhala": [(0xD80, 0xDFF)],
+    "thai": [(0xE00, 0xE7F)],
+    "lao": [(0xE80, 0xEFF)],
+    "tibetan": [(0xF00, 0xFFF)],
+    "myanmar": [(0x1000, 0x109F)],
+    "georgian": [(0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)],
+    "ethiopic": [(0x1200, 0x139F), (0x2D80, 0x2DDF)],
+    "cherokee": [(0x13A0, 0x13FF), (0xAB70, 0xABBF)],
+    "khmer": [(0x1780, 0x17FF)],
+    "mongolian": [(0x1800, 0x18AF)],
+    "han": [(0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)],
+    "kana": [(0x3040, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9F)],
+    "bopomofo": [(0x3100, 0x312F)],
+    "hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7FF)],
+}
+SCRIPTS = ["none", *RANGES]
 SPANS = "array<struct<lang:string,start:int,end:int>>"
+_EDGES = np.array(sorted((a, b + 1, k) for k, own in enumerate(RANGES.values(), 1) for a, b in own), np.int64)
 
 
-def _script_of_bytes() -> np.ndarray:
-    """Script number by UTF-8 lead byte; ASCII letters are Latin, continuation bytes none."""
-    out = np.zeros(256, np.uint8)
-    out[65:91] = out[97:123] = 1
-    for first, last, script in ((0xC3, 0xCA, 1), (0xCD, 0xCF, 2), (0xD0, 0xD4, 3), (0xD5, 0xD7, 4), (0xD8, 0xDD, 5), (0xE0, 0xE0, 6), (0xE1, 0xE2, 10), (0xE3, 0xE3, 7), (0xE4, 0xE9, 8), (0xEA, 0xED, 9), (0xF0, 0xF4, 10)):
-        out[first : last + 1] = script
-    return out
+def _script_of(points: np.ndarray) -> np.ndarray:
+    """Script number of each code point, 0 outside all ranges."""
+    at = np.searchsorted(_EDGES[:, 0], points, "right") - 1
+    return np.where((at >= 0) & (points < _EDGES[at, 1]), _EDGES[at, 2], 0).astype(np.uint8)
 
 
-_SCRIPT = _script_of_bytes()
+_ASCII = _script_of(np.arange(256) * (np.arange(256) < 128))
 
 
 @dataclass
@@ -61,7 +93,18 @@ def _features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _scripts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.maximum.reduceat(_SCRIPT[data], starts) if len(starts) else np.zeros(0, np.uint8)
+    """Script of each word: the code points of all multi-byte characters are put together where they begin."""
+    if not len(starts):
+        return np.zeros(0, np.uint8)
+    own = _ASCII[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    if len(lead):
+        b = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+        first, second, third, fourth = (b[lead + k] for k in range(4))
+        second, third, fourth = second & 63, third & 63, fourth & 63
+        points = np.where(first < 0xE0, (first & 31) << 6 | second, np.where(first < 0xF0, (first & 15) << 12 | second << 6 | third, (first & 7) << 18 | second << 12 | third << 6 | fourth))
+        own[lead] = _script_of(points)
+    return np.maximum.reduceat(own, starts)
 
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
@@ -111,11 +154,11 @@ def paths(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     counts = np.diff(first)
     order = np.argsort(-counts, kind="stable")
     longest, begin = counts[order], first[:-1][order]
-    labels = np.zeros(len(scores), np.int8)
-    came = np.zeros(scores.shape, np.int8)
+    labels = np.zeros(len(scores), np.int16)
+    came = np.zeros(scores.shape, np.int16)
     live = np.searchsorted(-longest, -np.arange(1, int(longest[0]) + 1 if len(longest) else 0), "right")
     best = np.zeros((len(order), scores.shape[1]), np.float32)
-    own = np.arange(scores.shape[1], dtype=np.int8)[None, :]
+    own = np.arange(scores.shape[1], dtype=np.int16)[None, :]
     for t, m in enumerate(live):
         word, now = begin[:m] + t, best[:m]
         if t:
@@ -125,7 +168,7 @@ def paths(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
             came[word] = np.where(stay, own, top[:, None])
             now = np.where(stay, now, jump[:, None])
         best[:m] = now + scores[word]
-    state = best.argmax(1).astype(np.int8)
+    state = best.argmax(1).astype(np.int16)
     for t in range(len(live) - 1, -1, -1):
         m = live[t]
         word = begin[:m] + t
@@ -135,6 +178,20 @@ def paths(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return labels
 
 
+def _word_scores(table: np.ndarray, feature: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Score of each word under each language; the features of some words at a time are looked up."""
+    room = max(1, GROUP // table.shape[1])
+    out, k = [], 0
+    ends = np.append(starts[1:], len(feature))
+    while k < len(starts):
+        to = max(k + 1, int(np.searchsorted(ends, starts[k] + room, "right")))
+        each = table[feature[starts[k] : ends[to - 1]]]
+        each[~inside[starts[k] : ends[to - 1]]] = 0
+        out.append(np.add.reduceat(each, starts[k:to] - starts[k], axis=0))
+        k = to
+    return np.concatenate(out)
+
+
 def _labelled(part: pa.RecordBatch, text: str, model: Model, switch: float) -> tuple[pa.Array, pa.Array, pa.Array]:
     """Language, share of its letters, and spans of each text."""
     data, at = joined(part, text)
@@ -144,10 +201,8 @@ def _labelled(part: pa.RecordBatch, text: str, model: Model, switch: float) -> t
         block = data[at[low] : at[high]]
         feature, inside, a, b = _features(block)
         if len(a):
-            each = model.table[feature]
-            each[~inside] = 0
             ok = model.allowed[_scripts(block, a)]
-            made = np.add.reduceat(each, a, axis=0)
+            made = _word_scores(model.table, feature, inside, a)
             scores.append(np.where(ok, made, np.minimum(made, made.min(1, keepdims=True)) - np.float32(50)).astype(np.float32))
             starts.append(a + at[low])
             ends.append(b + at[low])
@@ -185,10 +240,11 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", out: str = "la
     if not model.langs:
         return docs.select(*rest, F.lit("und").alias(out), F.lit(0.0).alias(share), F.array().cast(SPANS).alias(spans))
     kept = docs.sparkSession.sparkContext.broadcast(model)
+    size = max(1 << 16, 8 * GROUP // len(model.langs))  # a word has some eight bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, text, GROUP_BYTES):
+            for part in steps(batch, text, size):
                 yield pa.RecordBatch.from_arrays([*part.columns, *_labelled(part, text, kept.value, switch)], [*rest, *new])
 
     none = ~F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
