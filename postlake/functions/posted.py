@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,21 @@ def unit(norm: Column) -> Column:
     return F.when(norm.rlike(PATTERN_EN), F.regexp_extract(norm, PATTERN_EN, 2)).when(norm.rlike(PATTERN_DE), F.regexp_extract(norm, PATTERN_DE, 2))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once: what stands inside is not copied where the optimizer joins projections or moves filters."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def parsed(text: Column, at: Column) -> Column:
+    """(norm, unit, english, at) of a relative posting time that was read at `at`."""
+
+    def made(norm: Column) -> Column:
+        fields = F.struct(amount(norm).alias("n"), unit(norm).alias("unit"))
+        return once(fields, lambda x: F.struct(norm.alias("norm"), x["unit"].alias("unit"), norm.rlike(PATTERN_EN).alias("english"), back_from(at, norm, x["n"], x["unit"]).alias("at")))
+
+    return once(normalized(text), made)
+
+
 def back_from(at: Column, norm: Column, n: Column, word: Column) -> Column:
     """`at` less the relative time: months and years are calendar steps that clamp at the month's end."""
     single = {f"{u}{s}": v for u, v in UNITS_EN.items() for s in ("", "s")} | UNITS_DE

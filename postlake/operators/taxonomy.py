@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 
@@ -47,26 +48,48 @@ def text_for_matching(text: Column) -> Column:
 def grouped_skills(docs: DataFrame, rows: list[tuple[str, int, str, int, str]], text: str = "text", out: str = "skills") -> DataFrame:
     """docs with `out`: map of group -> canonical names found, in dictionary order; groups without a match are absent.
 
-    An alias is first looked for as a plain substring, then confirmed between word edges; each alias counts on its own.
+    An alias is first looked for as a plain substring, then confirmed between edges: no ASCII letter or digit stands next to it. Each alias
+    counts on its own. The dictionary is one literal array, so the plan does not grow with it.
     """
     folded = "_folded"
     while folded in docs.columns:
         folded = "_" + folded
-    low = F.col(folded)
-    found: dict[str, list[Column]] = {}
-    names: dict[tuple[str, str], list[str]] = {}
-    for group, _, canonical, _, alias in sorted(rows, key=lambda r: (r[1], r[3])):
-        names.setdefault((group, canonical), []).append(alias)
-    for (group, canonical), aliases in names.items():
-        hit = F.lit(False)
-        for alias in aliases:
-            hit = hit | (low.contains(alias) & low.rlike(rf"(?:^|[^\p{{L}}\p{{N}}])\Q{alias}\E(?:$|[^\p{{L}}\p{{N}}])"))
-        found.setdefault(group, []).append(F.when(hit, F.lit(canonical)))
-    pairs = [F.struct(F.lit(g).alias("key"), F.array_compact(F.array(*own)).alias("value")) for g, own in found.items()]
-    made = F.map_filter(F.map_from_entries(F.array(*pairs)), lambda k, v: F.size(v) > 0) if pairs else F.create_map().cast("map<string,array<string>>")
+    ordered = sorted(rows, key=lambda r: (r[1], r[3]))
+    if not ordered:
+        return docs.withColumn(out, F.create_map().cast("map<string,array<string>>"))
+    known = json.dumps([{"g": group, "c": canonical, "a": alias, "p": rf"(?<![A-Za-z0-9])\Q{alias}\E(?![A-Za-z0-9])"} for group, _, canonical, _, alias in ordered])
+    entries = F.from_json(F.lit(known), "array<struct<g:string,c:string,a:string,p:string>>")
+    hits = F.filter(entries, lambda x: F.contains(F.col(folded), x["a"]) & F.rlike(F.col(folded), x["p"]))
+    groups = F.array(*[F.lit(g) for g in dict.fromkeys(r[0] for r in ordered)])
+
+    def grouped(found: Column) -> Column:
+        own = lambda g: F.array_distinct(F.transform(F.filter(found, lambda x: x["g"] == g), lambda x: x["c"]))
+        pairs = F.filter(F.transform(groups, lambda g: F.struct(g.alias("key"), own(g).alias("value"))), lambda p: F.size(p["value"]) > 0)
+        return F.map_from_entries(pairs)
+
+    made = F.element_at(F.transform(F.array(hits), grouped), 1)
     return docs.withColumn(folded, text_for_matching(F.coalesce(F.col(text), F.lit("")))).withColumn(out, made).drop(folded)
 
 
+def recompute_skills(details: DataFrame, pending: DataFrame, rows: list[tuple[str, int, str, int, str]], version: int, at: Column, key: list[str], text: str = "job_description") -> DataFrame:
+    """details after a new run of the dictionary over the rows of pending (keys): skills as JSON, version and time; other rows are untouched."""
+    new = grouped_skills(pending.select(*key, text), rows, text, "_new").select(*key, F.to_json("_new").alias("_new"), F.lit(True).alias("_due"))
+    out = details.join(new, key, "left")
+    due = lambda value, old: F.when(F.col("_due"), value).otherwise(F.col(old)).alias(old)
+    changed = {"extracted_skills": F.col("_new"), "extracted_skills_version": F.lit(version).cast("int"), "extracted_skills_at": at}
+    return out.select(*[due(changed[c], c) if c in changed else F.col(c) for c in details.columns])
+
+
+def search_terms(keywords: DataFrame, places: DataFrame) -> DataFrame:
+    """search_grid for a row a keyword (platform, pos, keyword) and a row a place (platform, location)."""
+    from postlake.functions.urls import slug
+
+    tidy = keywords.select("platform", "pos", F.trim(F.regexp_replace("keyword", r"\s+", " ")).alias("keyword")).filter("keyword <> ''")
+    kept = tidy.groupBy("platform", F.lower("keyword").alias("low")).agg(F.min_by("keyword", "pos").alias("keyword"))
+    both = kept.join(F.broadcast(places), "platform", "left")  # places: the few locations that a platform's configuration lists
+    return both.select("platform", F.concat_ws("__", "platform", slug(F.col("keyword")), slug(F.coalesce("location", F.lit("")))).alias("name"), "keyword", "location")
+
+
 def search_grid(spec: DataFrame) -> DataFrame:
     """One search a keyword and location: (platform, name, keyword, location). spec: platform, keywords, locations (arrays).
 

@@ -8,18 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import skills
+from postlake.plans import places
 from postlake.plans.unified import KEY, event_ts
 
 
-def kpis(base: DataFrame, candidates: DataFrame, as_of: Column, active_days: int | None = 60) -> DataFrame:
-    """One row: active jobs, remote roles among them, companies first seen in a week. active_days=None counts all jobs."""
-    active = base.select(*KEY, "last_seen_at")
-    if active_days is not None:
-        active = active.filter(F.col("last_seen_at") >= as_of - F.lit(timedelta(days=active_days)))
-    remote = candidates.filter("token_kind = 'remote'").select(*KEY).distinct().join(active, KEY, "left_semi")
-    fresh = base.filter(F.col("first_seen_at") >= as_of - F.lit(timedelta(days=7))).select(F.trim("company_name").alias("c")).filter("c <> ''")
-    one = [active.agg(F.count("*").alias("total_active_jobs")), remote.agg(F.count("*").alias("remote_roles")), fresh.agg(F.count_distinct("c").alias("new_companies_7d"))]
-    return one[0].crossJoin(one[1]).crossJoin(one[2]).withColumn("as_of", as_of)  # three rows of one
+def kpis(base: DataFrame, as_of: Column, active_days: int | None = 60) -> DataFrame:
+    """One row: active jobs, remote roles among them, companies first seen in a week. active_days=None counts all jobs.
+
+    One pass over base (a row a job): jobs are counted by new company, then all together.
+    """
+    active = F.lit(True) if active_days is None else F.coalesce(F.col("last_seen_at") >= as_of - F.lit(timedelta(days=active_days)), F.lit(False))
+    fresh = F.when(F.col("first_seen_at") >= as_of - F.lit(timedelta(days=7)), F.nullif(F.trim("company_name"), F.lit("")))
+    rows = base.select(active.alias("active"), (active & F.coalesce(places.remote_like(), F.lit(False))).alias("remote"), fresh.alias("company"))
+    rows = rows.groupBy("company").agg(F.count_if("active").alias("active"), F.count_if("remote").alias("remote"))
+    counts = {"total_active_jobs": F.sum("active"), "remote_roles": F.sum("remote")}
+    return rows.agg(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in counts.items()], F.count("company").alias("new_companies_7d")).withColumn("as_of", as_of)
 
 
 def monthly_trend(base: DataFrame, as_of: Column, months: int = 12) -> DataFrame:

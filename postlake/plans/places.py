@@ -11,24 +11,34 @@ from postlake.functions import locations, skills
 from postlake.plans.unified import KEY, event_ts
 
 
-def location_candidates(base: DataFrame) -> DataFrame:
-    """A row for each city token kept of a job and one for a remote-like job.
+def _location() -> Column:
+    return F.nullif(F.trim("job_location"), F.lit(""))
+
+
+def remote_like() -> Column:
+    """Whether a job of the unified table can be done from anywhere; null if nothing tells."""
+    home = F.when(F.col("platform") == "stepstone", F.col("homeoffice_possible"))
+    model = F.when(F.col("platform") == "xing", F.col("work_model"))
+    return locations.is_remote_like(_location(), home, model)
+
+
+def location_candidates(base: DataFrame, carry: bool = False) -> DataFrame:
+    """A row for each city token kept of a job and one for a remote-like job; carry keeps all columns of base in it.
 
     Tokens are filtered and made distinct inside the array, so dropped ones never become rows and no shuffle is needed: all
     windows of the rule run over one row's array.
     """
-    raw = F.nullif(F.trim("job_location"), F.lit(""))
-    home = F.when(F.col("platform") == "stepstone", F.col("homeoffice_possible"))
-    model = F.when(F.col("platform") == "xing", F.col("work_model"))
-    rows = base.select(*KEY, raw.alias("job_location_raw"), locations.is_remote_like(raw, home, model).alias("is_remote_like"), F.lit("de").alias("country_scope"), F.array_sort(locations.city_tokens(locations.canonical(raw))).alias("tokens"))
+    raw = _location()
+    carried = [c for c in base.columns if c not in (*KEY, "is_remote_like")] if carry else []
+    rows = base.select(*KEY, *carried, raw.alias("job_location_raw"), remote_like().alias("is_remote_like"), F.lit("de").alias("country_scope"), F.array_sort(locations.city_tokens(locations.canonical(raw))).alias("tokens"))
     total = F.size("tokens")
     admin = lambda t: t["token"].isin(*locations.ADMIN_REGIONS)
     rows = rows.withColumns({"map_locations_total": total, "map_locations_used": F.least(total, F.lit(locations.MOST_TOKENS)), "has_city_tokens": total > 0, "any_city": F.exists("tokens", lambda t: ~admin(t))})
     ranked = F.transform(F.slice("tokens", 1, locations.MOST_TOKENS), lambda t, i: F.struct((i + 1).alias("city_token_idx"), t["token"].alias("city_token_norm"), F.lit("city").alias("token_kind")))
     cities = F.filter(ranked, lambda t: ~F.col("any_city") | ~t["city_token_norm"].isin(*locations.ADMIN_REGIONS))
     remote = F.when(F.col("is_remote_like"), F.array(F.struct(F.lit(None).cast("int").alias("city_token_idx"), F.lit(None).cast("string").alias("city_token_norm"), F.lit("remote").alias("token_kind")))).otherwise(F.array())
-    out = rows.select(*KEY, "job_location_raw", "is_remote_like", "has_city_tokens", "map_locations_total", "map_locations_used", "country_scope", F.explode(F.concat(cities, remote)).alias("t"))
-    return out.select(*KEY, "job_location_raw", "is_remote_like", "has_city_tokens", "map_locations_total", "map_locations_used", "t.*", F.col("t.city_token_norm").alias("city_token_raw"), "country_scope")
+    out = rows.select(*KEY, *carried, "job_location_raw", "is_remote_like", "has_city_tokens", "map_locations_total", "map_locations_used", "country_scope", F.explode(F.concat(cities, remote)).alias("t"))
+    return out.select(*KEY, *carried, "job_location_raw", "is_remote_like", "has_city_tokens", "map_locations_total", "map_locations_used", "t.*", F.col("t.city_token_norm").alias("city_token_raw"), "country_scope")
 
 
 def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
@@ -37,9 +47,9 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
 
 def map_points(base: DataFrame, candidates: DataFrame, cache: DataFrame) -> DataFrame:
-    """Candidates with job fields, coordinates, status and weight."""
+    """Candidates with job fields, coordinates, status and weight. Candidates that carry base's columns need no join with it."""
     known = small(cache.filter("provider = 'geoapify'").select("location_text_norm", F.col("country_scope").alias("scope"), F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"), F.col("status").alias("g_status"), F.col("city").alias("geocode_city"), F.col("provider").alias("g_provider")))
-    rows = candidates.join(base.drop("is_remote_like"), KEY)
+    rows = candidates if set(base.columns) - {"is_remote_like"} <= set(candidates.columns) else candidates.join(base.drop("is_remote_like"), KEY)
     rows = rows.join(known, (F.col("token_kind") == "city") & (F.col("location_text_norm") == F.col("city_token_norm")) & (F.col("scope") == F.col("country_scope")), "left")
     remote = F.col("token_kind") == "remote"
     south, north, west, east = locations.BOX
@@ -66,27 +76,31 @@ def _jobs(condition: Column | None = None) -> Column:
     return F.count_distinct(job if condition is None else F.when(condition, job)).cast("long")
 
 
-def _top(rows: DataFrame, by: list[str], item: str, k: int, out: str) -> DataFrame:
-    """The k most frequent items by distinct jobs of each group, ties by name, in one array. Counting precedes the window, which
-    therefore sees one row for each group and item."""
-    counted = rows.groupBy(*by, item).agg(_jobs().alias("n"))
-    ranked = counted.withColumn("at", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), F.asc(item)))).filter(F.col("at") <= k)
-    return ranked.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", item))), lambda x: x[item]).alias(out))
-
-
 def city_bubbles(points: DataFrame, as_of: Column, companies: int = 5, most_skills: int = 10) -> DataFrame:
-    """City points grouped by place and label: distinct jobs, weight, new jobs, top companies and skills."""
+    """City points grouped by place and label: distinct jobs, weight, new jobs, top companies and skills (by jobs, ties by name).
+
+    One pass over points: each job of a place becomes one row, that row one for the place, its company and each of its skills,
+    and these are counted together. Counting precedes the ranking, which therefore sees one row for each place and name.
+    """
     by = ["lat", "lon", "bubble"]
     rows = points.filter("token_kind = 'city' and lat is not null and lon is not null").withColumns({"event_ts": event_ts(), "bubble": F.coalesce(F.nullif("geocode_city", F.lit("")), F.col("map_city_label"))})
-    rows = rows.select(*KEY, *by, "event_ts", "map_weight", "company_name", "extracted_skills")
-    since = lambda **d: F.col("event_ts") >= as_of - F.lit(timedelta(**d))
     # the weight is a sum of k/(1..11): summed exactly in units of 1/27720, so the order of rows does not matter
-    weight = (F.sum(F.round(F.col("map_weight") * 27720).cast("long")) / 27720.0).alias("jobs_weighted")
-    grouped = rows.groupBy(*by).agg(_jobs().alias("jobs_unique"), weight, _jobs(since(days=1)).alias("new_24h_unique"), _jobs(since(days=7)).alias("new_7d_unique"))
-    named = _top(rows.filter(F.trim("company_name") != ""), by, "company_name", companies, "top_companies")
-    skilled = rows.select(*KEY, *by, F.explode(skills.skill_values(F.col("extracted_skills"))).alias("skill")).filter(F.trim("skill") != "")
-    out = grouped.join(named, by, "left").join(_top(skilled, by, "skill", most_skills, "top_skills"), by, "left")
-    return out.withColumnRenamed("bubble", "map_city_label").withColumn("token_kind", F.lit("city"))
+    weight = F.round(F.col("map_weight") * 27720).cast("long")
+    rows = rows.select(*KEY, *by, "event_ts", weight.alias("weight"), "company_name", "extracted_skills")
+    jobs = rows.groupBy(*KEY, *by).agg(F.sum("weight").alias("weight"), F.max("event_ts").alias("event_ts"), F.min("company_name").alias("company"), F.min("extracted_skills").alias("skills"))
+    since = lambda **d: F.coalesce(F.col("event_ts") >= as_of - F.lit(timedelta(**d)), F.lit(False))
+    item = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    company = F.when(F.trim("company") != "", F.array(item("company", F.col("company")))).otherwise(F.array())
+    named = F.filter(F.array_distinct(F.coalesce(skills.skill_values(F.col("skills")), F.array())), lambda s: F.trim(s) != "")
+    every = F.concat(F.array(item("place", F.lit(None).cast("string"))), company, F.transform(named, lambda s: item("skill", s)))
+    counted = jobs.select(*by, "weight", since(days=1).alias("d1"), since(days=7).alias("d7"), F.explode(every).alias("x")).groupBy(*by, "x.kind", "x.name")
+    counted = counted.agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.count_if("d1").alias("d1"), F.count_if("d7").alias("d7"))
+    ranked = counted.withColumn("at", F.row_number().over(Window.partitionBy(*by, "kind").orderBy(F.desc("n"), F.asc("name")))).filter(F.col("at") <= F.when(F.col("kind") == "skill", most_skills).otherwise(companies))
+    own = lambda c: F.max(F.when(F.col("kind") == "place", F.col(c)))
+    top = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("at", "name")))), lambda x: x["name"])
+    out = ranked.groupBy(*by).agg(own("n").alias("jobs_unique"), (own("weight") / 27720.0).alias("jobs_weighted"), own("d1").alias("new_24h_unique"), own("d7").alias("new_7d_unique"), top("company").alias("c"), top("skill").alias("s"))
+    filled = lambda c: F.when(F.size(c) > 0, F.col(c))
+    return out.select("lat", "lon", F.col("bubble").alias("map_city_label"), "jobs_unique", "jobs_weighted", "new_24h_unique", "new_7d_unique", filled("c").alias("top_companies"), filled("s").alias("top_skills"), F.lit("city").alias("token_kind"))
 
 
 def job_map(base: DataFrame, cache: DataFrame) -> DataFrame:

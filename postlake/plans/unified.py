@@ -12,18 +12,15 @@ KEY = ["platform", "job_id"]
 
 def unify(jobs: DataFrame, details: DataFrame) -> DataFrame:
     """Jobs with the fields of their details and posted_at_utc, its source, parse flag and parse detail."""
-    rows = jobs.join(details, KEY, "left").withColumn("posted_norm", posted.normalized(F.col("posted_time_ago")))
-    rows = rows.withColumns({"posted_n": posted.amount(F.col("posted_norm")), "posted_unit": posted.unit(F.col("posted_norm"))})
-    norm, native = F.col("posted_norm"), (F.col("platform") == "xing") & F.col("native_posted_at_utc").isNotNull()
-    back = posted.back_from(F.col("scraped_at"), norm, F.col("posted_n"), F.col("posted_unit"))
-    english = norm.rlike(posted.PATTERN_EN)
+    rows = jobs.join(details, KEY, "left").withColumn("posted", posted.parsed(F.col("posted_time_ago"), F.col("scraped_at")))
+    norm, unit, native = F.col("posted.norm"), F.col("posted.unit"), (F.col("platform") == "xing") & F.col("native_posted_at_utc").isNotNull()
     source = (
         F.when(native, "native_xing_posted_at_utc").when(norm.isNull(), "missing_input").when(posted.is_keyword(norm), "parsed_keyword")
-        .when(english, "parsed_relative_en").when(F.col("posted_unit").isNotNull(), "parsed_relative_de").otherwise("unparsed_format")
+        .when(F.col("posted.english"), "parsed_relative_en").when(unit.isNotNull(), "parsed_relative_de").otherwise("unparsed_format")
     )
-    detail = F.when(native, "posted_at_utc").when(norm.isNull(), "missing_input").otherwise(F.coalesce("posted_unit", norm))
-    rows = rows.withColumns({"posted_at_utc": F.when(native, F.col("native_posted_at_utc")).otherwise(back), "posted_at_source": source, "posted_at_parse_detail": detail})
-    return rows.withColumn("posted_at_parse_ok", F.col("posted_at_utc").isNotNull()).drop("posted_norm", "posted_n", "posted_unit")
+    detail = F.when(native, "posted_at_utc").when(norm.isNull(), "missing_input").otherwise(F.coalesce(unit, norm))
+    rows = rows.withColumns({"posted_at_utc": F.when(native, F.col("native_posted_at_utc")).otherwise(F.col("posted.at")), "posted_at_source": source, "posted_at_parse_detail": detail})
+    return rows.withColumn("posted_at_parse_ok", F.col("posted_at_utc").isNotNull()).drop("posted")
 
 
 def event_ts() -> Column:

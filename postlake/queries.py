@@ -38,7 +38,7 @@ def base(spark: SparkSession, sf: str) -> DataFrame:
 
 def points(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     rows = base(spark, sf) if rows is None else rows
-    return places.map_points(rows, places.location_candidates(rows), star.geocodes(spark, sf))
+    return places.map_points(rows, places.location_candidates(rows, carry=True), star.geocodes(spark, sf))
 
 
 def bubbles(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +118,7 @@ select (select count(*) from uno where last_seen_at >= timestamp '{star.AS_OF}'
 (select count(distinct trim(company_name)) from uno where first_seen_at >= timestamp '{star.AS_OF}' - interval 7 day and trim(company_name) <> '') as new_companies_7d, timestamp '{star.AS_OF}' as as_of""")
 def kpis(spark, sf):
     rows = base(spark, sf)
-    return analytics.kpis(rows, places.location_candidates(rows), _now())
+    return analytics.kpis(rows, _now())
 
 
 @query("top_skills", f"""
@@ -202,7 +202,7 @@ select (select count(*) from cls where is_working_student and is_active and rnk
 (select count(distinct trim(company_name)) from cls where is_working_student and is_active and rnk >= 2 and first_seen_at >= timestamp '{star.AS_OF}' - interval 7 day and trim(company_name) <> '') as new_companies_7d""")
 def working_student_kpis(spark, sf):
     rows = role_plan.role_jobs(role_plan.target_jobs(base(spark, sf)))
-    return analytics.kpis(rows, places.location_candidates(rows), _now(), active_days=None).drop("as_of")
+    return analytics.kpis(rows, _now(), active_days=None).drop("as_of")
 
 
 _NORM_SQL = "nullif(lower(trim(regexp_replace(regexp_replace(coalesce(job_location, ''), '\\s+', ' ', 'g'), '\\s*,\\s*', ', ', 'g'))), '')"
@@ -575,7 +575,7 @@ def _skill_sql() -> str:
         groups.setdefault(g, {}).setdefault(c, []).append(a)
     parts = []
     for g, names in groups.items():
-        tests = ", ".join("case when " + " or ".join(f"regexp_matches(t, '(?:^|[^\\p{{L}}\\p{{N}}]){a}(?:$|[^\\p{{L}}\\p{{N}}])')" for a in own) + f" then '{c}' end" for c, own in names.items())
+        tests = ", ".join("case when " + " or ".join(f"regexp_matches(t, '(?:^|[^A-Za-z0-9]){a}(?:$|[^A-Za-z0-9])')" for a in own) + f" then '{c}' end" for c, own in names.items())
         parts.append(f"case when concat_ws(',', {tests}) <> '' then '{g}:' || concat_ws(',', {tests}) end")
     return f"select doc_id, concat_ws('|', {', '.join(parts)}) as skills from (select doc_id, regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g') as t from documents) q"
 
@@ -589,9 +589,9 @@ def grouped_skills(spark, sf):
 
 @query("search_grid", "select 'xing__' || substr(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_'), 1, 40) || '__' || lower(r_name) as name from (select lower(p_name) as l, arg_min(p_name, p_partkey) as p_name from part group by 1) q, (select translate(lower(r_name), ' ', '_') as r_name from region) r")
 def search_grid(spark, sf):
-    words = star.table(spark, sf, "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"]).alias("keywords"))
-    where = star.table(spark, sf, "region").agg(F.array_sort(F.collect_list("r_name")).alias("locations"))
-    return taxonomy.search_grid(words.crossJoin(where).withColumn("platform", F.lit("xing"))).select("name")
+    words = star.table(spark, sf, "part").select(F.lit("xing").alias("platform"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("keyword"))
+    where = star.table(spark, sf, "region").select(F.lit("xing").alias("platform"), F.col("r_name").alias("location"))
+    return taxonomy.search_terms(words, where).select("name")
 
 
 @query("posting_ids", """select page_id, nullif(coalesce(nullif(regexp_extract(url, '/jobs/view/(?:[^/?#]*-)?([0-9]+)', 1), ''), nullif(regexp_extract(url, '[?&]currentJobId=([0-9]+)', 1), ''), nullif(regexp_extract(url, '/jobs/[^?#]*?-([0-9]+)(?:[/?#.]|$)', 1), '')), '') as posting_id, 'ext_' || substr(sha1(regexp_replace(url, '[?#].*$', '')), 1, 20) as external_id
