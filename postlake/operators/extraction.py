@@ -106,6 +106,13 @@ def main_results(cards: DataFrame, displayed: Column) -> DataFrame:
     return cards.filter(displayed.isNull() | (F.col("rank") <= displayed))
 
 
+def no_results(html: Column) -> Column:
+    """(keywords, title_text, subheading) of the box that says that nothing was found; null without it."""
+    box = F.regexp_extract(html, r"""(?is)<section\b[^>]*class=["'](?:[^"']*\s)?no-results(?:\s[^"']*)?["'][^>]*>.*?</section>""", 0)
+    of = lambda kind: F.nullif(visible_text(F.regexp_extract(box, rf"""(?is)<(\w+)\b[^>]*class=["'](?:[^"']*\s)?no-results__{kind}(?:\s[^"']*)?["'][^>]*>(.*?)</\1>""", 2)), F.lit(""))
+    return F.when(box != "", F.struct(of("main-title-keywords").alias("keywords"), tag(box, "h1").alias("title_text"), of("subheading").alias("subheading")))
+
+
 def has_more(html: Column, label: str = "show more") -> Column:
     return F.exists(F.regexp_extract_all(html, F.lit(r"(?is)<button\b[^>]*>(.*?)</button>"), F.lit(1)), lambda b: F.lower(visible_text(b)).contains(label))
 

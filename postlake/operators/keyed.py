@@ -69,6 +69,14 @@ def migrate(shared: dict[str, DataFrame], platform: str) -> dict[str, DataFrame]
     return own
 
 
+def migrate_runs(runs: DataFrame, search_runs: DataFrame, definitions: DataFrame, platform: str) -> dict[str, DataFrame]:
+    """One platform's definitions, the search runs of these, and the crawl runs that have one: nothing in a shared run names its platform."""
+    own = definitions.filter(F.col("source") == platform)
+    searched = search_runs.join(own.select("search_definition_id"), "search_definition_id", "left_semi")
+    crawled = runs.join(searched.select(F.col("crawl_run_id").alias("run_id")), "run_id", "left_semi")
+    return {"definitions": own, "search_runs": searched, "runs": crawled}
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, rows) of each."""
     parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name, df in tables.items()]

@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.operators.ingest import apply_details, blocked_verdict
 from postlake.operators.keyed import update_where
 
 KEY = ["platform", "job_id"]
@@ -68,6 +69,26 @@ def repair_stale_runs(runs: DataFrame, searches: DataFrame, as_of: Column, minut
     return closed, failed.drop("_stale")
 
 
+def finalize_from_log(runs: DataFrame, searches: DataFrame, details: DataFrame, log: DataFrame, as_of: Column, minutes: int, max_blocked: float = 0.1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(runs, searches, details) after stale runs are closed. One whose detail log has lines takes the import's status, its lines are
+    applied to details; one without fails. Running searches of either fail. log: crawl_run_id and what apply_details reads."""
+    stale = (F.col("status") == "running") & (F.col("started_at") < _ago(as_of, minutes=minutes))
+    ids = runs.filter(stale).select(F.col("run_id").alias("crawl_run_id"))
+    lines = log.join(ids, "crawl_run_id", "left_semi")
+    imported = lines.groupBy("crawl_run_id").agg(F.count("*").alias("upserted"), F.count_if("parse_ok").alias("parse_ok"), F.count_if(F.col("last_error") == "blocked").alias("blocked"))
+    verdict = F.when(blocked_verdict(F.col("blocked"), F.col("upserted"), max_blocked), "blocked").otherwise("success")
+    told = F.struct(verdict.alias("status"), "upserted", "parse_ok", "blocked")
+    stats = F.to_json(F.struct(F.struct(F.lit("skipped").alias("status")).alias("discovery"), told.alias("details")))
+    known = ids.join(imported, "crawl_run_id", "left").select(F.col("crawl_run_id").alias("run_id"), F.when(F.col("upserted").isNotNull(), verdict).alias("_status"), F.when(F.col("upserted").isNotNull(), stats).alias("_stats"), F.lit(True).alias("_stale"))
+    closed = update_where(runs.join(known, "run_id", "left"), F.col("_stale"), {
+        "status": F.coalesce("_status", F.lit("failed")), "stats": F.coalesce("_stats", F.lit("{}")), "finished_at": as_of,
+        "error": F.when(F.col("_status").isNull(), "stale, without a completed detail log"),
+    }).select(*runs.columns)
+    linked = searches.join(ids.withColumn("_stale", F.lit(True)), "crawl_run_id", "left")
+    failed = update_where(linked, F.col("_stale") & (F.col("status") == "running"), {"status": F.lit("failed"), "finished_at": as_of, "error": F.lit("stale recovery")})
+    return closed, failed.select(*searches.columns), apply_details(details, lines.drop("crawl_run_id"))
+
+
 def cooldown_active(runs: DataFrame, as_of: Column, minutes: int) -> DataFrame:
     """Per platform whether a blocked run finished within the window."""
     last = F.max(F.when(F.col("status") == "blocked", F.col("finished_at")))

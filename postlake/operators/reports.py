@@ -76,6 +76,19 @@ def dedupe_report(hits: DataFrame) -> DataFrame:
     return out.withColumn("duplicates_removed", F.greatest(F.col("hits") - F.col("unique_jobs"), F.lit(0)))
 
 
+def run_hits(hits: DataFrame, search_runs: DataFrame) -> DataFrame:
+    """Per crawl run, over all of its search runs: hits, distinct jobs, duplicates removed."""
+    rows = hits.select("search_run_id", "job_id").join(search_runs.select("search_run_id", "crawl_run_id"), "search_run_id")
+    out = rows.groupBy("crawl_run_id").agg(F.count("*").alias("hits"), F.count_distinct("job_id").alias("unique_jobs"))
+    return out.withColumn("duplicates_removed", F.greatest(F.col("hits") - F.col("unique_jobs"), F.lit(0)))
+
+
+def inconsistent_searches(runs: DataFrame, search_runs: DataFrame, ended: tuple[str, ...] | None = None) -> DataFrame:
+    """Running search runs under a crawl run that no longer runs; `ended` lists the statuses that count as such, else all but running."""
+    over = F.col("status") != "running" if ended is None else F.col("status").isin(*ended)
+    return search_runs.filter("status = 'running'").join(runs.filter(over).select(F.col("run_id").alias("crawl_run_id")), "crawl_run_id", "left_semi")
+
+
 def skills_fill(details: DataFrame) -> DataFrame:
     """Per platform: details, parsed ones, those with skills, and their share in percent (null without details)."""
     out = details.groupBy("platform").agg(F.count("*").alias("details"), F.count_if("parse_ok").alias("parsed"), F.count_if(F.coalesce("extracted_skills", F.lit("{}")) != "{}").alias("with_skills"))

@@ -446,11 +446,6 @@ def geocode_apply(spark, sf):
     return geocoding.apply_results(star.geocodes(spark, sf), batch, results, _now()).select("id", "status", "lat", "attempt_count", "next_retry_at")
 
 
-@query("geocode_queue", f"select id from star_geo where status in ('pending', 'error', 'no_match') and next_retry_at <= {_AS} and attempt_count < 6 order by next_retry_at, id limit 100")
-def geocode_queue(spark, sf):
-    return geocoding.queue(star.geocodes(spark, sf), _now(), 100).select("id")
-
-
 @query("geocode_reset", f"select id, case when status = 'failed_permanent' then 'pending' else status end as status, case when status = 'failed_permanent' then 0 else attempt_count end as attempt_count, case when status = 'failed_permanent' then {_AS} else next_retry_at end as next_retry_at from star_geo")
 def geocode_reset(spark, sf):
     return geocoding.reset_failed(star.geocodes(spark, sf), _now()).select("id", "status", "attempt_count", "next_retry_at")
@@ -527,16 +522,6 @@ def missing_details(spark, sf):
     return reports.missing_details(star.jobs(spark, sf), star.details(spark, sf))
 
 
-@query("constraint_checks", """select 'duplicate_hits' as name, count(*) as violations, count(*) = 0 as ok from (select 1 from star_hits group by search_run_id, platform, job_id having count(*) > 1) q
-union all select 'details_without_job', 0, true union all select 'unknown_status', 0, true union all select 'jobs_without_activity', (select count(*) from star_jobs where is_active is null), (select count(*) from star_jobs where is_active is null) = 0""")
-def constraint_checks(spark, sf):
-    jobs_, details_ = star.jobs(spark, sf), star.details(spark, sf)
-    return reports.constraint_checks([
-        ("duplicate_hits", reports.duplicate_keys(star.hits(spark, sf), ["search_run_id", "platform", "job_id"])), ("details_without_job", details_.join(jobs_, ["platform", "job_id"], "left_anti")),
-        ("unknown_status", star.crawl_runs(spark, sf).filter(~F.col("status").isin(*reports.STATUSES))), ("jobs_without_activity", jobs_.filter("is_active is null")),
-    ])
-
-
 @query("migrate_platform", "select 'jobs' as table_name, count(*) as n_rows from star_jobs where platform = 'xing' union all select 'details', count(*) from star_details where platform = 'xing' union all select 'hits', count(*) from star_hits h where platform = 'xing' and exists (select 1 from star_jobs j where j.platform = 'xing' and j.job_id = h.job_id)")
 def migrate_platform(spark, sf):
     return keyed.table_counts(keyed.migrate({"jobs": star.jobs(spark, sf), "details": star.details(spark, sf), "hits": star.hits(spark, sf)}, "xing"))
@@ -616,17 +601,6 @@ def search_age_days(spark, sf):
     return searches.age_days(star.crawl_runs(spark, sf), _events_now())
 
 
-@query("step_outcomes", "select platform, count(*) as blocked, cast(0 as bigint) as skipped_backoff from star_runs where cast(json_extract_string(stats, '$.k') as integer) = 7 group by platform")
-def step_outcomes(spark, sf):
-    runs = star.crawl_runs(spark, sf).withColumn("stats", F.when(F.get_json_object("stats", "$.k") == "7", '{"details":{"status":"blocked"}}'))
-    return searches.step_outcomes(runs).filter("blocked > 0")
-
-
-@query("page_budget", """select search_run_id, platform, job_id from (select *, row_number() over (partition by search_run_id order by seq) as n from (select *, row_number() over (partition by search_run_id, job_id order by seq) as f from star_hits) q where f = 1) q where n <= 50""")
-def page_budget(spark, sf):
-    return searches.page_budget(star.hits(spark, sf), "search_run_id", "page_start", "seq", 50, 1000).select("search_run_id", "platform", "job_id")
-
-
 @query("working_student_trend", f"""
 select cast(b as timestamp) as bucket_start, cast(coalesce(n, 0) as bigint) as jobs_unique from generate_series(date_trunc('month', {_AS} - interval 11 month), {_AS}, interval 1 month) as s(b)
 left join (select date_trunc('month', event_ts) as m, count(distinct platform || job_id) as n from cls where is_working_student and is_active and rnk >= 2 group by 1) q on q.m = b""")
@@ -637,3 +611,109 @@ def working_student_trend(spark, sf):
 @query("working_student_skills", f"select w as days_window, lower(trim(s)) as skill, count(distinct k.platform || k.job_id) as jobs_unique from skill k join cls using (platform, job_id), (values (30), (90)) as t(w) where is_working_student and is_active and rnk >= 2 and trim(s) <> '' and k.event_ts >= {_AS} - to_days(w) group by all")
 def working_student_skills(spark, sf):
     return analytics.top_skills(role_plan.role_jobs(role_plan.target_jobs(base(spark, sf))), _now())
+
+
+@query("geocode_queue", f"select id from star_requests where status in ('pending', 'error', 'no_match') and next_retry_at <= {_AS} and attempt_count < 6 order by next_retry_at, id limit 100")
+def geocode_queue(spark, sf):
+    return geocoding.queue(star.geocode_requests(spark, sf), _now(), 100).select("id")
+
+
+@query("constraint_checks", """select * from (with known as (select search_run_id, platform, job_id from star_hits), odd as (select status from star_searches union all select status from star_runs)
+select name, n as violations, n = 0 as ok from (
+  select 'duplicate_hits' as name, (select count(*) from (select 1 from known group by search_run_id, platform, job_id having count(*) > 1) q) as n
+  union all select 'details_without_job', (select count(*) from star_details d where not exists (select 1 from star_jobs j where j.platform = d.platform and j.job_id = d.job_id and j.is_active))
+  union all select 'unknown_status', (select count(*) from odd where status not in ('success', 'failed', 'running'))
+  union all select 'jobs_without_activity', (select count(*) from star_jobs where is_active is null)) q) q""")
+def constraint_checks(spark, sf):
+    jobs_, details_ = star.jobs(spark, sf), star.details(spark, sf)
+    statuses = star.search_runs(spark, sf).select("status").unionByName(star.crawl_runs(spark, sf).select("status"))
+    return reports.constraint_checks([
+        ("duplicate_hits", reports.duplicate_keys(star.hits(spark, sf), ["search_run_id", "platform", "job_id"])), ("details_without_job", details_.join(jobs_.filter("is_active"), ["platform", "job_id"], "left_anti")),
+        ("unknown_status", statuses.filter(~F.col("status").isin("success", "failed", "running"))), ("jobs_without_activity", jobs_.filter("is_active is null")),
+    ])
+
+
+@query("step_outcomes", "select platform, count(*) filter (k = 7) as blocked, count(*) filter (k = 3) as skipped_backoff from (select platform, cast(json_extract_string(stats, '$.k') as integer) as k from star_runs) q group by platform")
+def step_outcomes(spark, sf):
+    k = F.get_json_object("stats", "$.k")
+    said = F.when(k == "7", "blocked").when(k == "3", "skipped_backoff").otherwise("success")
+    runs = star.crawl_runs(spark, sf).withColumn("stats", F.to_json(F.struct(F.struct(said.alias("status")).alias("details"))))
+    return searches.step_outcomes(runs)
+
+
+@query("page_budget", """select * from (with f as (select search_run_id, cast(cast(job_id as bigint) % 60 as varchar) as job_id, page_start, seq from star_hits),
+n as (select *, row_number() over (partition by search_run_id, job_id order by seq) = 1 as fresh from f),
+p as (select search_run_id, page_start, max(fresh) as any_new from n group by all),
+i as (select *, sum(cast(any_new as integer)) over (partition by search_run_id order by page_start) as island from p),
+t as (select *, sum(cast(not any_new as integer)) over (partition by search_run_id, island order by page_start) as streak from i),
+stop as (select search_run_id, min(page_start) as until from t where streak >= 3 group by all)
+select search_run_id, job_id from (select n.search_run_id, job_id, row_number() over (partition by n.search_run_id order by seq) as k from n left join stop using (search_run_id) where fresh and (until is null or page_start < until)) q where k <= 50) q""")
+def page_budget(spark, sf):
+    found = star.hits(spark, sf).withColumn("job_id", (F.col("job_id").cast("long") % 60).cast("string"))
+    return searches.page_budget(found, "search_run_id", "page_start", "seq", 50, 3).select("search_run_id", "job_id")
+
+
+@query("repair_stale_searches", f"""select s.search_run_id, case when x then 'failed' else s.status end as status, case when x then {_EV} else s.finished_at end as finished_at, case when x then coalesce(s.error, 'stale') else s.error end as error
+from (select s.*, coalesce(s.status = 'running' and r.status = 'running' and r.started_at < {_EV} - interval 600 minute, false) as x from star_searches s left join star_runs r on r.run_id = s.crawl_run_id) s""")
+def repair_stale_searches(spark, sf):
+    return lifecycle.repair_stale_runs(star.crawl_runs(spark, sf), star.search_runs(spark, sf), _events_now(), 600)[1].select("search_run_id", "status", "finished_at", "error")
+
+
+_FINAL_SQL = f"""select * from (with stale as (select run_id from star_runs where status = 'running' and started_at < {_EV} - interval 600 minute),
+log as (select cast(job_id as bigint) % 997 as run_id, platform, job_id, job_title || ' again' as job_title, parse_ok, last_error from star_details),
+imp as (select run_id, count(*) as n, count(*) filter (last_error = 'blocked') as b from log semi join stale using (run_id) group by run_id)
+"""
+
+
+def _finalized(spark, sf):
+    details_ = star.details(spark, sf)
+    log = details_.select((F.col("job_id").cast("long") % 997).alias("crawl_run_id"), "platform", "job_id", F.concat("job_title", F.lit(" again")).alias("job_title"), "parse_ok", "last_error", F.col("job_id").cast("long").alias("seq"))
+    return lifecycle.finalize_from_log(star.crawl_runs(spark, sf), star.search_runs(spark, sf), details_, log, _events_now(), 600)
+
+
+@query("finalized_runs", _FINAL_SQL + f"""select r.run_id, case when s.run_id is null then r.status when n is null then 'failed' when b / n > 0.1 then 'blocked' else 'success' end as status, case when s.run_id is null then r.finished_at else {_EV} end as finished_at,
+case when s.run_id is not null then n end as upserted, case when s.run_id is null then r.error when n is null then 'stale, without a completed detail log' end as error from star_runs r left join stale s using (run_id) left join imp using (run_id)) q""")
+def finalized_runs(spark, sf):
+    return _finalized(spark, sf)[0].select("run_id", "status", "finished_at", F.get_json_object("stats", "$.details.upserted").cast("long").alias("upserted"), "error")
+
+
+@query("finalized_details", _FINAL_SQL + "select d.platform, d.job_id, coalesce(l.job_title, d.job_title) as job_title from star_details d left join (select * from log semi join stale using (run_id)) l on l.platform = d.platform and l.job_id = d.job_id) q")
+def finalized_details(spark, sf):
+    return _finalized(spark, sf)[2].select("platform", "job_id", "job_title")
+
+
+@query("migrated_runs", "select distinct r.run_id, r.status from star_runs r join star_searches s on s.crawl_run_id = r.run_id join star_definitions d on d.search_definition_id = s.search_definition_id where d.source = 'xing'")
+def migrated_runs(spark, sf):
+    return keyed.migrate_runs(star.crawl_runs(spark, sf), star.search_runs(spark, sf), star.definitions(spark, sf), "xing")["runs"].select("run_id", "status")
+
+
+@query("run_hits", "select crawl_run_id, count(*) as hits, count(distinct job_id) as unique_jobs, greatest(count(*) - count(distinct job_id), 0) as duplicates_removed from star_hits join star_searches using (search_run_id) group by crawl_run_id")
+def run_hits(spark, sf):
+    return reports.run_hits(star.hits(spark, sf), star.search_runs(spark, sf))
+
+
+@query("inconsistent_searches", "select search_run_id, crawl_run_id from star_searches s where status = 'running' and exists (select 1 from star_runs r where r.run_id = s.crawl_run_id and r.status <> 'running')")
+def inconsistent_searches(spark, sf):
+    return reports.inconsistent_searches(star.crawl_runs(spark, sf), star.search_runs(spark, sf)).select("search_run_id", "crawl_run_id")
+
+
+@query("no_results", """select page_id, page_id % 3 = 0 as empty, case when page_id % 3 = 0 then 'data & ' || page_id end as keywords, case when page_id % 3 = 0 then 'Nothing for data & ' || page_id end as title_text, case when page_id % 3 = 0 and page_id % 2 = 0 then 'Try other words' end as subheading from pages""")
+def no_results(spark, sf):
+    k = F.col("page_id")
+    hint = F.when(k % 2 == 0, '<p class="no-results__subheading">Try <strong>other</strong> words</p>').otherwise("")
+    box = F.concat(F.lit('<section class="core no-results"><h1>Nothing for <span class="no-results__main-title-keywords">data &amp; '), k.cast("string"), F.lit("</span></h1>"), hint, F.lit("</section>"))
+    found = extraction.no_results(F.concat("html", F.when(k % 3 == 0, box).otherwise('<section class="results">no-results</section>')))
+    return star.table(spark, sf, "pages").select("page_id", found.alias("f")).select("page_id", F.col("f").isNotNull().alias("empty"), "f.keywords", "f.title_text", "f.subheading")
+
+
+@query("recompute_skills", f"""select * from (with due as (select platform, job_id from star_details where parse_ok and trim(job_description) <> '' and (extracted_skills is null or coalesce(extracted_skills_version, 0) < 2) order by scraped_at desc nulls last, platform, job_id limit 200),
+hit as (select platform, job_id, concat_ws(',', case when regexp_matches(t, '(?:^|[^a-z0-9])(?:spark|python)(?:$|[^a-z0-9])') then '"Engine"' end, case when regexp_matches(t, '(?:^|[^a-z0-9])sql(?:$|[^a-z0-9])') then '"SQL"' end) as tools,
+  case when regexp_matches(t, '(?:^|[^a-z0-9])(?:data|daten)(?:$|[^a-z0-9])') then '"Data"' else '' end as fields from (select d.platform, d.job_id, regexp_replace(lower(job_description), '\\s+', ' ', 'g') as t from star_details d semi join due on due.platform = d.platform and due.job_id = d.job_id) q)
+select d.platform, d.job_id, case when hit.job_id is null then d.extracted_skills else '{{' || concat_ws(',', case when tools <> '' then '"tools":[' || tools || ']' end, case when fields <> '' then '"fields":[' || fields || ']' end) || '}}' end as extracted_skills,
+case when hit.job_id is null then d.extracted_skills_version else 2 end as extracted_skills_version, case when hit.job_id is not null then {_AS} end as extracted_skills_at from star_details d left join hit on hit.platform = d.platform and hit.job_id = d.job_id) q""")
+def recompute_skills(spark, sf):
+    words = taxonomy.flatten({"tools": [{"canonical": "Engine", "aliases": ["spark", "python"]}, {"canonical": "SQL", "aliases": []}], "fields": [{"canonical": "Data", "aliases": {"de": ["daten"]}}]})
+    words = [w for w in words if w[4] != "engine"]
+    details_ = star.details(spark, sf).withColumn("extracted_skills_at", F.lit(None).cast("timestamp"))
+    out = taxonomy.recompute_skills(details_, lifecycle.skill_queue(details_, 2, 200), words, 2, _now(), ["platform", "job_id"])
+    return out.select("platform", "job_id", "extracted_skills", "extracted_skills_version", "extracted_skills_at")

@@ -115,6 +115,27 @@ def crawl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def search_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search runs, two a customer; each belongs to a crawl run and to a definition."""
+    k, half = F.col("c_custkey"), F.explode(F.array(F.lit(0), F.lit(1)))
+    rows = table(spark, sf_dir, "customer").select(k, "c_nationkey", half.alias("h"))
+    status = F.when((k + F.col("h")) % 3 == 0, "running").when((k + F.col("h")) % 3 == 1, "success").otherwise("blocked")
+    return rows.select((k * 2 + F.col("h")).alias("search_run_id"), (k * 3 + F.col("h")).alias("crawl_run_id"), F.col("c_nationkey").alias("search_definition_id"), status.alias("status"), F.lit(None).cast("timestamp").alias("finished_at"), F.when(k % 5 == 0, "slow").alias("error"))
+
+
+def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("search_definition_id"), _pick(PLATFORMS, F.col("n_nationkey")).alias("source"))
+
+
+def geocode_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache row for each customer's place, in every state."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("id"), F.lower("c_name").alias("location_text_norm"), _pick(["pending", "error", "no_match", "resolved", "failed_permanent"], k).alias("status"),
+        (k % 7).cast("int").alias("attempt_count"), F.when(k % 4 != 0, _days(AS_OF, k % 11 - 5)).alias("next_retry_at"),
+    )
+
+
 SQL = f"""
 star_jobs as (select {_sql_pick(PLATFORMS, "o_orderkey")} as platform, cast(o_orderkey as varchar) as job_id, 'https://jobs.example.org/view/' || o_orderkey as job_url,
   timestamp '{AS_OF}' - to_days(cast(o_orderkey * 7 % 200 + o_orderkey % 90 as integer)) as first_seen_at, timestamp '{AS_OF}' - to_days(cast(o_orderkey * 7 % 200 as integer)) as last_seen_at,
@@ -136,5 +157,8 @@ star_hits as (select l_suppkey as search_run_id, {_sql_pick(PLATFORMS, "l_orderk
 star_runs as (select event_id as run_id, {_sql_pick(PLATFORMS, "event_id")} as platform, case when user_id % 3 = 0 then 'manual' else 'schedule' end as trigger,
   case event_type when 'purchase' then 'success' when 'error' then 'failed' when 'click' then 'blocked' when 'signup' then 'running' else 'success' end as status, ts as started_at,
   case when event_type <> 'signup' then ts + to_minutes(event_id % 90) end as finished_at, user_id as search_definition_id, cast(event_id % 7 as integer) as pages_fetched, cast(floor(value) as bigint) as jobs_discovered, props as stats,
-  case when event_type = 'error' then 'boom' end as error from events)
+  case when event_type = 'error' then 'boom' end as error from events),
+star_searches as (select c_custkey * 2 + h as search_run_id, c_custkey * 3 + h as crawl_run_id, c_nationkey as search_definition_id, case (c_custkey + h) % 3 when 0 then 'running' when 1 then 'success' else 'blocked' end as status, cast(null as timestamp) as finished_at, case when c_custkey % 5 = 0 then 'slow' end as error from customer, (values (0), (1)) as t(h)),
+star_definitions as (select n_nationkey as search_definition_id, {_sql_pick(PLATFORMS, "n_nationkey")} as source from nation),
+star_requests as (select c_custkey as id, {_sql_pick(["pending", "error", "no_match", "resolved", "failed_permanent"], "c_custkey")} as status, c_custkey % 7 as attempt_count, case when c_custkey % 4 <> 0 then timestamp '{AS_OF}' - to_days(cast(c_custkey % 11 - 5 as integer)) end as next_retry_at from customer)
 """
