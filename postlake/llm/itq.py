@@ -1,12 +1,15 @@
-"""Near-duplicate embeddings: binary codes by random rotations, multi-index Hamming tables, reranking by exact cosine.
-
-A code is the signs of a vector under random rotations about the origin. Two vectors at angle t differ in each bit with chance
-t / pi, whatever the other vectors are: nothing is learned or centred, so a shared direction or one large group costs no links.
-Code chunks are the keys of the tables; each vector is looked up under its own chunk and the chunks one bit away, and what is
-found there, unless its code is far, is compared by cosine in double precision. Equal vectors are one class.
-
-There are as many tables as make the chance to miss a pair at the threshold at most MISS for the width of the chunks. A sample
-only decides which width costs least: wider ones where vectors that are no links share chunks. Every vector is indexed.
+"""Near-duplicate embeddings: iterative quantisation, multi-index Hamming tables, reranking by exact cosine.
+
+A code is the signs of a vector under rotations about the origin. The rotations are learned on a sample: signs and rotation are fitted to
+each other in turns, so that vectors move away from the borders between codes. Nothing is centred, as that would widen the
+angles of vectors that share a direction. Code chunks are the keys of the tables; each vector is looked up under its own chunk and
+the chunks one bit away, and what is found there, unless its code is far, is compared by cosine in double precision. Equal
+vectors are one class.
+
+There are as many tables as make the chance to miss a pair at the threshold at most MISS for the width of the chunks. For learned
+rotations that chance is measured on pairs made from the sample at exactly the threshold; for random rotations, where each bit differs with
+chance angle / pi whatever the vectors are, it is known. The sample also shows how many vectors that are no links would meet, and
+the cheapest width is taken, learned or, where learning draws vectors together that are no links, random. Every vector is indexed.
 """
 
 from __future__ import annotations
@@ -21,10 +24,10 @@ from pyspark.sql import functions as F
 from postlake.llm.batches import in_batches
 from postlake.llm.store import components, keep
 
-#: Vectors that the width is chosen from; least number of tables; chance to miss a pair at the threshold; standard deviations kept above the mean distance.
-SAMPLE, TABLES, MISS, SPREAD = 2_000, 8, 0.005, 4.5
-#: Widths of a chunk; bits of a code that the distance is taken on, as they are in every row of a table.
-WIDTHS, CODE_BITS = range(8, 40), 504
+#: Vectors that rotations and width are learned from; rounds of learning; least number of tables; chance to miss a pair at the threshold; standard deviations kept above the mean distance.
+SAMPLE, ROUNDS, TABLES, MISS, SPREAD = 2_000, 15, 8, 0.005, 4.5
+#: Widths of a chunk; bits of a code that the distance is taken on, as they are in every row of a table; rotations that the choice is made on.
+WIDTHS, CODE_BITS, TRIED = range(8, 40), 504, 4
 _NULL_ID = -(1 << 63)
 
 
@@ -36,21 +39,64 @@ def rotations(dims: int, bits: int, seed: int = 7) -> np.ndarray:
     return np.concatenate(out, 1)
 
 
+def learned(some: np.ndarray, bits: int, seed: int = 7) -> np.ndarray:
+    """Columns of rotations fitted to the vectors `some` by iterative quantisation, each from another random start."""
+    x, out = some / np.linalg.norm(some, axis=1, keepdims=True), []
+    dims = x.shape[1]
+    for k in range(-(-bits // dims)):
+        turn = rotations(dims, dims, seed + k)
+        for _ in range(ROUNDS):
+            signs = np.where(x @ turn > 0, 1.0, -1.0)
+            u, _, v = np.linalg.svd(x.T @ signs)
+            turn = u @ v
+        out.append(turn)
+    return np.concatenate(out, 1)[:, :bits]
+
+
 def _meets(share, width: int):
     """Chance that two chunks differ in at most one bit when each bit differs with chance `share`."""
     return (1 - share) ** width + width * share * (1 - share) ** (width - 1)
 
 
-def plan(some: np.ndarray, count: int, least: float) -> tuple[int, int]:
-    """(width, tables): of the widths, each with the tables that MISS asks for, the one with the fewest lookups and candidates."""
+def at_threshold(x: np.ndarray, least: float, seed: int = 5) -> np.ndarray:
+    """For each unit vector one at cosine `least`: every second one turned towards another vector, the others in a random direction."""
+    random = np.random.default_rng(seed)
+    aside = random.standard_normal(x.shape)
+    aside[::2] = x[random.permutation(len(x))][::2] + 1e-6 * aside[::2]
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return least * x + math.sqrt(1 - least * least) * aside
+
+
+def _tables(share: np.ndarray, width: int) -> int:
+    """Tables that keep the mean chance to miss a pair, over pairs with these shares of differing bits, at MISS or below."""
+    apart, n = 1 - _meets(share, width), TABLES
+    while (apart**n).mean() > MISS and n < 1 << 14:
+        n += max(1, n // 8)
+    return n
+
+
+def plan(some: np.ndarray, count: int, least: float) -> tuple[int, int, bool]:
+    """(width, tables, learned?): of the widths, each with the tables that MISS asks for, the one with the fewest lookups and candidates."""
     x = some / np.linalg.norm(some, axis=1, keepdims=True)
-    cosines = (x @ x.T)[np.triu_indices(len(x), 1)]
-    others = np.arccos(np.clip(cosines[cosines < least], -1, 1)) / math.pi
-    share, best = math.acos(least) / math.pi, []
-    for width in WIDTHS:
-        tables = max(TABLES, math.ceil(math.log(MISS) / math.log1p(-_meets(share, width))))
-        met = _meets(others, width).sum() / max(len(cosines), 1)
-        best.append((tables * (count * (width + 2) + met * count * count / 2), width, tables))
+    pairs = np.triu_indices(len(x), 1)
+    cosines = (x @ x.T)[pairs]
+    others, known = cosines < least, np.array([math.acos(least) / math.pi])
+    ways = [(False, known, np.arccos(np.clip(cosines[others], -1, 1)) / math.pi)]
+    if len(x) >= 2 * x.shape[1]:  # with fewer vectors every one finds a corner of its own, and the sample says nothing about the rest
+        half = learned(x[::2], TRIED * x.shape[1])  # measured on vectors that it was not learned from
+        y = x[1::2]
+        codes = np.where(y @ half > 0, 1.0, -1.0)
+        near = np.where(at_threshold(y, least) @ half > 0, 1.0, -1.0)
+        apart = (1 - (codes @ codes.T / half.shape[1])) / 2
+        own = np.triu_indices(len(y), 1)
+        ways.append((True, (1 - (codes * near).mean(1)) / 2, apart[own][(y @ y.T)[own] < least]))
+    best = []
+    for taught, share, others_ in ways:
+        for width in WIDTHS:
+            tables = _tables(share, width)
+            met = _meets(others_, width).sum() / max(len(others_), 1)
+            best.append((tables * (count * (width + 2) + met * count * count / 2), width, tables, taught))
     return min(best)[1:]
 
 
@@ -100,12 +146,17 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
 
 def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFrame:
     """(a, b), a < b, of classes with cosine >= least that the tables find."""
-    some = np.array([r["v"] for r in classes.orderBy(F.xxhash64("rep")).limit(sample).select("v").collect()])
-    width, tables = plan(some, count, least)
-    rotated = rotations(some.shape[1], tables * width)
+    taken = classes.orderBy(F.xxhash64("rep")).limit(sample).select("v").toArrow()["v"].combine_chunks()  # at most `sample` vectors
+    some = taken.flatten().to_numpy(zero_copy_only=False).reshape(len(taken), -1)
+    width, tables, taught = plan(some, count, least)
+    rotated = learned(some, tables * width) if taught else rotations(some.shape[1], tables * width)
     bits = min(tables * width, CODE_BITS)
     share = math.acos(least) / math.pi
     far = math.ceil(bits * share + SPREAD * math.sqrt(bits * share * (1 - share)))
+    if taught:  # the farthest of the made pairs may lie beyond
+        x = some / np.linalg.norm(some, axis=1, keepdims=True)
+        apart = ((x @ rotated[:, :bits] > 0) != (at_threshold(x, least) @ rotated[:, :bits] > 0)).sum(1)
+        far = max(far, int(apart.max() + math.sqrt(bits)))
     words = -(-bits // 63)
 
     def coded(probe: bool):
@@ -128,7 +179,7 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
                 for at in range(0, batch.num_rows, size):
                     yield step(batch.slice(at, size))
 
-        return classes.select("rep", "v").mapInArrow(slices, "key long, id long, code array<bigint>")
+        return in_batches(classes.select("rep", "v"), slices, "key long, id long, code array<bigint>")
 
     index, probes = coded(False).toDF("key", "b", "code_b"), coded(True).toDF("key", "a", "code_a")
     distance: Column = F.lit(0)
@@ -143,7 +194,7 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
         return pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(near))
 
     full = pairs.join(values.toDF("a", "x"), "a").join(values.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return full.mapInArrow(lambda batches: (cosine(b) for b in batches if b.num_rows), "a long, b long")
+    return in_batches(full, lambda batches: (cosine(b) for b in batches if b.num_rows), "a long, b long")
 
 
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

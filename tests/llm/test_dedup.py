@@ -272,13 +272,29 @@ def test_embeddings_wherever_the_mean_is(spark, kind, n):
     assert links > n // 2 and 0.97 * links <= found <= links
 
 
-def test_tables_grow_with_the_width():
-    some = crowd("few", 400)
-    for count in (10**3, 10**5, 10**7, 10**9):
-        width, tables = itq.plan(some, count, 0.95)
-        share = np.arccos(0.95) / np.pi
-        met = (1 - share) ** width + width * share * (1 - share) ** (width - 1)
-        assert width >= np.log2(count) - 6 and (1 - met) ** tables <= 0.005
+def test_recall_at_the_threshold_at_the_widths_of_large_tables():
+    """Pairs at cosine 0.95 exactly, of vectors that nothing was learned from: random ones, and clusters that share a direction."""
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centres = rng.standard_normal((40, 64))
+    for some in (unit(rng.standard_normal((3000, 64))), unit(1.5 * unit(rng.standard_normal((1, 64))) + unit(centres[rng.integers(0, 40, 3000)] + rng.standard_normal((3000, 64))))):
+        for count in (10**4, 10**7, 10**9):
+            width, tables, taught = itq.plan(some[:2000], count, 0.95)
+            turn = itq.learned(some[:2000], tables * width) if taught else itq.rotations(64, tables * width)
+            x = some[2000:]
+            y = itq.at_threshold(x, 0.95, seed=11)
+            apart = ((x @ turn > 0) != (y @ turn > 0)).reshape(len(x), tables, width).sum(2)
+            assert (apart.min(1) <= 1).mean() >= 0.98
+        assert width >= 24
+
+
+def test_learning_moves_vectors_from_the_borders():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((30, 16))[rng.integers(0, 30, 1500)] + 0.3 * rng.standard_normal((1500, 16))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    loss = lambda turn: ((unit @ turn - np.sign(unit @ turn) / 4) ** 2).sum()
+    turn = itq.learned(x, 16)
+    assert np.allclose(turn.T @ turn, np.eye(16), atol=1e-8) and loss(turn) < 0.97 * loss(itq.rotations(16, 16))
 
 
 def test_digest_forms(spark):
