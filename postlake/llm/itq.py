@@ -9,7 +9,8 @@ vectors are one class.
 There are as many tables as make the chance to miss a pair at the threshold at most MISS for the width of the chunks. For learned
 rotations that chance is measured on pairs made from the sample at exactly the threshold; for random rotations, where each bit differs with
 chance angle / pi whatever the vectors are, it is known. The sample also shows how many vectors that are no links would meet, and
-the cheapest width is taken, learned or, where learning draws vectors together that are no links, random. Every vector is indexed.
+the cheapest width is taken. Random rotations come in only where learned ones cost WORTH times as much, as where vectors share a
+direction and learning draws them all into one corner, or where the sample is too small to learn from. Every vector is indexed.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from postlake.llm.store import components, keep
 SAMPLE, ROUNDS, TABLES, MISS, SPREAD = 2_000, 15, 8, 0.005, 4.5
 #: Widths of a chunk; bits of a code that the distance is taken on, as they are in every row of a table; rotations that the choice is made on.
 WIDTHS, CODE_BITS, TRIED = range(8, 40), 504, 4
+#: Work of random rotations, times which learned ones may cost before the random ones are taken.
+WORTH = 2.0
 _NULL_ID = -(1 << 63)
 
 
@@ -96,7 +99,8 @@ def plan(some: np.ndarray, count: int, least: float) -> tuple[int, int, bool]:
         for width in WIDTHS:
             tables = _tables(share, width)
             met = _meets(others_, width).sum() / max(len(others_), 1)
-            best.append((tables * (count * (width + 2) + met * count * count / 2), width, tables, taught))
+            cost = tables * (count * (width + 2) + met * count * count / 2)
+            best.append((cost if taught else WORTH * cost, width, tables, taught))
     return min(best)[1:]
 
 
