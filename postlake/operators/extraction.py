@@ -12,6 +12,9 @@ from postlake.functions import urls
 
 BLOCK_STATUS = (403, 429, 503)
 BLOCK_MARKERS = ("captcha", "access denied", "unusual traffic", "are you a human")
+# What a salary looks like, and chips that say nothing about the job.
+SALARY = r"[€$£]|\b\d{2,3}(?:[\.,]\d{3})+(?:\s?[–-]\s?\d{2,3}(?:[\.,]\d{3})+)?"
+BADGES = ("urgently hiring", "actively recruiting", "be an early applicant", "last chance", "new")
 # The entities that are resolved.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
@@ -57,14 +60,6 @@ def list_cards(pages: DataFrame, base: str, card: str = r'(?is)<a\s[^>]*href="([
     return rows.select("page_id", (F.col("pos") + 1).alias("rank"), href.alias("href"), label.alias("label")).filter("href <> ''").withColumn("url", urls.canonical_url(F.col("href"), base)).drop("href")
 
 
-def jsonld_posting(html: Column) -> Column:
-    """Struct of the first JSON-LD object that is a JobPosting, null if there is none."""
-    blocks = F.regexp_extract_all(html, F.lit(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), F.lit(1))
-    first = F.get(F.filter(blocks, lambda b: F.get_json_object(b, "$['@type']") == "JobPosting"), F.lit(0))
-    path = lambda p: F.get_json_object(first, p)
-    return F.when(first.isNotNull(), F.struct(path("$.title").alias("title"), path("$.hiringOrganization.name").alias("company_name"), path("$.jobLocation.address.addressLocality").alias("job_location"), path("$.employmentType").alias("employment_type"), path("$.datePosted").alias("date_posted"), visible_text(path("$.description")).alias("description")))
-
-
 def counters(html: Column) -> Column:
     """data-*-count attributes as a map of numbers."""
     pairs = F.regexp_extract_all(html, F.lit(r'data-([a-z-]+)-count="([0-9]+)"'), F.lit(0))
@@ -72,9 +67,21 @@ def counters(html: Column) -> Column:
 
 
 def classify_highlights(chips: Column) -> Column:
-    """First salary, work model and employment type of ordered chips, and whether one marks an external ad."""
-    first = lambda pattern: F.get(F.filter(chips, lambda x: x.rlike(pattern)), F.lit(0))
-    return F.struct(first(r"[€$£]|(?i)\beur\b").alias("salary"), first(r"(?i)^(?:remote|hybrid|on-site)$").alias("work_model"), first(r"(?i)^(?:full-time|part-time|internship|student|contract)$").alias("employment_type"), F.exists(chips, lambda x: F.lower(x) == "external job ad").alias("is_external"))
+    """Salary, work model and employment type of ordered chips, and whether one marks an external ad. Each chip counts once: as that
+    mark, else as the salary, the work model or the employment type, whichever fits first and is still open; badges are none of them."""
+    text = "string"
+    start = F.struct(F.lit(None).cast(text).alias("salary"), F.lit(None).cast(text).alias("work_model"), F.lit(None).cast(text).alias("employment_type"), F.lit(False).alias("is_external"))
+
+    def step(seen: Column, chip: Column) -> Column:
+        low = F.lower(chip)
+        model = F.when(low.contains("hybrid"), "Hybrid").when(low.contains("remote"), "Remote").when(low.rlike("on-site|onsite|vor ort"), "On-site")
+        mark = low.contains("external job ad")
+        salary = ~mark & seen["salary"].isNull() & chip.rlike(SALARY)
+        work = ~mark & ~salary & seen["work_model"].isNull() & model.isNotNull()
+        kind = ~mark & ~salary & ~work & seen["employment_type"].isNull() & ~low.isin(*BADGES)
+        return F.struct(F.when(salary, chip).otherwise(seen["salary"]).alias("salary"), F.when(work, model).otherwise(seen["work_model"]).alias("work_model"), F.when(kind, chip).otherwise(seen["employment_type"]).alias("employment_type"), (seen["is_external"] | mark).alias("is_external"))
+
+    return F.aggregate(F.filter(F.coalesce(chips, F.array().cast("array<string>")), lambda x: F.trim(x) != ""), start, step)
 
 
 def criteria(html: Column, labels: dict[str, str]) -> Column:

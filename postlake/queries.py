@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions import intake, locations, posted, roles, urls
-from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, reports, searches, taxonomy
+from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, postings, reports, searches, taxonomy
 from postlake.plans import analytics, places, serving
 from postlake.plans import roles as role_plan
 from postlake.plans.unified import event_ts, unify
@@ -706,6 +706,62 @@ def no_results(spark, sf):
     return star.table(spark, sf, "pages").select("page_id", found.alias("f")).select("page_id", F.col("f").isNotNull().alias("empty"), "f.keywords", "f.title_text", "f.subheading")
 
 
+# Marked pages: even ones in one platform's layout, odd ones in the other's.
+_DETAIL_SQL = f"""select page_id, case when page_id % 2 = 0 then 'linkedin' else 'stepstone' end as platform, title as job_title,
+case when page_id % 2 = 1 then 'Haus & Co ' || page_id when page_id % 4 = 0 then 'Firm ' || page_id else 'Other ' || page_id end as company_name, case when page_id % 2 = 0 then 'Berlin, Germany' else 'Köln' end as job_location,
+case when page_id % 2 = 0 then '3 days ago' else 'vor 1 Tag' end as posted_time_ago, case when page_id % 2 = 0 then 'About ' || page_id || ' Build it' else 'The role ' || page_id || ' Build rules' end as job_description,
+case when page_id % 2 = 1 then 'Feste Anstellung' end as contract_type, case when page_id % 2 = 1 and page_id % 3 = 0 then 'Vollzeit' end as work_type,
+status not in (403, 500) and status is not null and title is not null as parse_ok, case when status = 403 then 'blocked' when status is null then 'request_failed' when status = 500 then 'http_500' when title is null then 'missing_job_title' end as last_error
+from (select page_id, case when page_id % 2 = 1 then {_TAG.format('h1')} when page_id % 10 <> 4 then 'Data & AI ' || page_id end as title, case page_id % 7 when 0 then 403 when 1 then 500 when 2 then null else 200 end as status from pages) q"""
+
+
+@query("detail_pages", _DETAIL_SQL)
+def detail_pages(spark, sf):
+    k, s = F.col("page_id"), F.col("page_id").cast("string")
+    lit = F.lit
+    company = F.when(k % 4 == 0, F.concat(lit('<a class="x topcard__org-name-link" href="/y">Firm <b>'), s, lit("</b></a>"))).otherwise(F.concat(lit('<span class="topcard__flavor"><a href="https://x.org/company/z?q=1">Other '), s, lit("</a></span>")))
+    title = F.when(k % 10 != 4, F.concat(lit('<h1 class="topcard__title">second</h1><h2 class="top-card-layout__title big">Data &amp; AI '), s, lit("</h2>"))).otherwise("")
+    even = F.concat("html", title, company, lit('<div class="topcard__flavor-row"><span class="topcard__flavor topcard__flavor--bullet"> Berlin,\n Germany </span></div><span class="posted-time-ago__text">3 days ago</span>'), lit('<div class="description__text description__text--rich"><div class="show-more-less-html__markup"><p>About '), s, lit("</p><ul><li>Build it</li></ul></div></div>"))
+    work = F.when(k % 3 == 0, '<li><span data-at="metadata-work-type">Vollzeit</span></li>').otherwise("")
+    odd = F.concat("html", lit('<li><span data-at="metadata-company-name"><style>.x{color:red}</style>Haus &amp; Co '), s, lit('</span></li><span data-at="metadata-location">Köln</span><span data-at="metadata-online-date">Erschienen: vor 1 Tag</span><span data-at="metadata-contract-type">Feste Anstellung</span>'), work,
+                   lit('<div data-at="job-ad-content"><span class="job-ad-display-nfizss"><p>The role '), s, lit('</p></span><span class="job-ad-display-nfizss">See salary</span><span class="a job-ad-display-nfizss">Build rules</span></div><div data-at="job-ad-salary"><span class="job-ad-display-nfizss">See  salary</span></div>'))
+    status = F.when(k % 7 == 0, 403).when(k % 7 == 1, 500).when(k % 7 != 2, 200)
+    pages = star.table(spark, sf, "pages").withColumn("status", status)
+    of = lambda n, name, html: postings.detail_fields(pages.filter(k % 2 == n).withColumn("html", html), name).withColumn("platform", lit(name))
+    rows = of(0, "linkedin", even).unionByName(of(1, "stepstone", odd))
+    ok, error = postings.detail_outcome(F.col("job_title"), F.col("status"))
+    return rows.select("page_id", "platform", *postings.DETAIL_FIELDS["linkedin"], ok.alias("parse_ok"), error.alias("last_error"))
+
+
+@query("posting_cards", """select page_id, cast(0 as bigint) as rank, cast(page_id as varchar) as job_id, 'https://x.example.org/jobs/view/data-eng-' || page_id as job_url, 'Data & ' || page_id as title, 'Acme' as company, 'Berlin' as location, '2026-02-01' as posted_at from pages
+union all select page_id, 2, page_id || '9', 'https://y.example.org/z', 'Intern', 'Beta ' || page_id, null, '2 days ago' from pages""")
+def posting_cards(spark, sf):
+    s, lit = F.col("page_id").cast("string"), F.lit
+    first = F.concat(lit('<li><a class="base-card__full-link x" href="/jobs/view/data-eng-'), s, lit('?x=1#y">job</a><h3 class="base-search-card__title"> Data &amp;\n '), s, lit('</h3><h4 class="base-search-card__subtitle">Acme</h4><span class="job-search-card__location">Berlin</span><time datetime="2026-02-01">1 day ago</time></li>'))
+    last = F.concat(lit('<li data-entity-urn="urn:li:jobPosting:'), s, lit('9"><a href="https://y.example.org/z?k=1" class="base-card__full-link">job</a><h3 class="base-search-card__title">Intern</h3><a class="hidden-nested-link">Beta '), s, lit("</a><time>2 days ago</time></li>"))
+    skipped = lit('<li><a class="base-card__full-link" href="/about">job</a></li>')
+    pages = star.table(spark, sf, "pages").withColumn("html", F.concat("html", lit('<ul class="jobs-search__results-list">'), first, skipped, last, lit("</ul>")))
+    return postings.posting_cards(pages, "https://x.example.org").withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("embedded_postings", """select page_id, case when page_id % 4 < 2 then 'Dev ' || page_id end as ld_title, case when page_id % 4 < 2 then 'Acme' end as ld_company, case page_id % 4 when 0 then 'Bonn, NRW, DE' when 1 then 'Ulm' end as ld_location, case when page_id % 4 = 0 then 'First & second' when page_id % 4 = 1 then 'bare text' end as ld_description,
+case when page_id % 3 < 2 then 'State ' || page_id end as st_title, case page_id % 3 when 0 then 'Referred' when 1 then 'Own name' end as st_company, case page_id % 3 when 0 then 'Bremen, Germany' when 1 then 'Kiel, SH, DE' end as st_location, case page_id % 3 when 0 then 'Full-time' end as st_employment,
+case page_id % 3 when 0 then 'Hybrid' when 1 then 'On-site' end as st_work_model, case page_id % 3 when 0 then false when 1 then true end as st_external from pages""")
+def embedded_postings(spark, sf):
+    k, s, lit = F.col("page_id"), F.col("page_id").cast("string"), F.lit
+    ld = lambda body: F.concat(lit('<script type="application/ld+json">'), body, lit("</script>"))
+    many = ld(F.concat(lit('[{"@type":"Thing"},{"@type":"JobPosting","title":"Dev '), s, lit('","hiringOrganization":{"name":"Acme"},"jobLocation":{"address":{"addressLocality":"Bonn","addressRegion":"NRW","addressCountry":"DE"}},"description":"&lt;p&gt;First &amp;amp;&lt;/p&gt;&lt;p&gt;second&lt;/p&gt;"}]')))
+    one = ld(F.concat(lit('{"@type":"JobPosting","title":"Dev '), s, lit('","hiringOrganization":{"name":" Acme "},"jobLocation":[{"x":1},{"address":{"addressLocality":"Ulm"}}],"description":"bare text"}')))
+    html = F.when(k % 4 == 0, many).when(k % 4 == 1, F.concat(ld(lit("{broken")), one)).when(k % 4 == 2, ld(lit('[{"@type":"JobPosting"')))
+    state = lambda body: F.concat(lit('<script id="runtime-config">window.crate={"a":undefined,"serverData":{"APOLLO_STATE":'), body, lit("}};</script>"))
+    by_ref = state(F.concat(lit('{"VisibleJob:0":{"title":"other"},"ROOT_QUERY":{"__typename":"Query","job":{"__ref":"VisibleJob:1"}},"C:1":{"companyName":"Referred"},"E:1":{"localizationValue":"Full-time"},"VisibleJob:1":{"title":"State '), s, lit('","companyInfo":{"companyNameOverride":undefined,"company":{"__ref":"C:1"}},"employmentType":{"__ref":"E:1"},"location":{"city":"Bremen","country":{"localizationValue":"Germany"}},"remoteOptions":["PARTLY_HYBRID","REMOTE"]}}')))
+    by_key = state(F.concat(lit('{"VisibleJob:7":{"title":"State '), s, lit('","companyInfo":{"companyNameOverride":"Own name"},"location":{"city":"Kiel","region":"SH","country":{"countryCode":"DE"}},"remoteOptions":["NON_REMOTE"],"redirectsToThirdPartyUrl":true}}')))
+    html = F.concat("html", F.coalesce(html, lit("")), F.when(k % 3 == 0, by_ref).when(k % 3 == 1, by_key).otherwise(""))
+    rows = postings.state_posting(star.table(spark, sf, "pages").withColumn("html", html)).withColumn("ld", postings.jsonld_posting(F.col("html")))
+    return rows.select("page_id", F.col("ld.title").alias("ld_title"), F.col("ld.company_name").alias("ld_company"), F.col("ld.job_location").alias("ld_location"), F.col("ld.description").alias("ld_description"), F.col("state.title").alias("st_title"), F.col("state.company_name").alias("st_company"),
+                       F.col("state.job_location").alias("st_location"), F.col("state.employment_type").alias("st_employment"), F.col("state.work_model").alias("st_work_model"), F.col("state.is_external").alias("st_external"))
+
+
 @query("recompute_skills", f"""select * from (with due as (select platform, job_id from star_details where parse_ok and trim(job_description) <> '' and (extracted_skills is null or coalesce(extracted_skills_version, 0) < 2) order by scraped_at desc nulls last, platform, job_id limit 200),
 hit as (select platform, job_id, concat_ws(',', case when regexp_matches(t, '(?:^|[^a-z0-9])(?:spark|python)(?:$|[^a-z0-9])') then '"Engine"' end, case when regexp_matches(t, '(?:^|[^a-z0-9])sql(?:$|[^a-z0-9])') then '"SQL"' end) as tools,
   case when regexp_matches(t, '(?:^|[^a-z0-9])(?:data|daten)(?:$|[^a-z0-9])') then '"Data"' else '' end as fields from (select d.platform, d.job_id, regexp_replace(lower(job_description), '\\s+', ' ', 'g') as t from star_details d semi join due on due.platform = d.platform and due.job_id = d.job_id) q)

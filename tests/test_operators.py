@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake.functions import urls
-from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, reports, taxonomy
+from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, postings, reports, taxonomy
 from postlake.sources import logs, snapshots
 from postlake.streaming.ingest import stream_log
 
@@ -130,7 +130,7 @@ def test_extraction(spark):
     cards = [(r["rank"], r["url"], r["label"]) for r in extraction.list_cards(pages, "https://s.org").orderBy("rank").collect()]
     assert cards == [(1, "https://s.org/jobs/1", "One"), (3, "https://o.org/2", "Two")]
     ld = '<script type="application/ld+json">{"@type":"Thing"}</script><script type="application/ld+json">{"@type":"JobPosting","title":"Dev","hiringOrganization":{"name":"Acme"}}</script>'
-    got = spark.createDataFrame([(ld,), ("x",)], "h string").select(extraction.jsonld_posting(F.col("h")).alias("j")).collect()
+    got = spark.createDataFrame([(ld,), ("x",)], "h string").select(postings.jsonld_posting(F.col("h")).alias("j")).collect()
     assert got[0]["j"]["title"] == "Dev" and got[0]["j"]["company_name"] == "Acme" and got[1]["j"] is None
 
 
@@ -175,3 +175,10 @@ def test_page_parts(spark):
     assert [tuple(r) for r in extraction.facet_options(df).collect()] == [(1, "f_JT", "Full-time", "F")]
     cards = spark.createDataFrame([(1, 1), (1, 2), (1, 3)], "page_id int, rank int")
     assert extraction.main_results(cards, F.lit(2)).count() == 2 and extraction.main_results(cards, F.lit(None).cast("int")).count() == 3
+
+
+def test_highlights_in_order(spark):
+    rows = [(1, ["New", "External job ad", "Full-time", "€50.000 – €60.000", "Hybrid work", "Remote"]), (2, ["Vor Ort", "40.000 - 50.000"]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "i int, chips array<string>").select("i", extraction.classify_highlights(F.col("chips")).alias("h"))
+    got = {r["i"]: tuple(r["h"]) for r in df.collect()}
+    assert got == {1: ("€50.000 – €60.000", "Hybrid", "Full-time", True), 2: ("40.000 - 50.000", "On-site", None, False), 3: (None, None, None, False), 4: (None, None, None, False)}
