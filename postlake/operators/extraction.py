@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 
 from postlake.functions import urls
 
-BLOCK_STATUS = (403, 429, 503)
-BLOCK_MARKERS = ("captcha", "access denied", "unusual traffic", "are you a human")
+# Answers and texts of each platform that mean a request was shut out; "" holds for pages of unknown origin.
+BLOCK_STATUS = {"": (403, 429, 503), "linkedin": (403, 429, 999), "stepstone": (403, 429, 503), "xing": (403, 429, 503)}
+BLOCK_MARKERS = {
+    "": ("captcha", "access denied", "unusual traffic", "are you a human"),
+    "linkedin": ("security verification", "verify you are a human", "unusual activity", "captcha"),
+    "stepstone": ("access denied", "errors.edgesuite.net", "verify you are a human", "captcha", "temporarily blocked"),
+    "xing": ("access denied", "verify you are a human", "captcha", "temporarily blocked", "errors.edgesuite.net"),
+}
+BLOCK_PATHS = {"linkedin": "/checkpoint/"}
 # What a salary looks like, and chips that say nothing about the job.
 SALARY = r"[€$£]|\b\d{2,3}(?:[\.,]\d{3})+(?:\s?[–-]\s?\d{2,3}(?:[\.,]\d{3})+)?"
 BADGES = ("urgently hiring", "actively recruiting", "be an early applicant", "last chance", "new")
@@ -33,12 +40,17 @@ def tag(html: Column, name: str, group: int = 1) -> Column:
     return F.nullif(visible_text(F.regexp_extract(html, rf"(?is)<{name}\b[^>]*>(.*?)</{name}>", group)), F.lit(""))
 
 
-def is_blocked(html: Column, status: Column | None = None) -> Column:
+def is_blocked(html: Column, status: Column | None = None, url: Column | None = None, platform: str = "") -> Column:
+    """Whether the status, a text in the page or the address says so; a missing one says nothing."""
     low = F.lower(F.coalesce(html, F.lit("")))
     found = F.lit(False)
-    for m in BLOCK_MARKERS:
+    for m in BLOCK_MARKERS[platform]:
         found = found | low.contains(m)
-    return found if status is None else found | status.isin(*BLOCK_STATUS)
+    if status is not None:
+        found = found | F.coalesce(status.isin(*BLOCK_STATUS[platform]), F.lit(False))
+    if url is not None and platform in BLOCK_PATHS:
+        found = found | F.coalesce(url.contains(BLOCK_PATHS[platform]), F.lit(False))
+    return found
 
 
 def dom_fields(pages: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import urls
-from postlake.operators.extraction import BLOCK_STATUS, ENTITIES, visible_text
+from postlake.operators.extraction import ENTITIES, visible_text
 
 # Tag and mark of each field in a platform's detail pages, in the order in which they are tried.
 DETAIL_FIELDS = {
@@ -81,11 +81,9 @@ def detail_fields(pages: DataFrame, platform: str) -> DataFrame:
     return pages.withColumns(fields)
 
 
-def detail_outcome(title: Column, status: Column, blocked: Column | None = None) -> tuple[Column, Column]:
-    """(parse_ok, last_error): blocked by status or marker, another failed status, no answer at all, or a page without a title."""
-    shut = status.isin(*BLOCK_STATUS)
-    shut = F.coalesce(shut if blocked is None else shut | blocked, F.lit(False))
-    error = F.when(shut, "blocked").when(status.isNull(), "request_failed").when(status >= 400, F.concat(F.lit("http_"), status.cast("string"))).when(title.isNull(), "missing_job_title")
+def detail_outcome(title: Column, status: Column, blocked: Column) -> tuple[Column, Column]:
+    """(parse_ok, last_error): blocked, another failed status, no answer at all, or a page without a title."""
+    error = F.when(blocked, "blocked").when(status.isNull(), "request_failed").when(status >= 400, F.concat(F.lit("http_"), status.cast("string"))).when(title.isNull(), "missing_job_title")
     return error.isNull(), error
 
 

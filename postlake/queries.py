@@ -711,8 +711,10 @@ _DETAIL_SQL = f"""select page_id, case when page_id % 2 = 0 then 'linkedin' else
 case when page_id % 2 = 1 then 'Haus & Co ' || page_id when page_id % 4 = 0 then 'Firm ' || page_id else 'Other ' || page_id end as company_name, case when page_id % 2 = 0 then 'Berlin, Germany' else 'Köln' end as job_location,
 case when page_id % 2 = 0 then '3 days ago' else 'vor 1 Tag' end as posted_time_ago, case when page_id % 2 = 0 then 'About ' || page_id || ' Build it' else 'The role ' || page_id || ' Build rules' end as job_description,
 case when page_id % 2 = 1 then 'Feste Anstellung' end as contract_type, case when page_id % 2 = 1 and page_id % 3 = 0 then 'Vollzeit' end as work_type,
-status not in (403, 500) and status is not null and title is not null as parse_ok, case when status = 403 then 'blocked' when status is null then 'request_failed' when status = 500 then 'http_500' when title is null then 'missing_job_title' end as last_error
-from (select page_id, case when page_id % 2 = 1 then {_TAG.format('h1')} when page_id % 10 <> 4 then 'Data & AI ' || page_id end as title, case page_id % 7 when 0 then 403 when 1 then 500 when 2 then null else 200 end as status from pages) q"""
+not shut and status is not null and status <> 500 and title is not null as parse_ok, case when shut then 'blocked' when status is null then 'request_failed' when status = 500 then 'http_500' when title is null then 'missing_job_title' end as last_error
+from (select *, coalesce(status = 403, false) or contains(low, 'captcha') or contains(low, 'verify you are a human') or case when page_id % 2 = 0 then contains(low, 'security verification') or contains(low, 'unusual activity') or contains(url, '/checkpoint/')
+  else contains(low, 'access denied') or contains(low, 'errors.edgesuite.net') or contains(low, 'temporarily blocked') end as shut from (select page_id, url, lower(html) as low, case when page_id % 2 = 1 then {_TAG.format('h1')} when page_id % 10 <> 4 then 'Data & AI ' || page_id end as title, case page_id % 7 when 0 then 403 when 1 then 500 when 2 then null else 200 end as status
+  from (select page_id, case when page_id % 11 = 0 then url || '/checkpoint/x' else url end as url, case when page_id % 13 = 0 then html || ' Unusual ACTIVITY' when page_id % 13 = 1 then html || ' Temporarily blocked' else html end as html from pages) p) q) q"""
 
 
 @query("detail_pages", _DETAIL_SQL)
@@ -726,10 +728,11 @@ def detail_pages(spark, sf):
     odd = F.concat("html", lit('<li><span data-at="metadata-company-name"><style>.x{color:red}</style>Haus &amp; Co '), s, lit('</span></li><span data-at="metadata-location">Köln</span><span data-at="metadata-online-date">Erschienen: vor 1 Tag</span><span data-at="metadata-contract-type">Feste Anstellung</span>'), work,
                    lit('<div data-at="job-ad-content"><span class="job-ad-display-nfizss"><p>The role '), s, lit('</p></span><span class="job-ad-display-nfizss">See salary</span><span class="a job-ad-display-nfizss">Build rules</span></div><div data-at="job-ad-salary"><span class="job-ad-display-nfizss">See  salary</span></div>'))
     status = F.when(k % 7 == 0, 403).when(k % 7 == 1, 500).when(k % 7 != 2, 200)
-    pages = star.table(spark, sf, "pages").withColumn("status", status)
-    of = lambda n, name, html: postings.detail_fields(pages.filter(k % 2 == n).withColumn("html", html), name).withColumn("platform", lit(name))
+    more = F.when(k % 13 == 0, " Unusual ACTIVITY").when(k % 13 == 1, " Temporarily blocked").otherwise("")
+    pages = star.table(spark, sf, "pages").withColumns({"status": status, "html": F.concat("html", more), "url": F.when(k % 11 == 0, F.concat("url", lit("/checkpoint/x"))).otherwise(F.col("url"))})
+    of = lambda n, name, html: postings.detail_fields(pages.filter(k % 2 == n).withColumn("html", html), name).withColumns({"platform": lit(name), "shut": extraction.is_blocked(F.col("html"), F.col("status"), F.col("url"), name)})
     rows = of(0, "linkedin", even).unionByName(of(1, "stepstone", odd))
-    ok, error = postings.detail_outcome(F.col("job_title"), F.col("status"))
+    ok, error = postings.detail_outcome(F.col("job_title"), F.col("status"), F.col("shut"))
     return rows.select("page_id", "platform", *postings.DETAIL_FIELDS["linkedin"], ok.alias("parse_ok"), error.alias("last_error"))
 
 

@@ -26,6 +26,11 @@ def split(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return of("page_fetch"), of("job_discovered"), of("job_detail").filter("job_id <> ''")
 
 
+def skipped_details(log: DataFrame) -> DataFrame:
+    """One row: job details that `split` leaves out as they name no job."""
+    return log.agg(F.count_if((F.col("record_type") == "job_detail") & (F.coalesce("job_id", F.lit("")) == "")).alias("skipped"))
+
+
 def recover(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row: lines kept and lines skipped because they were cut off."""
     lines = spark.read.text(paths).filter("trim(value) <> ''")
@@ -33,10 +38,10 @@ def recover(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def merge(spark: SparkSession, parts: list[str]) -> DataFrame:
-    """Part files as one log, in the order given."""
+    """Part files as one log, in the order given: `seq` goes by part, then by the order inside it."""
     out = None
     for i, path in enumerate(parts):
-        rows = read_log(spark, path).withColumn("part", F.lit(i))
+        rows = read_log(spark, path).withColumn("seq", F.struct(F.lit(i).alias("part"), "seq.file", "seq.block", "seq.line"))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 

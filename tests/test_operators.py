@@ -182,3 +182,19 @@ def test_highlights_in_order(spark):
     df = spark.createDataFrame(rows, "i int, chips array<string>").select("i", extraction.classify_highlights(F.col("chips")).alias("h"))
     got = {r["i"]: tuple(r["h"]) for r in df.collect()}
     assert got == {1: ("€50.000 – €60.000", "Hybrid", "Full-time", True), 2: ("40.000 - 50.000", "On-site", None, False), 3: (None, None, None, False), 4: (None, None, None, False)}
+
+
+def test_block_rules_of_each_platform(spark):
+    rows = [(1, 999, "u", "ok"), (2, 200, "https://x.org/checkpoint/1", "ok"), (3, 200, "u", "Temporarily BLOCKED"), (4, None, None, None), (5, 429, "u", "ok")]
+    df = spark.createDataFrame(rows, "i int, status int, url string, html string")
+    names = ("linkedin", "stepstone", "xing")
+    got = df.select(*[extraction.is_blocked(F.col("html"), F.col("status"), F.col("url"), n).alias(n) for n in names]).collect()
+    assert [tuple(r) for r in got] == [(True, False, False), (True, False, False), (False, True, True), (False, False, False), (True, True, True)]
+
+
+def test_parts_of_a_log_keep_their_order(spark, tmp_path):
+    for name, ids in (("b", ["1", "2"]), ("a", ["3", ""])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"record_type": "job_detail", "job_id": i}) for i in ids))
+    log = logs.merge(spark, [str(tmp_path / "b.jsonl"), str(tmp_path / "a.jsonl")])
+    assert [r["job_id"] for r in log.orderBy("seq").collect()] == ["1", "2", "3", ""]
+    assert logs.skipped_details(log).first()["skipped"] == 1 and logs.split(log)[2].count() == 3
