@@ -10,6 +10,8 @@ from postlake.llm.langid import op8_language
 from postlake.llm.minhash import ORACLE_SQL as OP2_SQL
 from postlake.llm.minhash import op2_minhash
 from postlake.llm.pii import op7_pii
+from postlake.llm.quality import ORACLE_SQL as OP11_SQL
+from postlake.llm.quality import op11_quality
 from postlake.llm.tokenfile import op5_token_orc
 from postlake.llm.toxicity import op3_toxicity
 from postlake.llm.windows import ORACLE_SQL as OP6_SQL
@@ -28,6 +30,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_winnow": op9_winnow,
     "op10_bwt": op10_bwt,
+    "op11_quality": op11_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL, "op11_quality": OP11_SQL}
