@@ -32,6 +32,9 @@ RULES = ("symbols", "marks", "capitals", "digits", "repeats", "dup_lines", "word
 #: Strata up to this number (some kilobytes each) are broadcast; beyond it the same join is shuffled.
 BROADCAST_STRATA = 2_000
 _SPACE = r"[\x20\x09-\x0D]+"
+#: Characters written out in classes: the engine looks single characters up in a table, but asks ranges one after another.
+_MARKS = r"!\"#$%&'()*+,\-./:;<=>?@\[\\\]\^_`{|}~"
+_CAPITALS, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -70,16 +73,17 @@ def measure(docs: DataFrame, text: str = "text", out: str = "measures") -> DataF
     that occur twice or more). Null and empty texts have zeros; a column named as `out` is replaced, all others pass unchanged.
     """
     held = F.coalesce(F.col(text), F.lit(""))
-    left = lambda drop: F.length(F.regexp_replace(held, drop, "")).cast("long")
+    left = lambda value, drop: F.length(F.regexp_replace(value, drop, "")).cast("long")
+    picked = F.regexp_replace(held, f"[^{_MARKS}{_CAPITALS}{_DIGITS}]+", "")  # few characters, which the next counts read
     words = F.filter(F.split(held, _SPACE, -1), lambda w: w != "")
     lines = F.filter(F.split(held, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     by_word = _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).alias("repeated")))
     by_line = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("again")))
     made = _let(
-        F.struct(by_word.alias("w"), by_line.alias("l")),
+        F.struct(by_word.alias("w"), by_line.alias("l"), picked.alias("p")),
         lambda x: F.struct(
-            x["w"]["n"].alias("n_words"), left(_SPACE).alias("word_chars"), left(r"[^#*$%&|<>]+").alias("n_symbols"), left(r"[^!-/:-@\[-`{-~]+").alias("n_marks"), left("[^A-Z]+").alias("n_capitals"),
-            left("[^0-9]+").alias("n_digits"), x["l"]["n"].alias("n_lines"), x["l"]["again"].alias("n_dup_lines"), x["w"]["repeated"].alias("n_repeat_words"),
+            x["w"]["n"].alias("n_words"), left(held, _SPACE).alias("word_chars"), left(x["p"], r"[^#*$%&|<>]+").alias("n_symbols"), left(x["p"], f"[{_CAPITALS}{_DIGITS}]+").alias("n_marks"),
+            left(x["p"], f"[^{_CAPITALS}]+").alias("n_capitals"), left(x["p"], f"[^{_DIGITS}]+").alias("n_digits"), x["l"]["n"].alias("n_lines"), x["l"]["again"].alias("n_dup_lines"), x["w"]["repeated"].alias("n_repeat_words"),
         ),
     )
     return docs.withColumn(out, made)
