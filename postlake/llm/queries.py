@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from postlake.llm.align import op13_align
 from postlake.llm.bpe import op1_bpe
 from postlake.llm.bwt import op10_bwt
 from postlake.llm.itq import ORACLE_SQL as OP4_SQL
@@ -12,6 +13,8 @@ from postlake.llm.minhash import op2_minhash
 from postlake.llm.pii import op7_pii
 from postlake.llm.quality import ORACLE_SQL as OP11_SQL
 from postlake.llm.quality import op11_quality
+from postlake.llm.ranked import ORACLE_SQL as OP12_SQL
+from postlake.llm.ranked import op12_ranked
 from postlake.llm.tokenfile import op5_token_orc
 from postlake.llm.toxicity import op3_toxicity
 from postlake.llm.windows import ORACLE_SQL as OP6_SQL
@@ -31,6 +34,8 @@ QUERIES = {
     "op9_winnow": op9_winnow,
     "op10_bwt": op10_bwt,
     "op11_quality": op11_quality,
+    "op12_ranked": op12_ranked,
+    "op13_align": op13_align,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL, "op11_quality": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_embeddings": OP4_SQL, "op6_substrings": OP6_SQL, "op9_winnow": OP9_SQL, "op11_quality": OP11_SQL, "op12_ranked": OP12_SQL}
