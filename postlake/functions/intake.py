@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The words that name a kind of work in German and English.
 WORK_WORDS = {"homeoffice_possible": ("homeoffice", "home office"), "full_time": ("vollzeit", "full time"), "part_time": ("teilzeit", "part time")}
@@ -40,9 +44,19 @@ def run_status(discovery: Column, details: Column) -> Column:
     return F.when(any_is("failed"), "failed").when(any_is("blocked"), "blocked").otherwise("success")
 
 
+@F.pandas_udf(T.StringType())
+def _nfkc(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+def nfkc(text: Column) -> Column:
+    """Compatibility characters as their plain forms, composed; Python only sees texts with a character outside ASCII."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), _nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
+
+
 def url_slug(text: Column) -> Column:
-    """Lower case, '-' for slashes, spaces and other characters; letters with marks of the Latin blocks stay."""
-    low = F.regexp_replace(F.lower(F.trim(F.coalesce(text, F.lit("")))), r"[/\s]+|[^0-9a-zÀ-ɏ-]", "-")
+    """NFKC, lower case, '-' for slashes, spaces and other characters; letters with marks of the Latin blocks stay."""
+    low = F.regexp_replace(F.lower(F.trim(nfkc(F.coalesce(text, F.lit(""))))), r"[/\s]+|[^0-9a-zÀ-ɏ-]", "-")
     return F.regexp_replace(F.regexp_replace(low, "-+", "-"), "^-|-$", "")
 
 

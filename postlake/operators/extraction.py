@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions import urls
+from postlake.functions import markup, urls
 
 # Answers and texts of each platform that mean a request was shut out; "" holds for pages of unknown origin.
 BLOCK_STATUS = {"": (403, 429, 503), "linkedin": (403, 429, 999), "stepstone": (403, 429, 503), "xing": (403, 429, 503)}
@@ -138,8 +138,8 @@ def has_more(html: Column, label: str = "show more") -> Column:
 
 def runtime_state(html: Column, variable: str, path: str) -> Column:
     """A value of the JSON that a script assigns to a variable; `undefined` in it reads as null."""
-    raw = F.regexp_extract(html, rf"(?s){variable}\s*=\s*(\{{.*?\}})\s*;?\s*</script>", 1)
-    return F.get_json_object(F.regexp_replace(raw, r":\s*undefined\b", ":null"), path)
+    raw = markup.leading_object(F.regexp_extract(html, rf"(?s){variable}\s*=\s*(\{{.*)", 1))
+    return F.get_json_object(F.regexp_replace(raw, r"\bundefined\b", "null"), path)
 
 
 def first_source(sources: dict[str, Column]) -> Column:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from postlake.operators.ingest import apply_details, blocked_verdict
 from postlake.operators.keyed import update_where
+from postlake.sources.versions import Lake
 
 KEY = ["platform", "job_id"]
 
@@ -59,6 +62,68 @@ def final_status(stats: DataFrame) -> DataFrame:
     return stats.agg(status.alias("status"), *[F.sum(c).alias(c) for c in ("soft_expired", "jobs_deleted", "hits_deleted", "details_deleted")])
 
 
+RUNS = "run_id string, trigger string, status string, dry_run boolean, stale_days int, delete_days int, max_age_hours int, started_at timestamp, summary string"
+STATS = "run_id string, platform string, action_status string, latest_run_id string, latest_status string, latest_finished_at timestamp, soft_expired long, jobs_deleted long, hits_deleted long, details_deleted long, note string"
+_COUNTS = ("soft_expired", "jobs_deleted", "hits_deleted", "details_deleted")
+
+
+def _one_platform(lake: Lake, platform: str, runs: DataFrame, as_of: Column, stale_days: int, delete_days: int, max_age_hours: int, dry_run: bool) -> dict:
+    """Expires and deletes one platform's jobs, if its latest run is healthy, and publishes its three tables together. Counts are taken while the tables are written."""
+    gate = health_gate(runs.filter(F.col("platform") == platform), as_of, max_age_hours).first()
+    told = {"platform": platform, "action_status": gate["action_status"] if gate else "skipped_no_recent_run", "note": gate["note"] if gate else None}
+    told |= {"latest_run_id": str(gate["run_id"]), "latest_status": gate["status"], "latest_finished_at": gate["finished_at"]} if gate else {}
+    if told["action_status"] != "processed":
+        return told
+    state = lake.manifest()
+    tables = {n: lake.read(f"{platform}_{n}", state=state) for n in ("jobs", "hits", "details")}
+    if dry_run:
+        counted = lifecycle_counts(tables["jobs"], tables["hits"], tables["details"], as_of, stale_days, delete_days).filter(F.col("platform") == platform).first()
+        return told | ({c: counted[c] for c in _COUNTS} if counted else {})
+    seen = {n: (Observation(), Observation()) for n in tables}
+    n_rows, old = F.count("*").alias("n"), F.coalesce(F.col("last_seen_at") < _ago(as_of, days=delete_days), F.lit(False))
+    _, after = hard_delete(tables["jobs"], {n: tables[n].observe(seen[n][0], n_rows) for n in ("hits", "details")}, as_of, delete_days)
+    jobs = tables["jobs"].observe(seen["jobs"][0], n_rows, F.count_if(is_stale(as_of, stale_days)).alias("stale"))
+    after["jobs"] = soft_expire(jobs.filter(~old), as_of, stale_days)
+    with lake.change() as now:
+        for name, rows in after.items():
+            table = state["tables"][f"{platform}_{name}"]
+            now.put(f"{platform}_{name}", rows.observe(seen[name][1], n_rows), keys=table["keys"], buckets=table["buckets"])
+    lost = {n: first.get["n"] - last.get["n"] for n, (first, last) in seen.items()}
+    return told | {"soft_expired": seen["jobs"][0].get["stale"], "jobs_deleted": lost["jobs"], "hits_deleted": lost["hits"], "details_deleted": lost["details"]}
+
+
+def lifecycle_run(lake: Lake, platforms: list[str], runs: DataFrame, run_id: str, as_of: Column, trigger: str = "manual", stale_days: int = 60, delete_days: int = 120, max_age_hours: int = 36, dry_run: bool = False) -> str:
+    """Runs the lifecycle of all platforms side by side, each apart from the others: a platform that fails keeps its tables and is noted as failed, the others go on.
+
+    Tables <platform>_jobs, _hits and _details of the lake are changed; a row for each platform goes to `lifecycle_stats`, one for the run to `lifecycle_runs`. Returns the
+    run's status: failed if all platforms failed, partial if some did, else success. Jobs past the deletion age count as expired and as deleted.
+    """
+    spark = lake.spark
+    started = spark.range(1).select(as_of).first()[0]
+
+    def one(platform: str) -> dict:
+        try:
+            return _one_platform(lake, platform, runs, as_of, stale_days, delete_days, max_age_hours, dry_run)
+        except Exception as error:  # kept apart: it becomes the platform's row
+            return {"platform": platform, "action_status": "failed", "note": str(error)[:500]}
+
+    with ThreadPoolExecutor(max(len(platforms), 1)) as pool:
+        told = [{"run_id": run_id} | dict.fromkeys(_COUNTS, 0) | x for x in pool.map(one, platforms)]
+    names = [f.split()[0] for f in STATS.split(", ")]
+    stats = spark.createDataFrame([tuple(x.get(n) for n in names) for x in told], STATS)
+    total = final_status(stats).first()
+    settings = {"stale_days": stale_days, "delete_days": delete_days, "max_age_hours": max_age_hours}
+    summary = {"status": total["status"], "trigger": trigger, "dry_run": dry_run, "settings": settings, "platforms": [{k: v for k, v in x.items() if k != "latest_finished_at"} for x in told], "totals": {c: total[c] for c in _COUNTS}}
+    row = spark.createDataFrame([(run_id, trigger, total["status"], dry_run, stale_days, delete_days, max_age_hours, started, json.dumps(summary))], RUNS)
+    with lake.change() as now:
+        for name, rows, keys in (("lifecycle_stats", stats, ["run_id", "platform"]), ("lifecycle_runs", row, ["run_id"])):
+            if name in now.state["tables"]:
+                now.upsert(name, rows)
+            else:
+                now.put(name, rows, keys=keys, buckets=4)
+    return total["status"]
+
+
 def repair_stale_runs(runs: DataFrame, searches: DataFrame, as_of: Column, minutes: int, status: str = "abandoned", reason: str = "stale") -> tuple[DataFrame, DataFrame]:
     """Runs that have been running too long are closed, and their running searches fail; an error that is there stays."""
     stale = (F.col("status") == "running") & (F.col("started_at") < _ago(as_of, minutes=minutes))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STATUSES = ("success", "blocked", "failed", "running")
@@ -113,6 +113,27 @@ def constraint_checks(checks: list[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def table_checks(rows: DataFrame, conditions: dict[str, Column], unique: tuple[str, list[str]] | None = None) -> DataFrame:
+    """(name, violations, ok) of all checks of one table in one scan: rows that meet a condition, and keys that occur more than once."""
+    counts = {n: F.count_if(c) for n, c in conditions.items()}
+    if unique:
+        name, keys = unique
+        grouped = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in counts.items()])
+        counts = {name: F.count_if(F.col("_n") > 1)} | {n: F.coalesce(F.sum(n), F.lit(0)) for n in counts}
+        rows = grouped
+    one = rows.agg(*[c.alias(n) for n, c in counts.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("long").alias("violations")) for n in counts]))
+    return one.select(each.alias("x")).select("x.name", "x.violations", (F.col("x.violations") == 0).alias("ok"))
+
+
+def backlog_progress(counts: DataFrame, by: str, batch: str = "batch", remaining: str = "remaining") -> DataFrame:
+    """counts with `delta` (how far a batch brought the backlog down, null for the first) and `go_on`: something is left and the last batch brought it down.
+    One row a key and batch: the window holds a key's batches, of which there are few."""
+    w = Window.partitionBy(by).orderBy(batch)
+    delta = F.lag(remaining).over(w) - F.col(remaining)
+    return counts.withColumn("delta", delta).withColumn("go_on", (F.col(remaining) > 0) & F.coalesce(F.col("delta") > 0, F.lit(True)))
+
+
 def missing_details(jobs: DataFrame, details: DataFrame) -> DataFrame:
     """Per platform: jobs without details."""
     return jobs.join(details.select("platform", "job_id"), ["platform", "job_id"], "left_anti").groupBy("platform").agg(F.count("*").alias("missing"))

@@ -96,3 +96,21 @@ def integrity(cases: DataFrame) -> DataFrame:
         "lingering_running_after_non_success": bad & (F.col("lingering") > 0), "unsupported_run_step_outcome": ~good & ~bad,
     }
     return cases.select("case_id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))).alias("code"))
+
+
+def integrity_checks(cases: DataFrame) -> DataFrame:
+    """(case_id, name, ok, detail): every check that applies to a case of `integrity`, whether it holds, and what it saw."""
+    o = F.lower(F.trim(F.coalesce("outcome", F.lit(""))))
+    good, bad, row = o == "success", o.isin("failure", "cancelled", "skipped"), F.col("row_status").isNotNull()
+    run_id, text = F.coalesce("crawl_run_id", F.lit("")), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    checks = [
+        (F.lit(True), "no_stale_running_rows_after_repair", F.col("stale") == 0, F.concat(F.lit("remaining_stale_count="), text("stale"))),
+        (good, "success_has_crawl_run_id", run_id != "", F.concat(F.lit("crawl_run_id="), run_id)),
+        (good, "success_row_exists", row, F.concat(F.lit("found_row="), row.cast("int").cast("string"))),
+        (good & row, "success_row_terminal_status", F.col("row_status").isin("success", "blocked", "failed"), F.concat(F.lit("db_status="), text("row_status"))),
+        (good & row & F.col("expected_trigger").isNotNull(), "success_trigger_matches", F.col("expected_trigger").eqNullSafe(F.col("row_trigger")), F.concat(F.lit("db_trigger="), text("row_trigger"), F.lit(" expected="), text("expected_trigger"))),
+        (bad, "non_success_has_no_lingering_running_rows", F.col("lingering") == 0, F.concat(F.lit("lingering_running_count="), text("lingering"))),
+        (~good & ~bad, "supported_run_step_outcome", F.lit(False), F.concat(F.lit("run_step_outcome="), o)),
+    ]
+    rows = F.array_compact(F.array(*[F.when(applies, F.struct(F.lit(n).alias("name"), F.coalesce(ok, F.lit(False)).alias("ok"), detail.alias("detail"))) for applies, n, ok, detail in checks]))
+    return cases.select("case_id", F.explode(rows).alias("x")).select("case_id", "x.*")

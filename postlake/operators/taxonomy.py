@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlake.functions.intake import nfkc
+
 
 def normalized(text: str) -> str:
     return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text).lower()).strip()
@@ -27,29 +30,66 @@ def flatten(groups: dict) -> list[tuple[str, int, str, int, str]]:
             if not isinstance(entry, dict) or not str(entry.get("canonical") or "").strip():
                 raise ValueError(f"group {group}: an entry without a canonical name")
             given = entry.get("aliases") or []
-            if isinstance(given, dict):
-                given = [a for own in given.values() for a in own]
+            lists = list(given.values()) if isinstance(given, dict) else [given]
+            if not all(isinstance(own, list) and all(isinstance(a, str) for a in own) for own in lists):
+                raise ValueError(f"group {group}, {entry['canonical']}: aliases are a list of texts, or one for each language")
+            given = [a for own in lists for a in own]
             names = dict.fromkeys(normalized(str(a)) for a in [entry["canonical"], *given])
             rows += [(group, g, entry["canonical"], c, a) for a in names if a and not (a.isalpha() and len(a) <= 2)]
     return rows
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+def load(spark: SparkSession, path: str) -> tuple[int, list[tuple[str, int, str, int, str]]]:
+    """(version, rows as of `flatten`) of a dictionary file, YAML or JSON (which YAML includes), read by Spark so that it may lie in any store."""
+    import yaml
+
+    held = yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])
+    if not isinstance(held, dict) or not isinstance(held.get("groups"), dict) or not isinstance(held.get("version"), int):
+        raise ValueError("a dictionary has a whole number `version` and `groups`")
+    return held["version"], flatten(held["groups"])
+
+
+def dictionary_table(spark: SparkSession, rows: list[tuple[str, int, str, int, str]]) -> DataFrame:
+    """(group_name, group_pos, canonical, canonical_pos, alias) of a dictionary."""
+    return spark.createDataFrame(rows, "group_name string, group_pos int, canonical string, canonical_pos int, alias string")
 
 
 def text_for_matching(text: Column) -> Column:
     """NFKC, lower case, single spaces; Python only sees texts with a character outside ASCII."""
-    folded = F.when(text.rlike(r"[^\x00-\x7F]"), _nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
-    return F.regexp_replace(F.lower(folded), r"\s+", " ")
+    return F.regexp_replace(F.lower(nfkc(text)), r"\s+", " ")
+
+
+def _alias_hits(aliases: list[str]):
+    """Function of folded texts: numbers of the aliases that occur between edges, ascending. One automaton a task reports all aliases in one pass over a text."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        trie = ahocorasick.Automaton()
+        for i, alias in enumerate(aliases):
+            trie.add_word(alias, (i, len(alias)))
+        trie.make_automaton()
+        letters = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+        def found(text: str) -> list[int]:
+            out, n = set(), len(text)
+            for end, (i, size) in trie.iter(text):
+                if i not in out and (end + 1 == n or text[end + 1] not in letters) and (end < size or text[end - size] not in letters):
+                    out.add(i)
+            return sorted(out)
+
+        for texts in batches:
+            yield texts.map(found)
+
+    return hits
 
 
 def grouped_skills(docs: DataFrame, rows: list[tuple[str, int, str, int, str]], text: str = "text", out: str = "skills") -> DataFrame:
     """docs with `out`: map of group -> canonical names found, in dictionary order; groups without a match are absent.
 
-    An alias is first looked for as a plain substring, then confirmed between edges: no ASCII letter or digit stands next to it. Each alias
-    counts on its own. The dictionary is one literal array, so the plan does not grow with it.
+    An alias counts between edges: no ASCII letter or digit stands next to it. Each alias counts on its own, also inside a longer one. Texts go once, in Arrow batches,
+    through an automaton of all aliases, so the work does not grow with the dictionary; what follows reads the few hits. Null and empty texts have none.
     """
     folded = "_folded"
     while folded in docs.columns:
@@ -57,18 +97,24 @@ def grouped_skills(docs: DataFrame, rows: list[tuple[str, int, str, int, str]],
     ordered = sorted(rows, key=lambda r: (r[1], r[3]))
     if not ordered:
         return docs.withColumn(out, F.create_map().cast("map<string,array<string>>"))
-    known = json.dumps([{"g": group, "c": canonical, "a": alias, "p": rf"(?<![A-Za-z0-9])\Q{alias}\E(?![A-Za-z0-9])"} for group, _, canonical, _, alias in ordered])
-    entries = F.from_json(F.lit(known), "array<struct<g:string,c:string,a:string,p:string>>")
-    hits = F.filter(entries, lambda x: F.contains(F.col(folded), x["a"]) & F.rlike(F.col(folded), x["p"]))
+    aliases = list(dict.fromkeys(r[4] for r in ordered))
+    meant: dict[str, list[int]] = {}
+    for i, row in enumerate(ordered):
+        meant.setdefault(row[4], []).append(i)
+    entries = F.from_json(F.lit(json.dumps([{"g": r[0], "c": r[2]} for r in ordered])), "array<struct<g:string,c:string>>")
+    of_alias = F.from_json(F.lit(json.dumps([meant[a] for a in aliases])), "array<array<int>>")
     groups = F.array(*[F.lit(g) for g in dict.fromkeys(r[0] for r in ordered)])
 
-    def grouped(found: Column) -> Column:
-        own = lambda g: F.array_distinct(F.transform(F.filter(found, lambda x: x["g"] == g), lambda x: x["c"]))
-        pairs = F.filter(F.transform(groups, lambda g: F.struct(g.alias("key"), own(g).alias("value"))), lambda p: F.size(p["value"]) > 0)
-        return F.map_from_entries(pairs)
+    def grouped(numbers: Column) -> Column:
+        places = F.array_sort(F.flatten(F.transform(numbers, lambda a: F.get(of_alias, a))))
+        found = F.transform(places, lambda i: F.get(entries, i))
+        own = lambda hit, g: F.array_distinct(F.transform(F.filter(hit, lambda x: x["g"] == g), lambda x: x["c"]))
+        pairs = lambda hit: F.filter(F.transform(groups, lambda g: F.struct(g.alias("key"), own(hit, g).alias("value"))), lambda p: F.size(p["value"]) > 0)
+        return F.map_from_entries(F.element_at(F.transform(F.array(found), pairs), 1))
 
-    made = F.element_at(F.transform(F.array(hits), grouped), 1)
-    return docs.withColumn(folded, text_for_matching(F.coalesce(F.col(text), F.lit("")))).withColumn(out, made).drop(folded)
+    rows_ = docs.withColumn(folded, _alias_hits(aliases)(text_for_matching(F.coalesce(F.col(text), F.lit("")))))
+    none = F.create_map().cast("map<string,array<string>>")
+    return rows_.withColumn(out, F.when(F.size(folded) > 0, grouped(F.col(folded))).otherwise(none)).drop(folded)
 
 
 def recompute_skills(details: DataFrame, pending: DataFrame, rows: list[tuple[str, int, str, int, str]], version: int, at: Column, key: list[str], text: str = "job_description") -> DataFrame:

@@ -7,6 +7,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlake.functions import cells
+
 
 def clamp(value: int | None, low: int, high: int, default: int) -> int:
     """A request parameter within its limits."""
@@ -65,3 +67,52 @@ def job_detail(base: DataFrame, platform: str, job_id: str) -> DataFrame:
 
 def newest_first(rows: DataFrame, at: Column) -> DataFrame:
     return rows.orderBy(at.desc_nulls_last(), "platform", "job_id")
+
+
+# reads of the snapshot that is stored in the order of its cells
+
+
+def store_by_cell(rows: DataFrame, path: str, files: int | None = None, group_bytes: int = 4 << 20) -> None:
+    """Writes rows with lat and lon in the order of their cells, so that a box is few row groups of few files; rows without a place come first.
+
+    files: how many ranges of cells, by default what the session shuffles into; a cell is never split over files, so one that holds very many rows is one file's.
+    """
+    keyed = rows.withColumn("cell", cells.cell(F.col("lat"), F.col("lon")))
+    keyed = keyed.repartitionByRange(files, "cell") if files else keyed.repartitionByRange("cell")
+    keyed.sortWithinPartitions("cell").write.mode("errorifexists").option("parquet.block.size", group_bytes).parquet(path)
+
+
+def in_box(stored: DataFrame, box: tuple[float, float, float, float], most: int = 24) -> DataFrame:
+    """Rows of a box, from a table with `cell`: ranges of cells choose the row groups, the box itself the rows."""
+    return stored.filter(cells.in_ranges(F.col("cell"), cells.cover(*box, most=most)) & inside(*box))
+
+
+def page_after(rows: DataFrame, order: list[tuple[str, bool]], last: tuple | None, size: int) -> DataFrame:
+    """The next page in an order of columns, (name, descending) each, that ends in a key: rows behind the last one seen, not counted off from the start. Nulls come last.
+
+    A filter on the first columns reaches the scan; rows that another page added or removed neither repeat nor hide one. last: the order's values of the last row seen, None for the first page.
+    """
+    by = [F.desc_nulls_last(c) if down else F.asc_nulls_last(c) for c, down in order]
+    if last is not None:
+        behind, same = F.lit(False), F.lit(True)
+        for (c, down), value in zip(order, last, strict=True):
+            v = F.lit(value)
+            further = F.lit(False) if value is None else F.col(c).isNull() | ((F.col(c) < v) if down else (F.col(c) > v))
+            behind = behind | (same & further)
+            same = same & (F.col(c).isNull() if value is None else F.coalesce(F.col(c) == v, F.lit(False)))
+        rows = rows.filter(behind)
+    return rows.orderBy(*by).limit(size)
+
+
+def city_page(stored: DataFrame, lat: float, lon: float, as_of: Column, timeframe: str = "all", last: tuple | None = None, size: int | None = None) -> DataFrame:
+    """A page of the jobs at a place of a stored snapshot, newest first and unknown times last, one row a job; last: (posted_at_utc, platform, job_id) of the last one seen."""
+    eps = 1e-7
+    rows = in_box(stored, (lat - eps, lon - eps, lat + eps, lon + eps)).filter((F.col("token_kind") == "city") & since(as_of, timeframe))
+    rows = rows.groupBy("platform", "job_id").agg(F.max("posted_at_utc").alias("posted_at_utc"), F.min("map_point_id").alias("map_point_id"))
+    return page_after(rows, [("posted_at_utc", True), ("platform", False), ("job_id", False)], last, clamp(size, 1, 200, 200))
+
+
+def remote_page(stored: DataFrame, as_of: Column, timeframe: str = "all", box: tuple[float, float, float, float] | None = None, last: str | None = None, size: int | None = None) -> DataFrame:
+    """A page of remote points by their id; last: the id of the last one seen."""
+    rows = (in_box(stored, box) if box else stored).filter((F.col("token_kind") == "remote") & since(as_of, timeframe))
+    return page_after(rows, [("map_point_id", False)], None if last is None else (last,), clamp(size, 1, 1000, 1000))

@@ -627,10 +627,14 @@ select name, n as violations, n = 0 as ok from (
 def constraint_checks(spark, sf):
     jobs_, details_ = star.jobs(spark, sf), star.details(spark, sf)
     statuses = star.search_runs(spark, sf).select("status").unionByName(star.crawl_runs(spark, sf).select("status"))
-    return reports.constraint_checks([
-        ("duplicate_hits", reports.duplicate_keys(star.hits(spark, sf), ["search_run_id", "platform", "job_id"])), ("details_without_job", details_.join(jobs_.filter("is_active"), ["platform", "job_id"], "left_anti")),
-        ("unknown_status", statuses.filter(~F.col("status").isin("success", "failed", "running"))), ("jobs_without_activity", jobs_.filter("is_active is null")),
-    ])
+    key = ["platform", "job_id"]
+    both = jobs_.select(*key, "is_active", F.lit(True).alias("job")).join(details_.select(*key, F.lit(True).alias("detail")), key, "full_outer")
+    odd = ~F.col("status").isin("success", "failed", "running")
+    parts = [
+        reports.table_checks(star.hits(spark, sf), {}, ("duplicate_hits", ["search_run_id", *key])), reports.table_checks(statuses, {"unknown_status": odd}),
+        reports.table_checks(both, {"details_without_job": F.col("detail") & ~F.coalesce("is_active", F.lit(False)), "jobs_without_activity": F.col("job") & F.col("is_active").isNull()}),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("step_outcomes", "select platform, count(*) filter (k = 7) as blocked, count(*) filter (k = 3) as skipped_backoff from (select platform, cast(json_extract_string(stats, '$.k') as integer) as k from star_runs) q group by platform")
@@ -776,3 +780,6 @@ def recompute_skills(spark, sf):
     details_ = star.details(spark, sf).withColumn("extracted_skills_at", F.lit(None).cast("timestamp"))
     out = taxonomy.recompute_skills(details_, lifecycle.skill_queue(details_, 2, 200), words, 2, _now(), ["platform", "job_id"])
     return out.select("platform", "job_id", "extracted_skills", "extracted_skills_version", "extracted_skills_at")
+
+
+from postlake import queries_pages, queries_state  # noqa: E402, F401  they register their own

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 PREVIEW = "map<string,string>"
@@ -20,6 +20,15 @@ def read_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.filter("corrupt is null").drop("corrupt").withColumn("seq", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")))
 
 
+def counted_log(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, Observation]:
+    """read_log, and an observation of what it met: kept and skipped lines, and job details without a job. It is filled by the first action on the rows, without another scan."""
+    rows = spark.read.schema(SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(paths)
+    seen, nameless = Observation(), (F.col("record_type") == "job_detail") & (F.coalesce("job_id", F.lit("")) == "")
+    rows = rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("seq"))
+    rows = rows.observe(seen, F.count_if(F.col("corrupt").isNull()).alias("kept"), F.count_if(F.col("corrupt").isNotNull()).alias("skipped"), F.count_if(F.col("corrupt").isNull() & nameless).alias("nameless"))
+    return rows.filter("corrupt is null").drop("corrupt"), seen
+
+
 def split(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(page fetches, discovered jobs, job details); other types are dropped."""
     of = lambda kind: log.filter(F.col("record_type") == kind)

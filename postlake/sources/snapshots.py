@@ -1,21 +1,21 @@
-"""Stored read models, recomputed wholesale in the order of their dependencies."""
+"""Stored read models, recomputed wholesale in the order of their dependencies, and their public names."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlake.sources import versions
+
 
 def refresh(spark: SparkSession, root: str, steps: list[tuple[str, Callable[[dict[str, DataFrame]], DataFrame], list[str]]]) -> list[str]:
-    """Runs (name, function of the tables made so far, sort columns) in order, writes each to root/name and hands the stored
-    table to the later ones. Rows are sorted inside their files, so point and range reads skip row groups. Returns the names."""
-    made: dict[str, DataFrame] = {}
-    for name, step, order in steps:
-        rows = step(made)
-        (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite").parquet(f"{root}/{name}")
-        made[name] = spark.read.parquet(f"{root}/{name}")
-    return list(made)
+    """Runs (name, function of the tables made so far, sort columns) in order and stores all of them as one new version under root; a failing step leaves the
+    old one. Steps that name what they read, and so run only when that changed, are for `versions.refresh`."""
+    before = lambda i: [n for n, _, _ in steps[:i]]
+    named = [(name, step, before(i), order) for i, (name, step, order) in enumerate(steps)]
+    return versions.refresh(versions.Lake(spark, root), {}, named, version=uuid.uuid4().hex)
 
 
 def publish(tables: dict[str, DataFrame]) -> list[str]:
