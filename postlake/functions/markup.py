@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements without an end tag.
@@ -39,6 +39,16 @@ def cut(html: Column) -> Column:
     return let(alive, of)
 
 
+def with_cut(rows: DataFrame, name: str, html: str = "html") -> DataFrame:
+    """rows with the cut page as a column that a generator makes, so that no optimiser rule puts the cutting into the expressions that read it."""
+    return made_once(rows, name, cut(F.col(html)))
+
+
+def made_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a column that is computed once a row however many expressions read it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def opening(selector: Selector) -> str:
     """Pattern of an opening tag."""
     name, attribute, value = selector

@@ -83,7 +83,7 @@ def detail_fields(pages: DataFrame, platform: str) -> DataFrame:
     cut = "_page"
     while cut in pages.columns:
         cut = "_" + cut
-    rows, page = pages.withColumn(cut, markup.cut(F.col("html"))), F.col(cut)
+    rows, page = markup.with_cut(pages, cut), F.col(cut)
     fields = {name: _first([element(page, *path) for path in tried]) for name, tried in DETAIL_FIELDS[platform].items()}
     if platform == "stepstone":
         fields["posted_time_ago"] = _filled(F.regexp_replace(fields["posted_time_ago"], r"(?i)^Erschienen:\s*", ""))
@@ -101,7 +101,7 @@ def merged_detail(pages: DataFrame) -> DataFrame:
 
     The description asks the page last; chips give salary and work model before the state does. `sources` names where each field came from.
     """
-    rows = state_posting(detail_fields(pages, "xing")).withColumn("ld", jsonld_posting(F.col("html"))).withColumn("chip", classify_highlights(F.col("highlights")))
+    rows = markup.made_once(markup.made_once(state_posting(detail_fields(pages, "xing")), "ld", jsonld_posting(F.col("html"))), "chip", classify_highlights(F.col("highlights")))
     c = F.col
     picked = {
         "job_title": {"jsonld": c("ld.title"), "dom": c("job_title"), "state": c("state.title")}, "company_name": {"jsonld": c("ld.company_name"), "dom": c("company_name"), "state": c("state.company_name")},
@@ -124,8 +124,9 @@ def detail_outcome(title: Column, status: Column, blocked: Column) -> tuple[Colu
 
 def _cards(pages: DataFrame, path: list[markup.Selector]) -> DataFrame:
     """(page_id, rank, tag, card) of a result list; rank counts all cards from 0, `card` is what one holds, cut."""
-    rows = pages.select("page_id", markup.cut(F.col("html")).alias("_page")).select("page_id", F.posexplode(markup.every(F.col("_page"), path)).alias("rank", "x"))
-    return rows.select("page_id", "rank", F.col("x.tag").alias("tag"), markup.cut(F.col("x.inside")).alias("card"))
+    rows = markup.with_cut(pages.select("page_id", "html"), "_page")
+    cards = F.transform(markup.every(F.col("_page"), path), lambda x: F.struct(x["tag"].alias("tag"), markup.cut(x["inside"]).alias("card")))
+    return rows.select("page_id", F.posexplode(cards).alias("rank", "x")).select("page_id", "rank", F.col("x.tag").alias("tag"), F.col("x.card").alias("card"))
 
 
 def _first_attribute(card: Column, name: str, *path: markup.Selector) -> Column:
@@ -149,7 +150,7 @@ def numbered_cards(pages: DataFrame, base: str) -> DataFrame:
     """(page_id, rank, job_id, job_url, displayed) of the layout whose cards carry nothing but their id; displayed: how many of them are the search's own results, null
     where the page doesn't say. Cards without a number keep their rank and are skipped."""
     shown = F.regexp_extract("html", r"""(?is)<[^>]*\sdata-resultlist-offers-total=[^>]*\sdata-resultlist-offers-main-displayed=["']([0-9]+)["']""", 1).try_cast("int")
-    rows = pages.select("page_id", shown.alias("displayed"), markup.cut(F.col("html")).alias("_page"))
+    rows = markup.with_cut(pages.select("page_id", "html"), "_page").withColumn("displayed", shown)
     rows = rows.select("page_id", "displayed", F.posexplode(F.transform(markup.places(F.col("_page"), [("article", "id^", "job-item-")]), lambda i: F.get(F.col("_page.marks"), i))).alias("rank", "tag"))
     job_id = F.nullif(F.regexp_extract(F.trim(markup.attribute(F.col("tag"), "id")), "^job-item-([0-9]+)$", 1), F.lit(""))
     return rows.withColumn("job_id", job_id).filter("job_id is not null").select("page_id", "rank", "job_id", F.concat(F.lit(base.rstrip("/") + "/job/"), "job_id").alias("job_url"), "displayed")
@@ -219,12 +220,12 @@ def state_posting(pages: DataFrame) -> DataFrame:
     rest = F.regexp_extract("html", r"""(?is)<script\b(?=[^>]*\sid=["']runtime-config["'])[^>]*>\s*window\.crate=(.*)""", 1)
     raw = F.coalesce(markup.leading_object(rest), F.lit(""))
     store = F.from_json(F.get_json_object(F.regexp_replace(raw, r"\bundefined\b", "null"), "$.serverData.APOLLO_STATE"), "map<string,string>")
-    rows = pages.withColumn("_store", store)
+    rows = markup.made_once(pages, "_store", store)
     is_job = lambda x: F.coalesce(x.startswith("VisibleJob:"), F.lit(False))
     root = F.map_values(F.from_json(F.try_element_at("_store", F.lit("ROOT_QUERY")), "map<string,string>"))
     asked = F.filter(F.transform(root, lambda v: F.get_json_object(v, "$.__ref")), is_job)
     ref = F.coalesce(F.get(asked, F.lit(0)), F.get(F.filter(F.map_keys("_store"), is_job), F.lit(0)))
-    rows = rows.withColumn("_job", F.try_element_at("_store", ref))
+    rows = markup.made_once(rows, "_job", F.try_element_at("_store", ref))
     at = lambda p: F.get_json_object("_job", p)
     follow = lambda p, q: F.coalesce(F.get_json_object(F.try_element_at("_store", at(f"{p}.__ref")), f"$.{q}"), at(f"{p}.{q}"))
     options = F.upper(F.coalesce(at("$.remoteOptions"), F.lit("")))

@@ -35,12 +35,12 @@ def _written_log(spark, sf, files=None):
     ))
     line = F.when(k % 97 == 0, F.substring(record, 1, 20)).when(k % 89 == 0, "").otherwise(record)
     path = shared_folder(spark, "log")
-    rows = star.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), line.alias("line"))
-    rows.repartitionByRange(files or 4, "o").sortWithinPartitions("o", "n").select("line").write.text(path)
+    rows = star.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "l_suppkey", "l_shipdate", line.alias("line"))
+    rows.repartitionByRange(files or 4, "o").sortWithinPartitions("o", "n", "l_suppkey", "l_shipdate").select("line").write.text(path)
     return path
 
 
-_LINES = f"""lines as (select *, case when k % 5 < 2 then 'job_discovered' when k % 5 = 2 then 'job_detail' when k % 5 = 3 then 'page_fetch' else 'else' end as kind from (select l_orderkey * 8 + l_linenumber as k, l_orderkey as o, l_linenumber as n, l_suppkey, l_shipdate, l_quantity, {star._sql_pick(star.PLATFORMS, "l_orderkey")} as platform from lineitem) q),
+_LINES = f"""lines as (select *, case when k % 5 < 2 then 'job_discovered' when k % 5 = 2 then 'job_detail' when k % 5 = 3 then 'page_fetch' else 'else' end as kind from (select l_orderkey * 8 + l_linenumber as k, ((l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey) * 20000 + date_diff('day', date '1990-01-01', l_shipdate) as kk, l_orderkey as o, l_linenumber as n, l_suppkey, l_shipdate, l_quantity, {star._sql_pick(star.PLATFORMS, "l_orderkey")} as platform from lineitem) q),
 good as (select * from lines where k % 97 <> 0 and k % 89 <> 0)"""
 
 
@@ -82,11 +82,11 @@ def _start(spark, sf):
 
 _APPLIED = f"""{_LINES},
 found as (select *, 'https://n.example.org/' || o || '/' || n as url from good where kind = 'job_discovered'), det as (select *, case when k % 3 = 1 then 'gone' when k % 3 = 0 then 'back' end as what from good where kind = 'job_detail' and k % 13 <> 0),
-lastf as (select o, platform, arg_max(url, k) as url, arg_max(l_shipdate, k) as seen, arg_min(l_shipdate, k) as first from found group by all),
+lastf as (select o, platform, arg_max(url, kk) as url, arg_max(l_shipdate, kk) as seen, arg_min(l_shipdate, kk) as first from found group by all),
 j1 as (select coalesce(j.k, l.o) as o, coalesce(j.platform, l.platform) as platform, coalesce(l.url, j.job_url) as job_url, coalesce(l.seen, j.last_seen_at) as last_seen_at, case when l.o is not null then true else j.is_active end as is_active,
   case when l.o is null then j.expired_at end as expired_at, case when l.o is null then j.expire_reason end as expire_reason from (select * from star_jobs where k % 4 <> 0) j full join lastf l on l.o = j.k),
-lb as (select o, max(case when what = 'back' then k end) as reset, arg_max(what, k) as last from det where what is not null group by o),
-g as (select d.o, arg_min(d.l_shipdate, d.k) as gone_at from det d join lb using (o) where what = 'gone' and (reset is null or k > reset) group by d.o),
+lb as (select o, max(case when what = 'back' then kk end) as reset, arg_max(what, kk) as last from det where what is not null group by o),
+g as (select d.o, arg_min(d.l_shipdate, d.kk) as gone_at from det d join lb using (o) where what = 'gone' and (reset is null or kk > reset) group by d.o),
 applied as (select platform, cast(o as varchar) as job_id, job_url, last_seen_at, case when last is not null then last = 'back' else is_active end as is_active, case when last = 'gone' then coalesce(case when reset is null then expired_at end, gone_at) when last is null then expired_at end as expired_at,
   case when last = 'gone' then coalesce(case when reset is null then expire_reason end, 'http_410') when last is null then expire_reason end as expire_reason from j1 left join lb using (o) left join g using (o))"""
 _JOB = ("platform", "job_id", "job_url", "last_seen_at", "is_active", "expired_at", "expire_reason")
@@ -107,7 +107,7 @@ def streamed_log(spark, sf):
     return lake.read("jobs").select(*_JOB)
 
 
-@query("streamed_hits", f"select * from (with {_LINES} select cast(l_suppkey as varchar) as search_run_id, platform, cast(o as varchar) as job_id, cast(arg_min(n, k) as integer) as rank, cast(arg_min(l_quantity, k) as integer) as page_start from good where kind = 'job_discovered' group by 1, 2, 3) q")
+@query("streamed_hits", f"select * from (with {_LINES} select cast(l_suppkey as varchar) as search_run_id, platform, cast(o as varchar) as job_id, cast(arg_min(n, kk) as integer) as rank, cast(arg_min(l_quantity, kk) as integer) as page_start from good where kind = 'job_discovered' group by 1, 2, 3) q")
 def streamed_hits(spark, sf):
     lake, path = _start(spark, sf), _written_log(spark, sf, files=3)
     import_stream(lake, path, shared_folder(spark, "progress"), max_files=100).awaitTermination()
@@ -347,7 +347,7 @@ def page_counters(spark, sf):
 @query("page_markers", "select page_id, case when page_id % 2 = 0 then 'Still nothing? See ' || page_id || ' more' end as marker, page_id % 3 = 0 as more from pages")
 def page_markers(spark, sf):
     k, s = F.col("page_id"), F.col("page_id").cast("string")
-    html = F.concat(F.when(k % 2 == 0, F.concat(lit("<h4>Still <b>nothing</b>? See "), s, lit(" more</h4><h3>other</h3>"))).otherwise("<h4>other</h4>"), F.when(k % 3 == 0, lit('<button type="button"><span>Show  more</span></button>')).otherwise(lit("<button>More</button>")))
+    html = F.concat(F.when(k % 2 == 0, F.concat(lit("<h4>Still <b>nothing?</b> See "), s, lit(" more</h4><h3>other</h3>"))).otherwise("<h4>other</h4>"), F.when(k % 3 == 0, lit('<button type="button"><span>Show  more</span></button>')).otherwise(lit("<button>More</button>")))
     marks = extraction.section_markers(F.col("html"), ["still nothing\\?", "no such"])
     return _pages(spark, sf, html).select("page_id", F.get(marks, lit(0)).alias("marker"), extraction.has_more(F.col("html")).alias("more"))
 
