@@ -21,8 +21,25 @@ BASE = {
     "card": (r"(?:[0-9][\x20-]?){13}[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+# Characters of an account number by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Account numbers of their country's length, in one piece or in groups of four; what follows them is no part of them."""
+    ways = []
+    for size, countries in IBAN_LENGTHS.items():
+        fours, rest = divmod(size - 4, 4)
+        grouped = rf"(?:\x20[A-Z0-9]{{4}}){{{fours}}}" + (rf"\x20[A-Z0-9]{{{rest}}}" if rest else "")
+        ways.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{size - 4}}}|{grouped})")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(ways)})(?![A-Za-z0-9])"
+
+
 ADDED = {
-    "iban": (r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
+    "iban": (r"[A-Z]{2}[0-9]{2}", _iban()),
     "ssn": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "local_phone": (r"[0-9]{3}[\x20.-][0-9]{4}", r"(?<![0-9+)(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"),
 }

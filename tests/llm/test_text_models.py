@@ -44,6 +44,15 @@ def test_spans_equal_a_plain_search(spark):
     assert [x[2] for x in got[12]] == ["ssn", "ssn"] and [x[2] for x in got[13]] == ["local_phone", "local_phone"]
 
 
+@pytest.mark.parametrize("text,want", [
+    ("IBAN DE89370400440532013000 PLEASE PAY", ["DE89370400440532013000"]), ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]), ("DE89370400440532013000 GB29NWBK60161331926819 NO9386011117947", ["DE89370400440532013000", "GB29NWBK60161331926819", "NO9386011117947"]),
+    ("REF DE12 IBAN DE89 3704 0044 0532 0130 00 DE89", ["DE89 3704 0044 0532 0130 00"]), ("DE89370400440532013001", []), ("DE8937040044053201300", []), ("xDE89370400440532013000", []), ("DE893704004405320130000", []), ("MT84MALT011000012345MTLCAST001S OK", ["MT84MALT011000012345MTLCAST001S"]),
+])
+def test_account_numbers_by_country(spark, text, want):
+    row = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [text[x["start"] : x["end"]] for x in row["pii"] if x["kind"] == "iban"] == want
+
+
 def test_spans_on_the_documents(spark):
     rows = pii.find_pii(spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text")).collect()
     assert all([(x["start"], x["end"], x["kind"]) for x in r["pii"] if x["kind"] in pii.BASE] == plain(r["text"] or "") for r in rows)
