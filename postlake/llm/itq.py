@@ -42,9 +42,19 @@ def rotations(dims: int, bits: int, seed: int = 7) -> np.ndarray:
     return np.concatenate(out, 1)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their largest component to 0.5 .. 1: angles keep every bit, and squares neither over- nor underflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def learned(some: np.ndarray, bits: int, seed: int = 7) -> np.ndarray:
     """Columns of rotations fitted to the vectors `some` by iterative quantisation, each from another random start."""
-    x, out = some / np.linalg.norm(some, axis=1, keepdims=True), []
+    x, out = unit(some), []
     dims = x.shape[1]
     for k in range(-(-bits // dims)):
         turn = rotations(dims, dims, seed + k)
@@ -81,7 +91,7 @@ def _tables(share: np.ndarray, width: int) -> int:
 
 def plan(some: np.ndarray, count: int, least: float) -> tuple[int, int, bool]:
     """(width, tables, learned?): of the widths, each with the tables that MISS asks for, the one with the fewest lookups and candidates."""
-    x = some / np.linalg.norm(some, axis=1, keepdims=True)
+    x = unit(some)
     pairs = np.triu_indices(len(x), 1)
     cosines = (x @ x.T)[pairs]
     others, known = cosines < least, np.array([math.acos(least) / math.pi])
@@ -140,12 +150,11 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     found = components(links, "a", "b")
     told = counts.join(others.withColumnRenamed("a", "rep"), "rep", "left").join(found.toDF("rep", "component"), "rep", "left")
     told = classes.select("same", "rep").join(told, "rep").select("same", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    component = F.when(F.col("v").isNotNull(), F.col("component")).otherwise(F.col("id"))
+    # vectors that link with nothing share one digest: they don't go through the join
+    alone = rows.filter("v is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    every = good.select("id", "same").join(told, "same").select("id", F.col("n_links").cast("long").alias("n_links"), "component").unionByName(alone)
     shown = lambda c: F.when(c > _NULL_ID, c)
-    return rows.join(told, "same", "left").select(
-        shown(F.col("id")).alias("vec_id"), F.when(F.col("v").isNotNull(), F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
-        shown(component).alias("component_id"), (F.col("id") == component).alias("kept"),
-    )
+    return every.select(shown(F.col("id")).alias("vec_id"), "n_links", shown(F.col("component")).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFrame:
@@ -158,7 +167,7 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
     share = math.acos(least) / math.pi
     far = math.ceil(bits * share + SPREAD * math.sqrt(bits * share * (1 - share)))
     if taught:  # the farthest of the made pairs may lie beyond
-        x = some / np.linalg.norm(some, axis=1, keepdims=True)
+        x = unit(some)
         apart = ((x @ rotated[:, :bits] > 0) != (at_threshold(x, least) @ rotated[:, :bits] > 0)).sum(1)
         far = max(far, int(apart.max() + math.sqrt(bits)))
     words = -(-bits // 63)
@@ -166,8 +175,7 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
     def coded(probe: bool):
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             x = np.array(part.column(1).flatten()).reshape(part.num_rows, -1)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
-            codes = (x @ rotated > 0).astype(np.int64)
+            codes = (unit(x) @ rotated > 0).astype(np.int64)
             keys, row = _keys(codes, width, probe)
             padded = np.zeros((len(codes), words * 63), np.int64)
             padded[:, :bits] = codes[:, :bits]
@@ -193,7 +201,7 @@ def _links(classes: DataFrame, count: int, least: float, sample: int) -> DataFra
     values = classes.select("rep", "v")
 
     def cosine(part: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (np.array(part.column(i).flatten()).reshape(part.num_rows, -1) for i in (2, 3))
+        x, y = (scaled(np.array(part.column(i).flatten()).reshape(part.num_rows, -1)) for i in (2, 3))
         near = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) >= least
         return pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(near))
 
