@@ -27,6 +27,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _once(value: Column) -> Column:
+    """The value as a generator's output: the filters that Spark derives for a later explode then read it, instead of being pushed below with the whole expression in
+    the place of each of its uses, inside loops too."""
+    return F.explode(F.array(value))
+
+
 def words_of(text: Column) -> Column:
     """Words of a text after lower-casing A-Z: runs of digits, a-z and characters outside ASCII. Null has none."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -62,7 +68,9 @@ def _kept_places(grams: Column, window: int, gram: int) -> Column:
     lows = F.transform(F.sequence(F.lit(0), F.size(grams) - n), lambda i: F.least(*[F.get(grams, i + k) for k in range(n)]))
 
     def made(low: Column) -> Column:
-        marked = F.transform(grams, lambda g, at: F.when(F.exists(F.sequence(F.greatest(at - n + 1, F.lit(0)), at), lambda i: F.coalesce(F.get(low, i) == g, F.lit(False))), F.struct(g.alias("fp"), at.alias("at"))))
+        # no window's smallest hash is above one of its own, so a hash is the smallest of some window if the largest of theirs equals it
+        top = lambda at: F.greatest(*[F.get(low, at - k) for k in range(n)]) if n > 1 else F.get(low, at)
+        marked = F.transform(grams, lambda g, at: F.when(top(at) == g, F.struct(g.alias("fp"), at.alias("at"))))
         return F.filter(marked, lambda x: x.isNotNull())
 
     return F.when(F.size(grams) >= n, _let(lows, made)).otherwise(none)
@@ -94,6 +102,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
         .select("items", "h", "fp", F.explode(_places(F.col("g"), F.col("fp"))).alias("at"))
         .select("fp", "items", _around(F.col("h"), F.col("at"), window, gram).alias("known"))
     )
+    prints = prints.groupBy("fp", "known").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")).select("fp", "items", "known")  # a phrase of many items is one row
     sentinel = docs.sparkSession.range(1).select(F.lit(_SENTINEL).cast("long").alias("fp"), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<bigint>").alias("known"))
     table = prints.unionByName(sentinel)
     sizes = known.agg(F.collect_set(F.when(F.size("h") < window, F.size("h"))).alias("short")).first()
@@ -101,34 +110,45 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
 
     # documents: hashes, kept hashes, and one that always joins, which brings the number of words
     hashed = _let(_hashed(F.col(text)), lambda h: F.struct(h.alias("h"), _grams(h, gram).alias("g")))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.to_json(F.struct(F.col(doc_id).alias("i"), F.col(text).alias("t")))).alias("key"), hashed.alias("x"))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.to_json(F.struct(F.col(doc_id).alias("i"), F.col(text).alias("t")))).alias("key"), _once(hashed).alias("x"))
     base = base.select("doc_id", "key", F.col("x.h").alias("h"), F.col("x.g").alias("g"))
+    # A place carries the words around it, not the text's, and arrays are made before they are exploded: rows stay small however often a hash repeats.
+    entries = "array<struct<fp:bigint,at:int,mine:array<bigint>>>"
+    around = lambda places: F.transform(places, lambda x: F.struct(x["fp"].alias("fp"), x["at"].alias("at"), _around(F.col("h"), x["at"], window, gram).alias("mine"))).cast(entries)
+    n_words = F.size("h").cast("long").alias("n_words")
+    known_fps = prints.select("fp").distinct()
     if n_prints <= broadcast_rows:
-        mine = F.concat(_kept(F.col("g"), window, gram), F.array(F.lit(_SENTINEL).cast("long")))
-        near = base.select("doc_id", "h", "g", F.explode(mine).alias("fp")).join(F.broadcast(table), "fp")
-        places = F.when(F.col("fp") == _SENTINEL, F.array(F.lit(-1))).otherwise(_places(F.col("g"), F.col("fp")))
-        near = near.select("doc_id", F.size("h").cast("long").alias("n_words"), "items", "known", "h", F.explode(places).alias("at"))
-        run = near.select("doc_id", "n_words", "items", "at", F.when(F.col("at") >= 0, _extended(_around(F.col("h"), F.col("at"), window, gram), F.col("known"), window, gram)).alias("run"))
-    else:  # row keys, kept hashes and their places are shuffled; what they meet goes back to the words once a row
-        mine = base.select("key", F.explode(_kept_places(F.col("g"), window, gram)).alias("x")).select("key", "x.fp", "x.at")
-        met = mine.join(prints, "fp").groupBy("key").agg(F.collect_set(F.struct("at", "items", "known")).alias("met"))
-        each = F.transform("met", lambda x: F.struct(x["items"].alias("items"), x["at"].alias("at"), _extended(_around(F.col("h"), x["at"], window, gram), x["known"], window, gram).alias("run")))
-        back = base.join(met, "key").select("doc_id", F.size("h").cast("long").alias("n_words"), F.explode(each).alias("x")).select("doc_id", "n_words", "x.items", "x.at", "x.run")
-        none = base.select("doc_id", F.size("h").cast("long").alias("n_words"), F.lit(None).cast("array<string>").alias("items"), F.lit(-1).alias("at"), F.lit(None).cast("struct<left:int,right:int>").alias("run"))
-        run = back.unionByName(none)
-    enough = (F.col("at") < 0) | (F.col("run.left") + F.col("run.right") + gram >= window)
-    span = F.when(F.col("at") >= 0, F.struct((F.col("at") - F.col("run.left")).alias("start"), (F.col("at") + gram + F.col("run.right")).alias("end")))
-    found = run.filter(enough).select("doc_id", "n_words", "items", span.alias("span"))
+        first = F.array(F.struct(F.lit(_SENTINEL).cast("long").alias("fp"), F.lit(-1).alias("at"), F.lit(None).cast("array<bigint>").alias("mine"))).cast(entries)
+        held = base.select("doc_id", n_words, _once(F.concat(first, around(_kept_places(F.col("g"), window, gram)))).alias("places"))
+        near = held.select("doc_id", "n_words", F.explode("places").alias("x")).select("doc_id", "n_words", "x.*").join(F.broadcast(table.select("fp").distinct()), "fp", "left_semi")
+        table, none = F.broadcast(table), None
+    else:  # row keys, kept hashes and their places are shuffled; those that the benchmark has go back to the words once a row
+        mine = base.select("key", _once(_kept_places(F.col("g"), window, gram)).alias("places")).select("key", F.explode("places").alias("x")).select("key", "x.fp", "x.at")
+        met = mine.join(known_fps, "fp", "left_semi").groupBy("key").agg(F.collect_set(F.struct("fp", "at")).alias("met"))
+        held = base.join(met, "key").select("doc_id", n_words, _once(around(F.col("met"))).alias("places"))
+        near = held.select("doc_id", "n_words", F.explode("places").alias("x")).select("doc_id", "n_words", "x.*")
+        table, none = prints, base.select("doc_id", n_words)
+    # equal words around equal hashes are extended once, for all their places; all runs hold the place, so the widest is their union
+    alike = near.groupBy("doc_id", "fp", "mine").agg(F.max("n_words").alias("n_words"), F.collect_list("at").alias("at"))
+    run = F.when(F.col("mine").isNotNull(), _extended(F.col("mine"), F.col("known"), window, gram)).alias("run")
+    ran = alike.join(table, "fp").select("doc_id", "fp", "mine", "n_words", "at", "items", run)
+    ran = ran.filter(F.col("mine").isNull() | (F.col("run.left") + F.col("run.right") + gram >= window))
+    ran = ran.groupBy("doc_id", "fp", "mine").agg(F.first("n_words").alias("n_words"), F.first("at").alias("at"), F.max("run.left").alias("left"), F.max("run.right").alias("right"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    some = F.transform("at", lambda at: F.struct((at - F.col("left")).alias("start"), (at + gram + F.col("right")).alias("end")))
+    no_spans = F.array().cast("array<struct<start:int,end:int>>")
+    found = ran.select("doc_id", "n_words", "items", F.when(F.col("left").isNotNull(), some).otherwise(no_spans).alias("spans"))
+    if none is not None:
+        found = found.unionByName(none.select("doc_id", "n_words", F.lit(None).cast("array<string>").alias("items"), no_spans.alias("spans")))
     if lengths := sorted(sizes["short"] if sizes else []):  # at most window - 1 lengths, all in one reading
         short = known.filter(F.size("h") < window)
         whole = F.coalesce(*[F.when(F.size("h") == n, _grams(F.col("h"), n)[0]) for n in lengths])
         short = short.select(F.size("h").alias("n"), whole.alias("fp"), "items")
         runs = [_runs(F.col("h"), n) for n in lengths]
-        mine = base.select("doc_id", F.size("h").cast("long").alias("n_words"), F.explode(F.concat(*runs)).alias("x")).select("doc_id", "n_words", "x.n", "x.fp", "x.at")
+        mine = base.select("doc_id", n_words, _once(F.concat(*runs)).alias("runs")).select("doc_id", "n_words", F.explode("runs").alias("x")).select("doc_id", "n_words", "x.n", "x.fp", "x.at")
         few = short.limit(broadcast_rows + 1).count() <= broadcast_rows
         other = mine.join(F.broadcast(short) if few else short, ["n", "fp"])
-        found = found.unionByName(other.select("doc_id", "n_words", "items", F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")).alias("span")))
-    merged = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        found = found.unionByName(other.select("doc_id", "n_words", "items", F.array(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end"))).alias("spans")))
+    merged = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     return merged.select("doc_id", "n_words", _apart(F.col("spans")).alias("hits"), "items")
 
 

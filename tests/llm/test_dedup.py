@@ -231,6 +231,29 @@ def test_overlaps_of_null_ids(spark, broadcast_rows):
     assert got == {None: 12, 1: 12, 2: 0}
 
 
+@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
+def test_overlaps_of_repeated_words(spark, broadcast_rows):
+    """Equal words have equal hashes at every place; a phrase that many items share is one fingerprint of each."""
+    n = 300_000
+    df = spark.createDataFrame([(1, "na " * n), (2, "x " + "na " * 11 + "y"), (3, "template of many items that all say the same thing here " * 3)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "na " * 12), (8, "na " * 10)] + [(100 + i, f"{i} template of many items that all say the same thing here {i}") for i in range(200)], "item_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: (r["n_words"], sum(x["end"] - x["start"] for x in r["hits"]), len(r["items"])) for r in winnow.find_overlaps(df, bench, broadcast_rows=broadcast_rows).collect()}
+    assert got == {1: (n, n, 2), 2: (13, 11, 2), 3: (33, 33, 200)}
+    assert time.time() - began < 60
+
+
+def test_embeddings_of_extreme_components(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((100, 8))
+    rows = [(i, (v * s).tolist()) for i, (v, s) in enumerate((v, s) for v in base for s in (1.0, 1e200, 1e-200, 5e-310))]
+    rows += [(400, [1e308] * 8), (401, [-1e308] * 8), (402, [5e-324] + [0.0] * 7)] + [(500 + i, None) for i in range(300)]
+    got = {r["vec_id"]: r for r in itq.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    same = [got[4 * i + k]["component_id"] == got[4 * i]["component_id"] and got[4 * i + k]["n_links"] >= 2 for i in range(100) for k in range(3)]
+    assert len(got) == len(rows) and sum(same) >= 0.98 * len(same)
+    assert all(got[500 + i]["n_links"] == 0 and got[500 + i]["kept"] for i in range(300))
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((60, 16))
