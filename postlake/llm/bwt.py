@@ -151,11 +151,12 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         return hashlib.sha256(kept).hexdigest() if digest else kept
 
     def anchors(part: pa.RecordBatch) -> pa.RecordBatch:
-        """Where each text's runs of strings with one anchor start, and the anchors' hashes."""
+        """Where each text's runs of strings with one anchor hash start, these hashes, and at how many places each run has it: equal anchors that follow each other, as in
+        text of one byte, are one run."""
         data, at = joined(part, "text")
         n = part.num_rows
         starts, doc = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        values = np.zeros(0, np.int64)
+        values, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
         if len(data) >= length:
             hashes = run_hashes(TABLE[data], gram)
             place = minimum_places(hashes, length - gram + 1)[: len(data) - length + 1]
@@ -163,81 +164,87 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             of = np.repeat(np.arange(n), counts)
             window = np.arange(counts.sum()) + np.repeat(at[:-1] - (np.cumsum(counts) - counts), counts)
             place = place[window]
-            new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (of[1:] != of[:-1])])) if len(window) else np.zeros(0, np.int64)
-            starts, doc, values = window[new], of[new], hashes[place[new]].view(np.int64)
+            if len(window):
+                value, first = hashes[place], of[1:] != of[:-1]
+                new = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | first]))
+                moved = np.concatenate([[1], ((place[1:] != place[:-1]) | first).astype(np.int32)])
+                starts, doc, values, places = window[new], of[new], value[new].view(np.int64), np.add.reduceat(moved, new).astype(np.int32)
         sizes = np.bincount(doc, minlength=n)
-        return pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists((starts - at[doc]).astype(np.int32), sizes), lists(values, sizes)], ["doc_id", "sha", "starts", "anchors"])
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists((starts - at[doc]).astype(np.int32), sizes), lists(values, sizes), lists(places, sizes)], ["doc_id", "sha", "starts", "anchors", "places"])
 
-    marked = keep(map_batches(rows.select("doc_id", "text", "sha"), anchors, "doc_id long, sha string, starts array<int>, anchors array<bigint>", "text").filter("size(starts) > 0"), "anchors")
-    each = marked.select("doc_id", F.xxhash64("sha").alias("own"), F.posexplode("anchors").alias("run", "anchor"))
-    each = each.groupBy("anchor", "doc_id", "own").agg(F.min("run").alias("run"), F.count("*").alias("n"))
+    marked = keep(map_batches(rows.select("doc_id", "text", "sha"), anchors, "doc_id long, sha string, starts array<int>, anchors array<bigint>, places array<int>", "text").filter("size(starts) > 0"), "anchors")
+    each = marked.select("doc_id", F.xxhash64("sha").alias("own"), F.posexplode(F.arrays_zip("anchors", "places")).alias("run", "x")).select("doc_id", "own", "run", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("places"))
+    each = each.groupBy("anchor", "doc_id", "own").agg(F.min("run").alias("run"), F.sum("places").alias("n"))
     once = each.groupBy("anchor").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.max("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("run").alias("run"))
     once = once.filter("low = high and n = 1").groupBy("doc_id").agg(F.collect_list("run").alias("once"))
     copies = marked.groupBy("sha").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
-    told = marked.join(copies, "sha", "left").join(once, "doc_id", "left").select("doc_id", "starts", "anchors", "once", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("rep", "doc_id").alias("rep"))
-    told = told.groupBy("doc_id", "copies", "rep").agg(F.first("starts").alias("starts"), F.first("anchors").alias("anchors"), F.first("once").alias("once"))
+    told = marked.join(copies, "sha", "left").join(once, "doc_id", "left").select("doc_id", "starts", "anchors", "places", "once", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("rep", "doc_id").alias("rep"))
+    told = told.groupBy("doc_id", "copies", "rep").agg(F.first("starts").alias("starts"), F.first("anchors").alias("anchors"), F.first("places").alias("places"), F.first("once").alias("once"))
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
         """Final rows of texts without strings to compare; the others keep their text and the runs to compare."""
         n = part.num_rows
         raw = _bytes_of(part, "text")
         copies, rep, ids = (part.column(c).to_pylist() for c in ("copies", "rep", "doc_id"))
-        starts, values, done = (part.column(c).to_pylist() for c in ("starts", "anchors", "once"))
-        texts, spans, kinds, removed, kept, weights = [], [], [], [], [], []
+        starts, values, places, done = (part.column(c).to_pylist() for c in ("starts", "anchors", "places", "once"))
+        texts, spans, kinds, removed, kept, weights, many = [], [], [], [], [], [], []
         for i in range(n):
             size = len(raw[i])
             gone = (copies[i] or 1) > 1 and size >= length
             mine: list[dict] = []
             owned: list[int] = []
+            again: list[bool] = []
             if starts[i] and (not gone or rep[i] == ids[i]):
                 end = [*starts[i][1:], size - length + 1]
                 seen = set(done[i] or ())
                 left = [k for k in range(len(starts[i])) if k not in seen]
                 mine = [{"start": starts[i][k], "end": end[k]} for k in left]
                 owned = [values[i][k] for k in left]
+                again = [places[i][k] > 1 for k in left]
             texts.append(raw[i] if mine else None)
             spans.append(mine)
             kinds.append(owned)
+            many.append(again)
             weights.append(2 if gone else 1)
             final = gone or not mine
             removed.append(([{"start": 0, "end": size}] if gone else []) if final else None)
             kept.append(closed(b"" if gone else raw[i]) if final else None)
         return pa.RecordBatch.from_arrays(
-            [part.column(0), part.column(1), pa.array(list(map(len, raw)), pa.int64()), pa.array(texts, pa.binary()), pa.array(spans, _SPAN), pa.array(kinds, pa.list_(pa.int64())), pa.array(weights, pa.int32()), pa.array(removed, _SPAN), pa.array(kept, pa.string() if digest else pa.binary())],
-            ["id", "doc_id", "n_bytes", "bytes", "runs", "anchors", "weight", "removed", out],
+            [part.column(0), part.column(1), pa.array(list(map(len, raw)), pa.int64()), pa.array(texts, pa.binary()), pa.array(spans, _SPAN), pa.array(kinds, pa.list_(pa.int64())), pa.array(many, pa.list_(pa.bool_())), pa.array(weights, pa.int32()), pa.array(removed, _SPAN), pa.array(kept, pa.string() if digest else pa.binary())],
+            ["id", "doc_id", "n_bytes", "bytes", "runs", "anchors", "many", "weight", "removed", out],
         )
 
-    judged = rows.join(told, "doc_id", "left").select("id", "doc_id", "text", "starts", "anchors", "once", "copies", "rep")
-    judged = keep(map_batches(judged, judge, f"id long, doc_id long, n_bytes long, bytes binary, runs {_SPANS}, anchors array<bigint>, weight int, removed {_SPANS}, {out} {out_type}", "text"), "judged")
+    judged = rows.join(told, "doc_id", "left").select("id", "doc_id", "text", "starts", "anchors", "places", "once", "copies", "rep")
+    judged = keep(map_batches(judged, judge, f"id long, doc_id long, n_bytes long, bytes binary, runs {_SPANS}, anchors array<bigint>, many array<boolean>, weight int, removed {_SPANS}, {out} {out_type}", "text"), "judged")
     open_ = judged.filter("bytes is not null")
 
-    def regions(part: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, int, bytes, bytes]]:
-        """(row, anchor, weight, start, end, digest, bytes) of every region."""
-        for i, (data, runs, values, weight) in enumerate(zip(*(part.column(c).to_pylist() for c in ("bytes", "runs", "anchors", "weight")), strict=True)):
-            for run, value in zip(runs, values, strict=True):
+    def regions(part: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, int, bytes, bytes, bool]]:
+        """(row, anchor, weight, start, end, digest, bytes, whether it has its anchor at several places) of every region."""
+        for i, (data, runs, values, many, weight) in enumerate(zip(*(part.column(c).to_pylist() for c in ("bytes", "runs", "anchors", "many", "weight")), strict=True)):
+            for run, value, again in zip(runs, values, many, strict=True):
                 region = data[run["start"] : run["end"] + length - 1]
-                yield i, value, weight, run["start"], run["end"], hashlib.blake2b(region, digest_size=16).digest(), region
+                yield i, value, weight, run["start"], run["end"], hashlib.blake2b(region, digest_size=16).digest(), region, again
 
     def occurrences(part: pa.RecordBatch) -> pa.RecordBatch:
-        all_ = list(regions(part))
+        all_ = [(*x[:6], None, x[7]) for x in regions(part)]
         ids = part.column("doc_id").to_pylist()
-        return pa.RecordBatch.from_arrays([pa.array([x[1] for x in all_], pa.int64()), pa.array([x[5] for x in all_], pa.binary()), pa.array([ids[x[0]] for x in all_], pa.int64()), pa.array([x[3] for x in all_], pa.int32()), pa.array([x[4] - x[3] for x in all_], pa.int32()), pa.array([x[2] for x in all_], pa.int32())], ["anchor", "region", "doc_id", "start", "strings", "weight"])
+        return pa.RecordBatch.from_arrays([pa.array([x[1] for x in all_], pa.int64()), pa.array([x[5] for x in all_], pa.binary()), pa.array([ids[x[0]] for x in all_], pa.int64()), pa.array([x[3] for x in all_], pa.int32()), pa.array([x[4] - x[3] for x in all_], pa.int32()), pa.array([x[2] for x in all_], pa.int32()), pa.array([x[7] for x in all_], pa.bool_())], ["anchor", "region", "doc_id", "start", "strings", "weight", "many"])
 
-    columns = ["doc_id", "bytes", "runs", "anchors", "weight"]
-    occurring = keep(map_batches(open_.select(*columns), occurrences, "anchor long, region binary, doc_id long, start int, strings int, weight int", "bytes"), "occurrences")
-    distinct = occurring.groupBy("anchor", "region").agg(F.min("doc_id").alias("doc_id"), F.sum("weight").alias("weight"), F.max("strings").alias("strings"))
-    crowds = distinct.groupBy("anchor").agg(F.sum("weight").alias("total"), F.count("*").alias("n")).filter("total > 1")
-    distinct = keep(distinct.join(crowds, "anchor").select("anchor", "region", "doc_id", F.least("weight", F.lit(2)).cast("int").alias("weight"), "strings", "n", (F.col("n") > crowded).alias("crowded")), "distinct")
+    columns = ["doc_id", "bytes", "runs", "anchors", "many", "weight"]
+    occurring = keep(map_batches(open_.select(*columns), occurrences, "anchor long, region binary, doc_id long, start int, strings int, weight int, many boolean", "bytes"), "occurrences")
+    distinct = occurring.groupBy("anchor", "region").agg(F.min("doc_id").alias("doc_id"), F.sum("weight").alias("weight"), F.max("strings").alias("strings"), F.max("many").alias("many"))
+    crowds = distinct.groupBy("anchor").agg(F.sum("weight").alias("total"), F.count("*").alias("n"), F.max("many").alias("inside")).filter("total > 1 or inside").drop("inside")
+    distinct = keep(distinct.join(crowds, "anchor").select("anchor", "region", "doc_id", F.least("weight", F.lit(2)).cast("int").alias("weight"), "strings", (F.col("n") == 1).alias("alone"), (F.col("total") > 1).alias("twice"), (F.col("n") > crowded).alias("crowded")), "distinct")
     # an anchor whose region is the same wherever it occurs: all its strings repeat, and there is nothing to compare
-    whole = distinct.filter("n = 1").select("region", F.array(F.struct(F.lit(0).alias("start"), F.col("strings").alias("end"))).alias("found"))
-    wanted = distinct.filter("n > 1").groupBy("doc_id").agg(F.collect_list(F.struct("region", "weight", "crowded")).alias("wanted"))
-    wanted = keep(open_.select("doc_id", "bytes", "runs", "anchors").join(wanted, "doc_id"), "wanted")
+    whole = distinct.filter("alone and twice").select("region", F.array(F.struct(F.lit(0).alias("start"), F.col("strings").alias("end"))).alias("found"))
+    wanted = distinct.filter("not (alone and twice)").groupBy("doc_id").agg(F.collect_list(F.struct("region", "weight", "crowded")).alias("wanted"))
+    wanted = keep(open_.select("doc_id", "bytes", "runs", "anchors", "many").join(wanted, "doc_id"), "wanted")
 
     def pick(part: pa.RecordBatch) -> Iterator[tuple[int, bytes, int, bool, bytes]]:
         """(anchor, digest, weight, crowded, bytes) of the regions that this text stands for."""
         filled = part.append_column("weight", pa.array(np.ones(part.num_rows, np.int32)))
         lists_ = [{x["region"]: x for x in own} for own in part.column("wanted").to_pylist()]
-        for i, value, _, _, _, name, region in regions(filled):
+        for i, value, _, _, _, name, region, _ in regions(filled):
             if x := lists_[i].pop(name, None):
                 yield value, name, x["weight"], x["crowded"], region
 

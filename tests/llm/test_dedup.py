@@ -231,6 +231,25 @@ def test_overlaps_of_null_ids(spark, broadcast_rows):
     assert got == {None: 12, 1: 12, 2: 0}
 
 
+def test_strings_of_one_byte(spark):
+    """Every string of such a text has one anchor hash: the text is one region, compared within itself."""
+    unit = "abcdefg" * 60
+    texts = ["a" * 1_000_000, "b" * 399, "c" * 400, "x" + "d" * 401 + "y", unit + "z", "e" * 500 + "tail", "head" + "e" * 450, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: (r["n_bytes"], sum(x["end"] - x["start"] for x in r["removed"]), len(r["removed"])) for r in bwt.remove_repeats(df, digest=True).collect()}
+    want = {}
+    seen = Counter(t[i : i + 400] for t in texts[1:] for i in range(len(t or "") - 399))
+    for k, t in enumerate(texts[1:], 1):
+        gone = [False] * len(t or "")
+        for i in range(len(gone) - 399):
+            if seen[t[i : i + 400]] > 1:
+                gone[i : i + 400] = [True] * 400
+        want[k] = (len(gone), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)))
+    assert got == want | {0: (1_000_000, 1_000_000, 1)}
+    assert time.time() - began < 120
+
+
 @pytest.mark.parametrize("broadcast_rows", [200_000, 0])
 def test_overlaps_of_repeated_words(spark, broadcast_rows):
     """Equal words have equal hashes at every place; a phrase that many items share is one fingerprint of each."""
