@@ -129,10 +129,11 @@ def recompute_skills(details: DataFrame, pending: DataFrame, rows: list[tuple[st
 def search_terms(keywords: DataFrame, places: DataFrame) -> DataFrame:
     """search_grid for a row a keyword (platform, pos, keyword) and a row a place (platform, location)."""
     from postlake.functions.urls import slug
+    from postlake.plans.places import small
 
     tidy = keywords.select("platform", "pos", F.trim(F.regexp_replace("keyword", r"\s+", " ")).alias("keyword")).filter("keyword <> ''")
     kept = tidy.groupBy("platform", F.lower("keyword").alias("low")).agg(F.min_by("keyword", "pos").alias("keyword"))
-    both = kept.join(F.broadcast(places), "platform", "left")  # places: the few locations that a platform's configuration lists
+    both = kept.join(small(places), "platform", "left")
     return both.select("platform", F.concat_ws("__", "platform", slug(F.col("keyword")), slug(F.coalesce("location", F.lit("")))).alias("name"), "keyword", "location")
 
 

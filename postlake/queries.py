@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pathlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.functions import intake, locations, posted, roles, urls
+from postlake.functions import intake, locations, urls
 from postlake.operators import extraction, geocoding, ingest, keyed, lifecycle, postings, reports, searches, taxonomy
 from postlake.plans import analytics, places, serving
 from postlake.plans import roles as role_plan
@@ -45,59 +47,8 @@ def bubbles(spark: SparkSession, sf: str) -> DataFrame:
     return places.city_bubbles(points(spark, sf), _now())
 
 
-def _list(values) -> str:
-    return ", ".join("'" + v + "'" for v in values)
-
-
-def _unit_case(units: dict, part: str) -> str:
-    found = [(u, f) for u, (p, f) in units.items() if p == part]
-    return "case u " + " ".join(f"when '{u}' then {f} * n" for u, f in found) + " else 0 end" if found else "0"
-
-
-_UNITS = {f"{u}{s}": v for u, v in posted.UNITS_EN.items() for s in ("", "s")} | posted.UNITS_DE
-_ROLE_FLAGS = {
-    "ws_s": f"regexp_matches(st, '{roles.structured_pattern('working_student')}')", "ws_x": f"platform = 'xing' and em in ({_list(roles.STUDENT_VALUES)})",
-    "ws_t": f"regexp_matches(ti, '{roles.any_word(roles.TITLE_TERMS['working_student'])}')", "ws_d": f"regexp_matches(de, '{roles.any_word(roles.TITLE_TERMS['working_student'])}')",
-    "in_s": f"regexp_matches(st, '{roles.structured_pattern('internship')}')", "in_l": f"platform = 'linkedin' and em in ({_list(roles.INTERN_VALUES)})",
-    "in_t": f"regexp_matches(ti, '{roles.any_word(roles.TITLE_TERMS['internship'])}')", "in_d": f"regexp_matches(de, '{roles.any_word(roles.TITLE_TERMS['internship'])}')",
-    "pt_f": "coalesce(part_time_flag, false)", "pt_s": f"regexp_matches(st, '{roles.structured_pattern('part_time')}')", "pt_l": f"platform = 'linkedin' and em in ({_list(roles.PART_TIME_VALUES)})", "pt_x": f"platform = 'xing' and em in ({_list(roles.PART_TIME_VALUES)})",
-    "pt_t": f"regexp_matches(ti, '{roles.any_word(roles.TITLE_TERMS['part_time'])}')", "pt_d": f"regexp_matches(de, '{roles.any_word(roles.TITLE_TERMS['part_time'])}')",
-    "contra": f"regexp_matches(st, '{roles.any_word(roles.CONTRADICTING)}')",
-}
-
-COMMON = f"""
-u0 as (select * exclude (k), nullif(lower(trim(regexp_replace(coalesce(posted_time_ago, ''), '^\\s*published:\\s*', '', 'i'))), '') as norm from star_jobs left join star_details using (platform, job_id)),
-u1 as (select *, case when regexp_matches(norm, '{posted.PATTERN_EN}') then 'en' when regexp_matches(norm, '{posted.PATTERN_DE}') then 'de' end as lg from u0),
-u2 as (select *, cast(case lg when 'en' then regexp_extract(norm, '{posted.PATTERN_EN}', 1) when 'de' then regexp_extract(norm, '{posted.PATTERN_DE}', 1) end as integer) as n,
-  case lg when 'en' then regexp_extract(norm, '{posted.PATTERN_EN}', 2) when 'de' then regexp_extract(norm, '{posted.PATTERN_DE}', 2) end as u from u1),
-uni as (select *, platform = 'xing' and native_posted_at_utc is not null as native,
-  case when platform = 'xing' and native_posted_at_utc is not null then native_posted_at_utc when norm in ({_list(posted.NOW_WORDS)}) then scraped_at when norm in ({_list(posted.YESTERDAY_WORDS)}) then scraped_at - interval 1 day
-    when lg is not null then scraped_at - to_months(12 * ({_unit_case(_UNITS, 'years')}) + ({_unit_case(_UNITS, 'months')})) - to_days({_unit_case(_UNITS, 'days')}) - to_hours({_unit_case(_UNITS, 'hours')}) - to_minutes({_unit_case(_UNITS, 'mins')}) end as posted_at_utc from u2),
-uno as (select *, case when native then 'native_xing_posted_at_utc' when norm is null then 'missing_input' when norm in ({_list(posted.NOW_WORDS + posted.YESTERDAY_WORDS)}) then 'parsed_keyword' when lg is not null then 'parsed_relative_' || lg else 'unparsed_format' end as posted_at_source,
-  case when native then 'posted_at_utc' when norm is null then 'missing_input' else coalesce(u, norm) end as posted_at_parse_detail, posted_at_utc is not null as posted_at_parse_ok, coalesce(posted_at_utc, first_seen_at) as event_ts from uni),
-skill as (select platform, job_id, event_ts, s from (select platform, job_id, event_ts, extracted_skills as x, unnest(json_keys(coalesce(extracted_skills, '{{}}'))) as g from uno) q, unnest(case when json_type(x, '$.' || g) = 'ARRAY' then cast(json_extract(x, '$.' || g) as varchar[]) else cast([] as varchar[]) end) as t(s)),
-r0 as (select * replace (case when platform in ('linkedin', 'xing') then nullif(trim(employment_type), '') end as employment_type, nullif(trim(contract_type), '') as contract_type, nullif(trim(work_type), '') as work_type) from uno),
-r1 as (select *, case when platform = 'stepstone' then part_time when employment_type is not null then lower(employment_type) in ({_list(roles.PART_TIME_VALUES)}) end as part_time_flag, lower(coalesce(job_title, '')) as ti, lower(coalesce(job_description, '')) as de, lower(coalesce(employment_type, '')) as em,
-  lower(concat_ws(' | ', employment_type, contract_type, work_type)) as st from r0),
-r2 as (select *, {", ".join(f"{v} as {k}" for k, v in _ROLE_FLAGS.items())} from r1),
-r3 as (select *, (ws_s or ws_x or ws_t) as ws_h, (in_s or in_l or in_t) as in_h, (pt_f or pt_s or pt_l or pt_x or pt_t) as pt_h from r2),
-r4 as (select *, ws_d and not (ws_h or in_h or pt_h) as ws_e, in_d and not (ws_h or in_h or pt_h) as in_e from r3),
-cls as (select *, ws_h or ws_e as is_working_student, in_h or in_e as is_internship, pt_h or pt_d as is_part_time, ws_h or ws_e or in_h or in_e or pt_h or pt_d as is_target_role,
-  case when not (ws_h or ws_e or in_h or in_e or pt_h or pt_d) then null when ws_h or in_h or pt_h then 3 when ((ws_e or in_e) and not contra) or pt_d then 2 else 1 end as rnk from r4),
-c0 as (select platform, job_id, nullif(trim(job_location), '') as loc, homeoffice_possible as ho, work_model as wm from uno),
-c1 as (select *, (loc is not null and regexp_matches(lower(loc), '{locations.REMOTE_PATTERN}')) or coalesce(ho, false) or (wm in ({_list(locations.REMOTE_MODELS)})) as remote_like, nullif(trim(regexp_replace(regexp_replace(lower(coalesce(loc, '')), '\\([^\\)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')), '') as canon from c0),
-c2 as (select platform, job_id, i, parts[i] as raw from (select platform, job_id, regexp_split_to_array(coalesce(canon, ''), '{locations.SPLIT}') as parts from c1) q, unnest(generate_series(1, len(parts))) as t(i)),
-c3 as (select platform, job_id, i, nullif(trim(regexp_replace(regexp_replace(regexp_replace(raw, '{locations.REMOTE_PATTERN}', ' ', 'g'), '\\s+', ' ', 'g'), '{locations.EDGES}', '', 'g')), '') as tok from c2),
-c4 as (select platform, job_id, tok, min(i) as ord, tok in ({_list(locations.ADMIN_REGIONS)}) as adm from c3 where tok is not null and length(tok) >= 2 and tok not in ({_list(locations.STOP_TOKENS)}) group by platform, job_id, tok),
-c5 as (select *, row_number() over (partition by platform, job_id order by ord, tok) as idx, count(*) over (partition by platform, job_id) as total, bool_and(adm) over (partition by platform, job_id) as only_adm from c4),
-cand as (select platform, job_id, 'city' as kind, idx, tok, total, least(total, 10) as used, remote_like from c5 join c1 using (platform, job_id) where idx <= 10 and (not adm or only_adm)
-  union all select platform, job_id, 'remote', null, null, coalesce(total, 0), least(coalesce(total, 0), 10), remote_like from c1 left join (select distinct platform, job_id, total from c5) using (platform, job_id) where remote_like),
-pt as (select cand.*, case when kind = 'remote' then '{locations.REMOTE_LABEL}' else array_to_string(list_transform(regexp_extract_all(tok, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+'), lambda w: upper(w[1]) || w[2:]), '') end as label, g.lat, g.lon, g.city as gcity, g.status as gstatus,
-  case when kind = 'remote' then case when used > 0 then 1.0::double / (used + 1) else 1.0::double end when remote_like then 1.0::double / (used + 1) else 1.0::double / used end as weight from cand left join star_geo g on kind = 'city' and g.location_text_norm = tok and g.country_scope = 'de'),
-bub0 as (select pt.*, uno.event_ts, uno.company_name, uno.posted_at_utc, uno.first_seen_at, coalesce(nullif(gcity, ''), label) as bl from pt join uno using (platform, job_id) where kind = 'city' and lat is not null and lon is not null),
-bub as (select lat, lon, bl, count(distinct platform || job_id) as jobs_unique, cast(sum(cast(round(weight * 27720) as bigint)) as double) / 27720 as jobs_weighted, count(distinct case when event_ts >= timestamp '{star.AS_OF}' - interval 1 day then platform || job_id end) as new_24h_unique,
-  count(distinct case when event_ts >= timestamp '{star.AS_OF}' - interval 7 day then platform || job_id end) as new_7d_unique from bub0 group by all)
-"""
+#: Rules with literal patterns and word lists, so that a wrong one in the package differs from them.
+COMMON = (pathlib.Path(__file__).parent / "sql" / "job_model.sql").read_text().split("\n", 1)[1]
 
 
 @query("unified_jobs", "select platform, job_id, company_name, scraped_at, first_seen_at, last_seen_at, posted_at_utc, posted_at_source, posted_at_parse_ok, posted_at_parse_detail from uno")

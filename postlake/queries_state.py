@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlake.functions import cells, intake, urls
-from postlake.operators import extraction, keyed, lifecycle, reports, searches, taxonomy
+from postlake.operators import extraction, geocoding, keyed, lifecycle, reports, searches, taxonomy
 from postlake.plans import daily, places, serving
 from postlake.plans.unified import unify
 from postlake.queries import query
@@ -159,6 +159,27 @@ def lifecycle_run(spark, sf):
     return lake.read("lifecycle_stats").select("platform", "action_status", "soft_expired", "jobs_deleted", "details_deleted", "hits_deleted")
 
 
+_AS = f"timestamp '{star.AS_OF}'"
+
+
+def _requests(spark, sf):
+    return star.geocode_requests(spark, sf).withColumns({"lat": lit(None).cast("double"), "lon": lit(None).cast("double"), "resolved_at": lit(None).cast("timestamp"), "last_error": lit(None).cast("string")})
+
+
+@query("geocoded_places", f"""select id, case when not asked then status when id % 4 <> 0 then 'resolved' when attempt_count + 1 >= 6 then 'failed_permanent' else 'error' end as status, case when asked and id % 4 <> 0 then 50.5 end as lat, case when asked then attempt_count + 1 else attempt_count end as attempt_count,
+case when not asked then next_retry_at when id % 4 = 0 and attempt_count + 1 < 6 then {_AS} + to_minutes(cast(least(60 * pow(2, attempt_count), 10080) as bigint)) end as next_retry_at from (select *, status <> 'resolved' or id % 2 = 0 as asked from star_requests) q""")
+def geocoded_places(spark, sf):
+    cache, k = _requests(spark, sf), F.col("id")
+    batch = cache.filter("status <> 'resolved' or id % 2 = 0").select("id", k.alias("position"), F.col("location_text_norm").alias("query"))
+    results = batch.select("position", F.when(k % 3 != 0, F.col("query")).alias("query"), F.when(k % 4 != 0, "50.5").otherwise("x").alias("lat"), lit("8.25").alias("lon"), F.when(k % 4 == 0, "bad").alias("error"))
+    return geocoding.apply_results(cache, batch, results, _now()).select("id", "status", "lat", "attempt_count", "next_retry_at")
+
+
+@query("requeued_places", f"select id, case when status = 'failed_permanent' then 'pending' else status end as status, case when status = 'failed_permanent' then 0 else attempt_count end as attempt_count, case when status = 'failed_permanent' then {_AS} else next_retry_at end as next_retry_at from star_requests")
+def requeued_places(spark, sf):
+    return geocoding.reset_failed(_requests(spark, sf), _now()).select("id", "status", "attempt_count", "next_retry_at")
+
+
 # states by day and reads by cell
 
 
