@@ -221,10 +221,16 @@ class _Aligned:
         self.a, self.b = (np.frombuffer(b"".join(p[k] for p in packed), np.int32).astype(np.int64) for k in (0, 1))
         self.n_a, self.n_b = (np.array([len(p[k]) // 4 for p in packed], np.int64) for k in (0, 1))
         self.end_a, self.end_b = np.cumsum(a.table.length[self.a]), np.cumsum(b.table.length[self.b])
-        cuts = np.intersect1d(self.end_a, self.end_b, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(cuts, self.end_a), np.searchsorted(cuts, self.end_b)
-        stop = np.cumsum(np.where(bad, 0, [len(x) for x in raw]))  # texts end at cuts
-        self.n_groups = np.diff(np.searchsorted(cuts, stop, "right"), prepend=0)
+        self.ends_a, self.ends_b = (np.zeros(int(self.end_a[-1] if len(self.end_a) else 0) + 1, bool) for _ in "ab")  # by byte
+        self.ends_a[self.end_a], self.ends_b[self.end_b] = True, True
+        cut = self.ends_a & self.ends_b
+        cuts = np.cumsum(cut)
+        self.group_a, self.group_b = cuts[self.end_a] - 1, cuts[self.end_b] - 1
+        self.group_a += ~cut[self.end_a]  # a token that ends before its group does lies behind one cut fewer
+        self.group_b += ~cut[self.end_b]
+        self.n_cuts = int(cuts[-1])
+        stop = np.cumsum(np.where(bad, 0, [len(x) for x in raw])).astype(np.int64)  # texts end at cuts
+        self.n_groups = np.diff(cuts[stop], prepend=0)
         self.n_links = self.n_a + self.n_b - self.n_groups
         self.tables = a.table, b.table
 
@@ -242,8 +248,9 @@ class _Aligned:
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, A id, B id) of each link."""
-        ends = np.union1d(self.end_a, self.end_b)
-        return np.repeat(np.arange(self.n), self.n_links), self.a[np.searchsorted(self.end_a, ends)], self.b[np.searchsorted(self.end_b, ends)]
+        ends = np.flatnonzero(self.ends_a | self.ends_b)
+        before = lambda there: (np.cumsum(there) - there)[ends]
+        return np.repeat(np.arange(self.n), self.n_links), self.a[before(self.ends_a)], self.b[before(self.ends_b)]
 
     def groups(self) -> list[bytes]:
         """a1,a2|b1;a3|b2,b3 of each text."""
@@ -251,8 +258,9 @@ class _Aligned:
         both = pa.concat_arrays([table_a.text, table_b.text])
         index = np.zeros(len(self.a) + len(self.b), np.int64)
         last = lambda g: np.concatenate([g[1:] != g[:-1], [True]]) if len(g) else np.zeros(0, bool)
-        index[np.arange(len(self.a)) + np.searchsorted(self.group_b, self.group_a)] = self.a + table_a.size * last(self.group_a)
-        index[np.arange(len(self.b)) + np.searchsorted(self.group_a, self.group_b, "right")] = 2 * table_a.size + self.b + table_b.size * last(self.group_b)
+        upto = lambda g: np.cumsum(np.bincount(g, minlength=self.n_cuts))
+        index[np.arange(len(self.a)) + (upto(self.group_b) - np.bincount(self.group_b, minlength=self.n_cuts))[self.group_a]] = self.a + table_a.size * last(self.group_a)
+        index[np.arange(len(self.b)) + upto(self.group_a)[self.group_b]] = 2 * table_a.size + self.b + table_b.size * last(self.group_b)
         made, ends = _joined(both, index)
         ends = np.concatenate([[0], ends])[np.cumsum(np.concatenate([[0], self.n_a + self.n_b]))].tolist()
         return [bytes(made[x : max(y - 1, x)]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
