@@ -297,8 +297,8 @@ def enabled_definitions(spark, sf):
     return searches.enabled(star.table(spark, sf, "nation").select(star._pick(star.PLATFORMS, k).alias("platform"), (k % 2 == 0).alias("enabled"), F.col("n_name").alias("name")), "xing").select("name")
 
 
-@query("opened_run", f"select run_id, platform, status, case when run_id = -1 then 'blocked' end as ended from (select run_id, platform, status from star_runs union all select -1, 'xing', 'blocked') q")
-def opened_run(spark, sf):
+@query("run_records", f"select run_id, platform, status, case when run_id = -1 then 'blocked' end as ended from (select run_id, platform, status from star_runs union all select -1, 'xing', 'blocked') q")
+def run_records(spark, sf):
     runs = searches.open_run(star.crawl_runs(spark, sf), "-1", "xing", "manual", _now())
     done = searches.finish_run(runs, "-1", "blocked", _now(), "{}", "shut out")
     return done.select("run_id", "platform", "status", F.when(F.col("error") == "shut out", F.col("status")).alias("ended"))
