@@ -4,7 +4,7 @@ A window is removed if its words also start a window earlier (smaller document i
 the run of GRAM words with the smallest hash is its anchor; equal windows have equal anchors at the same place, so a
 window whose anchor occurs once in the whole corpus repeats nowhere and needs no count. The hashes of all other windows are counted,
 each with the first document that has it, and removed windows merge into maximal intervals. Windows count as equal if 96 bits of two
-hashes of their words agree.
+hashes of their words agree; the first document is told the 64 bits of one, which tell apart the windows of that one text.
 
 No group is ever gathered: counts and minima are combined before each shuffle, and the only lists are those of one document.
 """
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.batches import joined, lists, map_batches
+from postlake.llm.batches import joined, map_batches
 from postlake.llm.kernels import SPACES, minimum_places, mixed, run_hashes, word_hashes
 from postlake.llm.store import keep
 
@@ -107,114 +107,70 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     found = map_batches(rows.select("doc_id", "text"), anchors, "anchor long, doc_id long, at int, n int", "text")
     once = found.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("at").alias("at")).filter("n = 1")
-    once = once.groupBy("doc_id").agg(F.collect_list("at").alias("once"))
+    once = keep(once.groupBy("doc_id").agg(F.collect_list("at").alias("once")), "once")
     # exact copies: all but the first are removed as a whole, and need no windows
     copies = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     copies = F.broadcast(copies) if copies.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else copies
     copies = keys.join(copies, "key").filter("doc_id > low").select("doc_id", F.lit(True).alias("copy"))
 
-    def judge(part: pa.RecordBatch) -> pa.RecordBatch:
-        """Final rows of texts without a window to count; the others keep their text and the intervals of such windows."""
-        s = _Step(part, "text", window, gram)
-        lists_once, copy = part.column(2), part.column(3).to_pylist()
+    # every text is moved once, to its list: counting and finishing read the same exchange, and nothing of a text is written between them
+    told = rows.join(once, "doc_id", "left").join(copies, "doc_id", "left").select("doc_id", "id", "text", "once", "copy")
+
+    def opened(s: _Step, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the windows of those to count, and which texts are removed as a whole."""
+        lists_once = part.column("once")
         flat = lists_once.flatten().to_numpy(zero_copy_only=False)
-        sizes = lists_once.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         known = np.zeros(len(s.words) + 1, bool)
-        known[np.repeat(s.first[:-1], sizes) + flat] = True
-        open_ = ~known[s.anchor]
-        n = part.num_rows
-        gone = np.array([bool(c) for c in copy]) & (s.n_words >= window)
-        open_ &= ~gone[s.doc] if len(s.doc) else True
-        undecided = np.bincount(s.doc[open_], minlength=n) > 0
-        starts, ends, of = _runs(s, open_)
-        texts, digests, removed = [], [], []
-        for i in range(n):
-            if undecided[i]:
-                texts.append(s.data[s.at[i] : s.at[i + 1] - 1].tobytes().decode("utf-8", "replace"))
-                digests.append(None)
-                removed.append([])
-                continue
-            words = b"" if gone[i] else s.kept(i, np.zeros(int(s.n_words[i]), bool))
-            texts.append(None)
-            digests.append(hashlib.sha256(words).hexdigest() if digest else words.decode("utf-8", "replace"))
-            removed.append([{"start": 0, "end": int(s.n_words[i])}] if gone[i] else [])
-        spans = pa.StructArray.from_arrays([pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["start", "end"])
-        counted = pa.ListArray.from_arrays(lists(np.zeros(len(of), np.int8), np.bincount(of, minlength=n)).offsets, spans)
-        return pa.RecordBatch.from_arrays([part.column(0), part.column(4), pa.array(s.n_words), pa.array(texts, pa.string()), counted, pa.array(removed, _SPANS), pa.array(digests, pa.string())], ["doc_id", "id", "n_words", "text", "counted", "removed", out])
-
-    out = "kept_sha256" if digest else "kept"
-    spans_type = "array<struct<start:int,end:int>>"
-    judged = rows.join(once, "doc_id", "left").join(copies, "doc_id", "left")
-    judged = keep(map_batches(judged.select("doc_id", "text", "once", "copy", "id"), judge, f"doc_id long, id long, n_words long, text string, counted {spans_type}, removed {spans_type}, {out} string", "text"), "judged")
+        known[np.repeat(s.first[:-1], lists_once.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)) + flat] = True
+        gone = part.column("copy").fill_null(False).to_numpy(zero_copy_only=False) & (s.n_words >= window)
+        return np.flatnonzero(~known[s.anchor] & ~gone[s.doc]) if len(s.doc) else s.windows, gone
 
     def hashes(part: pa.RecordBatch) -> pa.RecordBatch:
         """The hash of every counted window, once a document."""
         s = _Step(part, "text", window, gram)
-        use = _in_runs(s, part.column(2))
+        use, _ = opened(s, part)
         hashed, more, doc = *(h[use] for h in s.hashes(window)), s.doc[use]
         one = _first_of(np.stack([doc, hashed, more], 1)) if len(doc) else doc
         return pa.RecordBatch.from_arrays([pa.array(hashed[one]), pa.array(more[one]), pa.array(part.column(0).to_numpy(zero_copy_only=False)[doc[one]])], ["hash", "more", "doc_id"])
 
-    left = judged.filter("text is not null").select("doc_id", "text", "counted")
-    firsts = map_batches(left, hashes, "hash long, more int, doc_id long", "text").groupBy("hash", "more").agg(F.min("doc_id").alias("doc_id"))
-    firsts = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "more")).alias("firsts"))
+    firsts = map_batches(told, hashes, "hash long, more int, doc_id long", "text").groupBy("hash", "more").agg(F.min("doc_id").alias("doc_id"))
+    firsts = firsts.groupBy("doc_id").agg(F.collect_list("hash").alias("firsts"))
+
+    out = "kept_sha256" if digest else "kept"
+    spans_type = "array<struct<start:int,end:int>>"
 
     def finish(part: pa.RecordBatch) -> pa.RecordBatch:
         """A counted window stays if this text is the first with its hash and it is the first such window of the text."""
         s = _Step(part, "text", window, gram)
-        use = _in_runs(s, part.column(2))
+        use, whole = opened(s, part)
         hashed, more, doc = *(h[use] for h in s.hashes(window)), s.doc[use]
         mine = np.stack([doc, hashed, more], 1) if len(doc) else np.zeros((0, 3), np.int64)
         first = np.zeros(len(doc), bool)
         first[_first_of(mine)] = True
-        owned = part.column(3)
-        flat = owned.flatten()
+        owned = part.column("firsts")
         of = np.repeat(np.arange(part.num_rows), owned.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        keys = np.stack([of, *(flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))], 1)
-        gone = ~(first & _is_in(mine, keys))
+        keys = np.stack([of, owned.flatten().to_numpy(zero_copy_only=False).astype(np.int64)], 1)
+        gone = ~(first & _is_in(mine[:, :2], keys))
         removed = np.zeros(len(s.words) + 1, np.int64)
         np.add.at(removed, s.windows[use][gone], 1)
         np.add.at(removed, s.windows[use][gone] + window, -1)
-        removed = np.cumsum(removed)[:-1] > 0
+        removed = (np.cumsum(removed)[:-1] > 0) | np.repeat(whole, s.n_words)
         spans, values = [], []
         for i in range(part.num_rows):
             mask = removed[s.first[i] : s.first[i + 1]]
             edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
             spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-            words = s.kept(i, mask)
+            words = b"" if whole[i] else s.kept(i, mask)
             values.append(hashlib.sha256(words).hexdigest() if digest else words.decode("utf-8", "replace"))
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(s.n_words), pa.array(spans, _SPANS), pa.array(values, pa.string())], ["id", "n_words", "removed", out])
+        return pa.RecordBatch.from_arrays([part.column("id"), pa.array(s.n_words), pa.array(spans, _SPANS), pa.array(values, pa.string())], ["id", "n_words", "removed", out])
 
-    open_rows = judged.filter("text is not null").join(firsts, "doc_id", "left").select("id", "text", "counted", "firsts")
-    finished = map_batches(open_rows, finish, f"id long, n_words long, removed {spans_type}, {out} string", "text")
-    every = judged.filter("text is null").select("id", "n_words", "removed", out).unionByName(finished)
+    every = map_batches(told.join(firsts, "doc_id", "left"), finish, f"id long, n_words long, removed {spans_type}, {out} string", "text")
     return every.select(F.when(F.col("id") > _NULL_ID, F.col("id")).alias("doc_id"), "n_words", "removed", out)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _runs(s: _Step, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Intervals of window starts, by text, that are open: (start, end, text)."""
-    at, doc = s.windows[open_], s.doc[open_]
-    if not len(at):
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])]))
-    last = np.append(new[1:], len(at)) - 1
-    return at[new] - s.first[doc[new]], at[last] + 1 - s.first[doc[new]], doc[new]
-
-
-def _in_runs(s: _Step, column: pa.Array) -> np.ndarray:
-    """Which windows start in their text's intervals."""
-    flat, sizes = column.flatten(), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    base = np.repeat(s.first[:-1], sizes)
-    mark = np.zeros(len(s.words) + 1, np.int64)
-    np.add.at(mark, base + flat.field(0).to_numpy(zero_copy_only=False), 1)
-    np.add.at(mark, base + flat.field(1).to_numpy(zero_copy_only=False), -1)
-    return np.flatnonzero(np.cumsum(mark)[s.windows] > 0)
-
-
 def _is_in(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which rows (text, hashes) are among keys; all are ranked together."""
     both = np.concatenate([keys, rows])

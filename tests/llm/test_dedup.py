@@ -6,12 +6,13 @@ import random
 import re
 import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from postlake.llm import bwt, itq, minhash, windows, winnow
-from postlake.llm.store import components
+from postlake.llm.store import components, settings
 
 
 def corpus(seed=1, n=60):
@@ -133,6 +134,23 @@ def test_repeated_windows_of_an_empty_table(spark):
     assert windows.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeated_windows_move_each_text_once(spark):
+    """Texts with something to count went through two shuffles and a table on disk."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=12))
+    passage = " ".join(word() for _ in range(30))
+    texts = [" ".join(word() for _ in range(500)) + " " + passage for _ in range(400)]
+    folders = [Path(spark.sparkContext.getConf().get(k).removeprefix("file://")) for k in ("spark.local.dir", "spark.checkpoint.dir")]
+    files = lambda: {p: p.stat().st_size for folder in folders for p in folder.rglob("*") if p.is_file() and p.suffix in (".data", ".parquet")}
+    docs = frame(spark, list(enumerate(texts)))
+    before = files()
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = windows.remove_repeats(docs, digest=True).collect()
+    made = sum(size for p, size in files().items() if p not in before)
+    assert sum(bool(r["removed"]) for r in got) == 399
+    assert made < 1.7 * sum(map(len, texts)), made / sum(map(len, texts))
+
+
 @pytest.mark.parametrize(("length", "gram", "crowded"), [(60, 20, 4000), (60, 20, 2), (9, 4, 4000)])
 def test_repeated_strings(spark, length, gram, crowded):
     rows = corpus(4, 40)
