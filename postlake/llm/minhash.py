@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm.batches import in_batches, joined, map_batches
 from postlake.llm.kernels import SPACES, mixed, run_hashes, word_hashes
-from postlake.llm.store import components, keep
+from postlake.llm.store import components, keep, shuffled
 
 POSITIONS, MISS = 48, 1e-5
 #: Ids up to this number (some 10 MB) are broadcast to pick texts; more are joined by a shuffle.
@@ -120,7 +120,7 @@ def _distance(a: Column, b: Column) -> Column:
 def _near(pairs: DataFrame, classes: DataFrame, chunks: int) -> DataFrame:
     """(a, b) of the pairs whose signatures are near enough."""
     marks = classes.select("rep", F.col("signature").alias("marks"))
-    both = pairs.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b")
+    both = pairs.join(shuffled(marks.toDF("a", "marks_a")), "a").join(shuffled(marks.toDF("b", "marks_b")), "b")
     return both.filter(_distance(F.col("marks_a"), F.col("marks_b")) <= 2 * chunks - 1).select("a", "b")
 
 
@@ -133,9 +133,9 @@ def _shingles(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
         sets = [np.unique(values[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    firsts = classes.select(F.col("rep").alias("id"), "first.doc_id", "first.text_key").join(ids, "id", "left_semi")
+    firsts = classes.select(F.col("rep").alias("id"), "first.doc_id", "first.text_key").join(F.broadcast(ids) if few else shuffled(ids), "id", "left_semi")
     rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(firsts) if few else firsts, ["doc_id", "text_key"]).select("id", "text")
+    rows = rows.join(F.broadcast(firsts) if few else shuffled(firsts), ["doc_id", "text_key"]).select("id", "text")
     return keep(map_batches(rows, step, "id long, shingles binary", "text").groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
 
 
@@ -150,7 +150,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok.append(100 * both >= percent * (len(a) + len(b) - both))
         return pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    full = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b")
+    full = pairs.select("a", "b").join(shuffled(sets.toDF("a", "set_a")), "a").join(shuffled(sets.toDF("b", "set_b")), "b").select("a", "b", "set_a", "set_b")
     return map_batches(full, compare, "a long, b long", "set_a")
 
 
@@ -170,7 +170,7 @@ def _hubs(members: DataFrame) -> DataFrame:
     """(bucket, hub): of each bucket the member whose buckets have most members together."""
     shared = members.groupBy("rep").agg(F.sum("n").alias("shared"))
     order = F.struct("shared", -F.col("rep"))
-    return members.join(shared, "rep").groupBy("bucket").agg(F.max_by("rep", order).alias("hub"))
+    return members.join(shuffled(shared), "rep").groupBy("bucket").agg(F.max_by("rep", order).alias("hub"))
 
 
 def _across(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -182,33 +182,33 @@ def _across(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """
     rows = _spread(sets)
     holders = rows.groupBy("shingle").agg(F.count("*").alias("holders")).filter("holders > 1")
-    held = rows.join(holders, "shingle")
+    held = rows.join(shuffled(holders), "shingle")
     sizes = sets.select(F.col("id").alias("rep"), (F.length("shingles") / 8).cast("int").alias("n"))
-    sizes = sizes.join(held.groupBy("rep").agg(F.count("*").cast("int").alias("shared")), "rep")  # the others stand before all shared ones
+    sizes = sizes.join(shuffled(held.groupBy("rep").agg(F.count("*").cast("int").alias("shared"))), "rep")  # the others stand before all shared ones
     sizes = sizes.filter(F.col("shared") * 100 >= F.col("n") * percent)
     order = Window.partitionBy("rep").orderBy("holders", "shingle")
-    placed = held.join(sizes, "rep").withColumn("place", F.col("n") - F.col("shared") + F.row_number().over(order) - 1)
+    placed = held.join(shuffled(sizes), "rep").withColumn("place", F.col("n") - F.col("shared") + F.row_number().over(order) - 1)
     placed = placed.filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("shingle", "rep", "n", "place")
     weight = found.groupBy("component").agg(F.count("*").alias("weight"))
-    label = found.join(weight, "component").toDF("component", "rep", "weight")
-    placed = placed.join(label, "rep", "left").withColumns({"component": F.coalesce("component", "rep"), "weight": F.coalesce("weight", F.lit(1))})
+    label = found.join(shuffled(weight), "component").toDF("component", "rep", "weight")
+    placed = placed.join(shuffled(label), "rep", "left").withColumns({"component": F.coalesce("component", "rep"), "weight": F.coalesce("weight", F.lit(1))})
     placed = keep(placed, "places")
     mixed_ = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("weight", "component")).alias("top"))
-    placed = placed.join(mixed_.filter("low < high").select("shingle", F.col("top.component").alias("top")), "shingle")
+    placed = placed.join(shuffled(mixed_.filter("low < high").select("shingle", F.col("top.component").alias("top"))), "shingle")
     left = placed.filter("component != top").select("shingle", "rep", "n", "place", "component").toDF("shingle", "a", "na", "pa", "ca")
     right = placed.select("shingle", "rep", "n", "place", "component", "top").toDF("shingle", "b", "nb", "pb", "cb", "top")
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
-    pairs = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))) & room)
+    pairs = left.join(shuffled(right), (left["shingle"] == right["shingle"]) & (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))) & room)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more links: the links between components are joined into components of components."""
-    ends = links.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left")
+    ends = links.join(shuffled(found.toDF("a", "ca")), "a", "left").join(shuffled(found.toDF("b", "cb")), "b", "left")
     ends = keep(ends.select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst")), "joined")
     over = keep(components(ends).toDF("component", "top"), "over")
-    old = found.join(over, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
-    new = over.join(found.select(F.col("id").alias("component")), "component", "left_anti").toDF("id", "component")
+    old = found.join(shuffled(over), "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    new = over.join(shuffled(found.select(F.col("id").alias("component"))), "component", "left_anti").toDF("id", "component")
     return keep(old.unionByName(new), "components")
 
 
@@ -235,8 +235,8 @@ def decided(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", word
     chunks = chunks_for(percent / 100)
     buckets = _buckets(classes, chunks)
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = keep(buckets.join(shared, "bucket"), "members")
-    pairs = members.join(_hubs(members), "bucket").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    members = keep(buckets.join(shuffled(shared), "bucket"), "members")
+    pairs = members.join(shuffled(_hubs(members)), "bucket").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     near = keep(_near(pairs, classes, chunks), "near")
     crowd = members.filter("n > 2")  # a bucket of two has no pair but the one with its hub
     ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(crowd.select(F.col("rep").alias("id"))).distinct()
@@ -244,18 +244,18 @@ def decided(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", word
     found = keep(components(_confirmed(near, sets, percent), "a", "b"), "components")
 
     # buckets that still hold several components
-    labelled = crowd.join(found.toDF("rep", "component"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    labelled = crowd.join(shuffled(found.toDF("rep", "component")), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    open_ = labelled.join(mixed_, "bucket").select(F.col("rep").alias("id")).distinct()
-    across = _across(keep(sets.join(open_, "id"), "open"), found, percent).join(near, ["a", "b"], "left_anti")
+    open_ = labelled.join(shuffled(mixed_), "bucket").select(F.col("rep").alias("id")).distinct()
+    across = _across(keep(sets.join(shuffled(open_), "id"), "open"), found, percent).join(shuffled(near), ["a", "b"], "left_anti")
     across = keep(_near(across, classes, chunks), "across")
     if not across.isEmpty():
         found = _joined(found, _confirmed(across, sets, percent))
 
-    reps = keep(classes.select("class_key", "rep", "first").join(found.toDF("rep", "component"), "rep", "left"), "reps")
+    reps = keep(classes.select("class_key", "rep", "first").join(shuffled(found.toDF("rep", "component")), "rep", "left"), "reps")
     firsts = reps.filter("component is not null").groupBy("component").agg(F.min("first").alias("least"))
-    reps = reps.join(firsts, "component", "left").select("class_key", F.coalesce("least", "first").alias("first"))
-    out = marked.select("doc_id", "text_key", "n_shingles", "class_key", "row").join(reps, "class_key", "left")
+    reps = reps.join(shuffled(firsts), "component", "left").select("class_key", F.coalesce("least", "first").alias("first"))
+    out = marked.select("doc_id", "text_key", "n_shingles", "class_key", "row").join(shuffled(reps), "class_key", "left")
     return out.select("doc_id", "text_key", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
 
 

@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from postlake.llm import bwt, itq, minhash, windows, winnow
+from postlake.llm import bwt, itq, minhash, store, windows, winnow
 from postlake.llm.store import components, settings
 
 
@@ -94,6 +94,28 @@ def test_near_duplicates_of_different_texts_with_one_id(spark):
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in got) == [(0, 0, False), (0, 0, True), (0, 0, True), (1, 0, False), (1, 1, True), (2, 0, False)]
 
 
+def _plans(monkeypatch, *modules):
+    """The plans of all tables that these modules write from now on, as Spark has them before it runs them."""
+    seen, write = [], store.keep
+
+    def noted(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    for m in modules:
+        monkeypatch.setattr(m, "keep", noted)
+    return seen
+
+
+def test_near_duplicates_broadcast_nothing_by_a_guess(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 0)
+    plans, rows = _plans(monkeypatch, minhash, store), corpus(3)
+    rows += [(len(rows) + i, " ".join(f"c{(k * (i + 7)) % 50}" for k in range(30))) for i in range(5)]
+    out = minhash.near_duplicates(frame(spark, rows))
+    plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    assert len(plans) > 8 and [name for name, plan in plans if "Broadcast" in plan] == []
+
+
 def test_chunks_bound_the_misses():
     assert minhash.chunks_for(0.85) == 10 and minhash.chunks_for(0.8) == 12
 
