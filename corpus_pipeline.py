@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm import bpe, minhash, pii, toxicity, winnow
 from postlake.llm.batches import free_name
-from postlake.llm.store import keep
+from postlake.llm.store import keep, shuffled
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     mine = docs.withColumns(dict(zip(own, minhash.row_keys(), strict=True)))
     marks = rows.groupBy(F.col("doc_id").alias(own[0]), F.col("text_key").alias(own[1])).agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1")
     marks = keep(marks, "marks")
-    marks = F.broadcast(marks) if marks.limit(minhash.BROADCAST_IDS + 1).count() <= minhash.BROADCAST_IDS else marks
+    marks = F.broadcast(marks) if marks.limit(minhash.BROADCAST_IDS + 1).count() <= minhash.BROADCAST_IDS else shuffled(marks)
     rest = mine.join(marks.select(*own), own, "left_anti").select(*docs.columns)
     again = marks.filter("kept").select(*own)
     if again.isEmpty():

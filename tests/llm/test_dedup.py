@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from postlake.llm import bwt, itq, minhash, store, windows, winnow
 from postlake.llm.store import components, settings
 
@@ -116,6 +117,15 @@ def test_near_duplicates_broadcast_nothing_by_a_guess(spark, monkeypatch):
     assert len(plans) > 8 and [name for name, plan in plans if "Broadcast" in plan] == []
 
 
+def test_marks_of_a_stage_beyond_the_broadcast_are_shuffled(spark, monkeypatch):
+    docs = frame(spark, corpus(4))
+    want = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 0)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] for r in out.collect()) == want
+
+
 def test_chunks_bound_the_misses():
     assert minhash.chunks_for(0.85) == 10 and minhash.chunks_for(0.8) == 12
 
