@@ -31,18 +31,24 @@ def day_comparison(external: DataFrame, runs: DataFrame) -> DataFrame:
 def nearest(left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, left_id: str, right_id: str, within: int) -> DataFrame:
     """For each left row the right row of the same `on` nearest in time, within `within` seconds; the later one on ties.
 
-    Times are dealt into buckets of `within` seconds and each left row looks into its own and the two beside it, so rows meet only those
-    that can match, and no key gathers all its rows.
+    Seconds meet, not rows: of the right rows of one second only that with the smallest id can be the nearest. Seconds are dealt into buckets of `within`, those of
+    the right also into the two beside theirs, and inside a bucket the last one before and the first one after each left second are carried along in
+    order. So a bucket holds at most four seconds for each one that it is long, however many rows there are, and no pair is made that is not the answer.
+    Neither join is broadcast by Spark's guess, which takes compressed files for rows.
     """
     size = max(int(within), 1)
-    bucket = lambda c: F.floor(F.unix_timestamp(c) / size)
-    near = left.select(left_id, on, left_at, F.explode(F.array(*[bucket(left_at) + d for d in (-1, 0, 1)])).alias("_b"))
-    known = right.select(F.col(on), F.col(right_id), F.col(right_at), F.col("status"), bucket(right_at).alias("_b"))
-    delta = F.abs(F.unix_timestamp(right_at) - F.unix_timestamp(left_at))
-    pairs = near.join(known, [on, "_b"]).withColumn("delta_seconds", delta).filter(F.col("delta_seconds") <= within)
-    rank = F.struct("delta_seconds", -F.unix_timestamp(right_at), right_id)
-    best = pairs.groupBy(left_id).agg(F.min_by(F.struct(right_id, "status", "delta_seconds"), rank).alias("m"))
-    return left.join(best, left_id, "left").select(*left.columns, F.col(f"m.{right_id}").alias(right_id), F.col("m.status").alias("run_status"), F.col("m.delta_seconds").alias("delta_seconds"), F.col("m").isNotNull().alias("matched"))
+    second, bucket = F.unix_timestamp, F.floor(F.col("_s") / size)
+    asked = left.select(on, second(left_at).alias("_s")).distinct()
+    known = right.groupBy(on, second(right_at).alias("_s")).agg(F.min(F.struct(right_id, "status")).alias("_r"))
+    known = known.select(on, "_s", F.struct(F.col("_s").alias("at"), f"_r.{right_id}", "_r.status").alias("_k"), F.explode(F.array(*[bucket + d for d in (-1, 0, 1)])).alias("_b"))
+    rows = known.unionByName(asked.select(on, "_s", bucket.alias("_b")), allowMissingColumns=True)
+    beside = lambda order: F.last("_k", ignorenulls=True).over(Window.partitionBy(on, "_b").orderBy(order))
+    rows = rows.withColumns({"_before": beside(F.col("_s")), "_after": beside(F.col("_s").desc())}).filter("_k is null")
+    passed, ahead = F.col("_s") - F.col("_before.at"), F.col("_after.at") - F.col("_s")
+    best = F.when(ahead <= F.least(passed, F.lit(within)), F.col("_after")).when(passed <= within, F.col("_before"))
+    best = rows.select(on, "_s", best.alias("_m")).filter("_m is not null").select(on, "_s", F.struct(F.abs(F.col("_m.at") - F.col("_s")).alias("delta_seconds"), (-F.col("_m.at")).alias("later"), f"_m.{right_id}", "_m.status").alias("m"))
+    best = left.select(left_id, on, second(left_at).alias("_s")).join(best.hint("merge"), [on, "_s"]).groupBy(left_id).agg(F.min("m").alias("m"))
+    return left.join(best.hint("merge"), left_id, "left").select(*left.columns, F.col(f"m.{right_id}").alias(right_id), F.col("m.status").alias("run_status"), F.col("m.delta_seconds").alias("delta_seconds"), F.col("m").isNotNull().alias("matched"))
 
 
 def reconcile(external: DataFrame, runs: DataFrame, within: int = 1200) -> DataFrame:

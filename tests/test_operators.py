@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +97,29 @@ def test_nearest_takes_the_later_on_ties(spark):
     assert got == {1: (11, 300, True), 2: (None, None, False), 3: (None, None, False)}
 
 
+@pytest.mark.parametrize("within", [0, 7, 60])
+def test_nearest_equals_all_pairs(spark, within):
+    rng = random.Random(within)
+    times = lambda n, k: [(k + i, rng.choice(["s", "t", None]), rng.choice([None, *[at(seconds=rng.randrange(-200, 200), microseconds=rng.randrange(10**6)) for _ in range(9)]])) for i in range(n)]
+    ext, runs = times(150, 0), [(*r, rng.choice(["running", "success"])) for r in times(60, 1000)]
+    second = lambda t: (t.replace(microsecond=0) - NOW).total_seconds()
+    want = {}
+    for i, kind, t in ext:
+        near = [(abs(second(u) - second(t)), -second(u), j, status) for j, other, u, status in runs if t and u and kind and kind == other and abs(second(u) - second(t)) <= within]
+        want[i] = (min(near)[2], min(near)[3], min(near)[0]) if near else (None, None, None)
+    got = reports.reconcile(spark.createDataFrame(ext, "external_id int, trigger string, created_at timestamp"), spark.createDataFrame(runs, "run_id int, trigger string, started_at timestamp, status string"), within)
+    assert {r["external_id"]: (r["run_id"], r["run_status"], r["delta_seconds"]) for r in got.collect()} == want
+
+
+def test_nearest_makes_no_pairs_of_a_crowd(spark):
+    """20,000 rows of both sides within a minute were 400 million pairs, sorted on disk."""
+    rows = spark.range(20_000).select("id", F.lit("s").alias("trigger"), (now() + F.make_interval(secs=F.col("id") % 60)).alias("time"))
+    began = time.time()
+    got = reports.reconcile(rows.select(F.col("id").alias("external_id"), "trigger", F.col("time").alias("created_at")), rows.select((F.col("id") + 5).alias("run_id"), "trigger", F.col("time").alias("started_at"), F.lit("success").alias("status")), 60)
+    assert got.filter(F.col("matched") & (F.col("run_id") == F.col("external_id") % 60 + 5) & (F.col("delta_seconds") == 0)).count() == 20_000
+    assert time.time() - began < 30
+
+
 def test_log_reading_and_recovery(spark, tmp_path):
     lines = [json.dumps({"record_type": "page_fetch", "search_run_id": "1", "page_start": 0, "blocked": True}), "", json.dumps({"record_type": "job_discovered", "search_run_id": "1", "job_id": "a", "page_start": 25}), json.dumps({"record_type": "job_detail", "job_id": ""}), json.dumps({"record_type": "else"}), '{"record_type": "job_disc']
     (tmp_path / "log.jsonl").write_text("\n".join(lines))
