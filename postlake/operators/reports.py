@@ -58,13 +58,13 @@ def reconcile(external: DataFrame, runs: DataFrame, within: int = 1200) -> DataF
 
 def mismatches(external: DataFrame, runs: DataFrame, within: int = 1200) -> DataFrame:
     """(code, id): successes without a run, failures whose run still runs, scheduled runs without an external one."""
-    matched = reconcile(external, runs, within)
-    lost = matched.filter("conclusion = 'success' and not matched").select(F.lit("success_without_run").alias("code"), F.col("external_id").alias("id"))
-    open_ = matched.filter("conclusion in ('failure', 'cancelled', 'timed_out') and matched and run_status = 'running'").select(F.lit("failure_with_running_run").alias("code"), F.col("external_id").alias("id"))
+    failed = F.col("conclusion").isin("failure", "cancelled", "timed_out") & F.col("matched") & (F.col("run_status") == "running")
+    code = F.when((F.col("conclusion") == "success") & ~F.col("matched"), "success_without_run").when(failed, "failure_with_running_run")
+    wrong = reconcile(external, runs, within).select(code.alias("code"), F.col("external_id").alias("id")).filter("code is not null")
     planned = runs.filter("trigger = 'schedule'")
     other = external.filter("event = 'schedule'").select("trigger", F.col("external_id"), "created_at", F.lit("x").alias("status"))
     alone = nearest(planned.drop("status"), other, "trigger", "started_at", "created_at", "run_id", "external_id", within).filter("not matched")
-    return lost.unionByName(open_).unionByName(alone.select(F.lit("scheduled_run_without_external").alias("code"), F.col("run_id").alias("id")))
+    return wrong.unionByName(alone.select(F.lit("scheduled_run_without_external").alias("code"), F.col("run_id").alias("id")))
 
 
 def run_report(runs: DataFrame, by: str = "platform") -> DataFrame:
