@@ -23,6 +23,10 @@ def _now():
 # logs
 
 
+#: Lines of a log file, some 750 MB before compression: one task writes or reads it.
+FILE_LINES = 2_500_000
+
+
 def _written_log(spark, sf, files=None):
     """Every line item as a line of a crawl log: a discovered job, a detail (one in 13 without a job), a page, another type, a line that is cut off, a blank one."""
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
@@ -35,8 +39,11 @@ def _written_log(spark, sf, files=None):
     ))
     line = F.when(k % 97 == 0, F.substring(record, 1, 20)).when(k % 89 == 0, "").otherwise(record)
     path = shared_folder(spark, "log")
-    rows = star.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "l_suppkey", "l_shipdate", line.alias("line"))
-    rows.repartitionByRange(files or 4, "o").sortWithinPartitions("o", "n", "l_suppkey", "l_shipdate").select("line").write.text(path)
+    rows = star.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
+    files = max(files or 4, -(-rows.count() // FILE_LINES))
+    # numbers are shuffled and sorted, lines are made behind that; a job's lines lie in one file
+    rows = rows.repartitionByRange(files, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    rows.select(line.alias("line")).write.option("compression", "gzip").text(path)
     return path
 
 

@@ -1,12 +1,15 @@
 """Lifecycle runs apart by platform, daily states, cells of the map, pages by key, checks in one scan, search addresses, the dictionary's file."""
 
+import collections
 import datetime as dt
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from postlake import queries_state
 from postlake.functions import cells, intake, urls
 from postlake.operators import lifecycle, reports, searches, taxonomy
 from postlake.plans import analytics, daily, serving
@@ -174,6 +177,18 @@ def test_counts_while_a_log_is_read(spark, tmp_path):
     assert rows.count() == 3 and seen.get == {"kept": 3, "skipped": 1, "nameless": 1}
 
 
+def test_a_written_log_stays_near_the_size_of_its_input(spark, monkeypatch):
+    """A line of some 300 bytes was written as it is: 52 GB of text for 4 GB of line items. With more files than a batch takes, each job's lines are still in one batch."""
+    where = "/root/testdata/sf0.001"
+    size = lambda path: [f.stat().st_size for f in Path(path.removeprefix("file://")).glob("part-*")]
+    files, lines = size(queries_state._written_log(spark, where)), spark.read.parquet(f"{where}/lineitem.parquet").count()
+    assert len(files) <= 4 and sum(files) < 60 * lines, sum(files) / lines
+    want = collections.Counter(map(tuple, queries_state.imported_log(spark, where).collect()))
+    monkeypatch.setattr(queries_state, "FILE_LINES", 50)
+    assert len(size(queries_state._written_log(spark, where, files=3))) > 100
+    assert collections.Counter(map(tuple, queries_state.streamed_log(spark, where).collect())) == want
+
+
 def test_search_addresses(spark):
     one = spark.range(1)
     lit = F.lit
